@@ -133,6 +133,12 @@ def window_hashes(words: np.ndarray, length: int, second: bool = False) -> np.nd
     return mix64((total[length:] - total[:n]) * down[:n])
 
 
+def run_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of runs of word hashes, of any lengths."""
+    total, down = _prefix(mix64(words ^ np.uint64(0x3C79AC492BA7B653)), _WORDS_B)
+    return mix64((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     """Least value of every run of `width` values, by doubling runs."""
     have, low = 1, values

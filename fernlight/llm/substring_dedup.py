@@ -8,16 +8,19 @@ Levels. A window can only be repeated if the windows of half its length inside i
 windows are counted first and only those that occur in two documents are extended to twice their
 length, until the wanted length is reached or no candidate survives.
 
-* First level: of the `seed` = window / 2**k word windows, only the least hash of each run of
-  `2 * seed - seed + 1` neighbours is counted. That hash depends on the 2 * seed words alone, so two
-  equal longer windows always count the same value, and about 2 / (seed + 2) of all windows travel.
-* Each next level: windows of twice the length whose parts survived are hashed to 128 bits,
+* First level: of the windows of `seed` words, only the least hash of each run of seed + 1 neighbours,
+  which 2 * seed words hold, is counted: the anchor of those 2 * seed words. It depends on them alone,
+  so equal longer windows have equal anchors, and about 2 / (seed + 2) of all windows travel. A stretch
+  of windows with one anchor also sends the hash of all its words. An anchor whose stretches are equal
+  everywhere is settled: its stretch stays in the smallest document and goes in the others.
+* Each next level: windows of twice the length whose parts survived unsettled are hashed to 128 bits,
   grouped, and kept if two documents have them.
 * At the last level the smallest document of each window stays a provider and the others lose it.
 
 Text is shuffled once, by document; that exchange serves all levels. Counting is a partial
-aggregation before the shuffle, so a passage of every document becomes one row a task, and the way
-back to documents is a sort-merge join on small rows, whose skewed keys AQE splits.
+aggregation before the shuffle, so a passage of every document becomes one row a task. The way back
+to documents is a sort-merge join on small rows; its key is written anew so that both sides are
+shuffled for it, which is what AQE needs to split a skewed key.
 
 Cases: null or empty text has no words. A null id takes no part and its row keeps all words. Rows
 with one id are one document for the rule; each is judged by its own text. Texts shorter than a
@@ -34,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fernlight.llm.common import checkpointed, chunks, column_bytes, sliding_min, span_hashes, window_hashes, word_spans
+from fernlight.llm.common import checkpointed, chunks, column_bytes, run_hashes, sliding_min, span_hashes, window_hashes, word_spans
 
 NO_ID = -(1 << 63)
 
@@ -59,6 +62,15 @@ def _anchors(words: np.ndarray, seed: int) -> np.ndarray:
     return sliding_min(window_hashes(words, seed), seed + 1)
 
 
+def _stretches(words: np.ndarray, first: np.ndarray, seed: int):
+    """Starts and rows of windows of 2 * seed words, their anchors, and which begin a stretch of one anchor."""
+    starts, rows = _windows(first, 2 * seed)
+    low = _anchors(words, seed)[starts] if len(starts) else np.zeros(0, np.uint64)
+    new = np.ones(len(low), bool)
+    new[1:] = (low[1:] != low[:-1]) | (rows[1:] != rows[:-1])
+    return starts, rows, low, new
+
+
 def _seed_level(seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -66,15 +78,15 @@ def _seed_level(seed: int):
             raw, at = column_bytes(batch.column(1))
             for i, j in chunks(at):
                 words, first = _flat(batch, i, j, raw, at)
-                starts, rows = _windows(first, 2 * seed)
+                starts, rows, low, new = _stretches(words, first, seed)
                 if not len(starts):
                     continue
-                low = _anchors(words, seed)[starts]
-                new = np.ones(len(low), bool)
-                new[1:] = (low[1:] != low[:-1]) | (rows[1:] != rows[:-1])
-                who = ids[i:j][rows[new]]
+                begin = np.flatnonzero(new)
+                last = np.append(begin[1:], len(starts)) - 1
+                content = run_hashes(words, starts[begin], starts[last] + 2 * seed)
+                who = ids[i:j][rows[begin]]
                 real = who != NO_ID
-                yield pa.RecordBatch.from_arrays([pa.array(low[new][real].view(np.int64)), pa.array(who[real])], ["k", "d"])
+                yield pa.RecordBatch.from_arrays([pa.array(low[begin][real].view(np.int64)), pa.array(content[real].view(np.int64)), pa.array(who[real])], ["k", "c", "d"])
 
     return run
 
@@ -105,8 +117,14 @@ def _next_level(length: int, seed: int):
                     keep = np.isin(half[starts], alive) & np.isin(half[starts + length // 2], alive)
                     late = np.isin(half[starts], later) & np.isin(half[starts + length // 2], later)
                 starts, rows, late = starts[keep], rows[keep], late[keep]
+                h = window_hashes(words, length)[starts]
+                order = np.lexsort((h, rows))  # a window that a row repeats is told once
+                once = np.ones(len(order), bool)
+                once[1:] = (h[order][1:] != h[order][:-1]) | (rows[order][1:] != rows[order][:-1])
+                one = order[once]
+                g = window_hashes(words, length, second=True)[starts[one]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(window_hashes(words, length)[starts].view(np.int64)), pa.array(window_hashes(words, length, second=True)[starts].view(np.int64)), pa.array(ids[i:j][rows]), pa.array(late)],
+                    [pa.array(h[one].view(np.int64)), pa.array(g.view(np.int64)), pa.array(ids[i:j][rows[one]]), pa.array(late[one])],
                     ["h", "g", "d", "later"],
                 )
 
@@ -116,20 +134,23 @@ def _next_level(length: int, seed: int):
 _OUT = pa.schema([("d", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))), ("kept", pa.string())])
 
 
-def _remove(window: int):
+def _remove(window: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, at = column_bytes(batch.column(1))
             for i, j in chunks(at):
-                gone = batch.column(2).slice(i, j - i)
+                gone, whole = batch.column(2).slice(i, j - i), batch.column(3).slice(i, j - i)
                 n_words, n_removed, spans, kept = [], [], [], []
                 for k in range(j - i):
                     words = raw[at[i + k] : at[i + k + 1]].tobytes().split()
                     n_words.append(len(words))
                     marked = []
-                    if gone[k].is_valid and len(words) >= window:
+                    if (gone[k].is_valid or whole[k].is_valid) and len(words) >= window:
                         flat, first = _flat(batch, i + k, i + k + 1, raw, at)
-                        starts = np.flatnonzero(np.isin(window_hashes(flat, window), _lists(gone, k, k + 1)))
+                        out = np.isin(window_hashes(flat, window), _lists(gone, k, k + 1))
+                        settled = np.isin(_anchors(flat, seed), _lists(whole, k, k + 1))
+                        out |= settled if window == 2 * seed else sliding_min(settled.view(np.int8), window - 2 * seed + 1).astype(bool)
+                        starts = np.flatnonzero(out)
                         if len(starts):
                             cover = np.zeros(len(words) + 1, np.int64)
                             np.add.at(cover, starts, 1)
@@ -146,6 +167,13 @@ def _remove(window: int):
     return run
 
 
+def _back(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on keys, shuffled for the join on both sides."""
+    anew = [F.bitwise_not(F.col(k)).alias(f"n_{k}") for k in keys]
+    named = [f"n_{k}" for k in keys]
+    return rows.select("*", *anew).join(groups.select(*[c for c in groups.columns if c not in keys], *anew), named)
+
+
 def remove_repeats(docs: DataFrame, *, window: int = 50, seed: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_words, n_removed, removed spans (word numbers) and the kept words.
 
@@ -159,24 +187,26 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, seed: int | None = None
         raise ValueError("window must be seed doubled once or more")
 
     own = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("d"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t")).repartition("d")
-    pairs = own.mapInArrow(_seed_level(seed), "k long, d long")
-    again = pairs.groupBy("k").agg(F.min("d").alias("low"), F.max("d").alias("high")).where("low < high")
-    found = pairs.join(again.select("k", "low"), "k").select("d", F.col("k").alias("h"), (F.col("d") > F.col("low")).alias("later"))
+    pairs = own.mapInArrow(_seed_level(seed), "k long, c long, d long")
+    one = F.min("c") == F.max("c") if window == 2 * seed else F.lit(False)  # longer windows span stretches
+    again = pairs.groupBy("k").agg(F.min("d").alias("low"), F.max("d").alias("high"), one.alias("one")).where("low < high")
+    found = _back(pairs, again.select("k", "low", "one"), ["k"]).select("d", F.col("k").alias("h"), "one", (F.col("d") > F.col("low")).alias("later"))
+    whole = found.where("one and later").groupBy("d").agg(F.collect_set("h").alias("whole"))
+    found = found.where("not one")
 
     for length in lengths[1:]:
         alive = found.groupBy("d").agg(F.collect_list("h").alias("alive"), F.collect_list(F.when(F.col("later"), F.col("h"))).alias("late"))
         rows = own.join(alive, "d").select("d", "t", "alive", "late").mapInArrow(_next_level(length, seed), "h long, g long, d long, later boolean")
         if length < window:
             rows = checkpointed(rows)
-        groups = rows.groupBy("h", "g").agg(F.min("d").alias("low"), F.max("d").alias("high")).where("low < high")
+        groups = rows.groupBy("h", "g").agg(F.min("d").alias("low"), F.max("d").alias("high")).where("low < high").drop("high")
         if length < window:
-            found = rows.join(groups, ["h", "g"]).select("d", "h", (F.col("d") > F.col("low")).alias("later"))
+            found = _back(rows, groups, ["h", "g"]).select("d", "h", (F.col("d") > F.col("low")).alias("later"))
             if found.isEmpty():
                 break
         else:
-            found = rows.where("later").join(groups, ["h", "g"]).where("d > low").select("d", "h")
+            found = _back(rows.where("later"), groups, ["h", "g"]).where("d > low").select("d", "h")
 
-    gone = found.groupBy("d").agg(F.collect_set("h").alias("gone")) if lengths[-1] == length else None
-    joined = own.join(gone, "d", "left").select("d", "t", "gone") if gone is not None else own.select("d", "t", F.lit(None).cast("array<bigint>").alias("gone"))
-    out = joined.mapInArrow(_remove(window), "d long, n_words long, n_removed long, spans array<struct<first:long,last:long>>, kept string")
+    gone = found.groupBy("d").agg(F.collect_set("h").alias("gone"))
+    out = own.join(gone, "d", "left").join(whole, "d", "left").select("d", "t", "gone", "whole").mapInArrow(_remove(window, seed), "d long, n_words long, n_removed long, spans array<struct<first:long,last:long>>, kept string")
     return out.select(F.nullif("d", F.lit(NO_ID)).alias(id_col), "n_words", "n_removed", "spans", F.col("kept").alias("kept_text"))
