@@ -59,7 +59,7 @@ def draw(doc_id: Column, seed: int) -> Column:
 def rake(cells: DataFrame, targets: dict, iterations: int) -> DataFrame:
     """Adds `share` (present) and `raked` (fitted) to cells (source, lang, topic, n)."""
     everything = Window.partitionBy()
-    cells = cells.withColumn("share", F.coalesce(F.col("n") / F.sum("n").over(everything), F.lit(0.0)))
+    cells = cells.withColumn("share", F.coalesce(F.try_divide(F.col("n"), F.sum("n").over(everything)), F.lit(0.0)))
     for m in MARGINS:
         present = F.sum("share").over(Window.partitionBy(m))
         target = targets[m]
@@ -70,7 +70,7 @@ def rake(cells: DataFrame, targets: dict, iterations: int) -> DataFrame:
             goal = F.when(present > 0, F.pow(present, F.lit(float(target)))).otherwise(F.lit(0.0))
         first = F.row_number().over(Window.partitionBy(m).orderBy(*MARGINS)) == 1
         cells = cells.withColumn(f"g_{m}", goal).withColumn("_f", F.when(first & (present > 0), F.col(f"g_{m}")))
-        cells = cells.withColumn(f"g_{m}", F.col(f"g_{m}") / F.sum("_f").over(everything)).drop("_f")
+        cells = cells.withColumn(f"g_{m}", F.coalesce(F.try_divide(f"g_{m}", F.sum("_f").over(everything)), F.lit(0.0))).drop("_f")
     cells = cells.withColumn("raked", F.col("share"))
     for _ in range(iterations):
         for m in MARGINS:
