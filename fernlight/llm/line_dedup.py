@@ -11,7 +11,7 @@ their documents and grouped by the bytes themselves, not by hash; so equal chunk
 share a first place. The text exchange, by document, serves all three passes.
 
 Cases: null text counts as empty, which is one empty line. A last line without end is a line.
-Rows that repeat an id are ordered by text; equal rows are one document, so a repeat of a whole row
+Rows that repeat an id are ordered by a hash of the text; equal rows are one document, so a repeat of a whole row
 does not remove itself. A null id is an id of its own, before all others.
 """
 
@@ -51,17 +51,18 @@ def _text(k: str) -> Column:
 def remove_repeated_chunks(docs: DataFrame, *, reach: int = 2, spread: int = 4, least_lines: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_lines, n_chunks, n_removed (lines), kept_text."""
     own = _own(docs, id_col, text_col)
-    cut = _chunks(own, reach, spread).withColumn("v", F.md5("t"))
+    cut = _chunks(own, reach, spread).withColumn("v", F.xxhash64("t"))
 
-    sized = F.expr("filter(transform(starts, (s, k) -> named_struct('k', k, 'n', ends[k] - s + 1, 'c', md5(array_join(slice(h, s + 1, ends[k] - s + 1), '')))), x -> x.n >= %d)" % least_lines)
+    sized = F.expr("filter(transform(starts, (s, k) -> named_struct('k', k, 'n', ends[k] - s + 1, 'c', xxhash64(slice(h, s + 1, ends[k] - s + 1)))), x -> x.n >= %d)" % least_lines)
     small = cut.select("d", "v", F.explode(sized).alias("x")).select("d", "v", "x.k", "x.c")
     place = F.struct("d", "v", "k")
-    again = small.groupBy("c").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low < high").select("c")
-    wanted = small.join(again, "c").groupBy("d", "v").agg(F.sort_array(F.collect_set("k")).alias("ks"))
+    again = small.groupBy("c").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # the key is written anew so that both sides are shuffled for the join, which AQE needs to split a skewed key
+    wanted = small.withColumn("nc", F.bitwise_not("c")).join(again.select(F.bitwise_not("c").alias("nc")), "nc").groupBy("d", "v").agg(F.sort_array(F.collect_set("k")).alias("ks"))
 
     found = cut.join(wanted, ["d", "v"]).select("d", "v", F.explode("ks").alias("k"), "lines", "starts", "ends").select("d", "v", "k", _text("k").alias("b"))
-    firsts = found.groupBy("b").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low < high").select("b", "low")
-    gone = found.join(firsts, "b").where(place > F.col("low")).groupBy("d", "v").agg(F.collect_set("k").alias("gone"))
+    firsts = found.groupBy("b").agg(F.min(place).alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1").select("b", "low", F.bitwise_not(F.xxhash64("b")).alias("nb"))
+    gone = found.withColumn("nb", F.bitwise_not(F.xxhash64("b"))).join(firsts, ["nb", "b"]).where(place > F.col("low")).groupBy("d", "v").agg(F.collect_set("k").alias("gone"))
 
     out = cut.join(gone, ["d", "v"], "left").withColumn("gone", F.coalesce("gone", F.expr("cast(array() as array<int>)")))
     left = F.expr("filter(transform(starts, (s, k) -> if(array_contains(gone, k), null, array_join(slice(lines, s + 1, ends[k] - s + 1), '\\n'))), x -> x is not null)")
