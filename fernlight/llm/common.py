@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +28,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="fernlight-"))
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors where they can't already import it."""
+    package = Path(__file__).resolve().parents[1]
+    places = [os.path.realpath(p or ".") for p in os.environ.get("PYTHONPATH", "").split(os.pathsep)] if os.environ.get("PYTHONPATH") else []
+    context = spark.sparkContext
+    if str(package.parent) in places or getattr(context, "_fernlight_shipped", False):
+        return
+    file = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+    with zipfile.ZipFile(file, "w") as z:
+        for p in sorted(package.rglob("*.py")):
+            z.write(p, p.relative_to(package.parent))
+    context.addPyFile(str(file))
+    context._fernlight_shipped = True
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage through a file in the shared checkpoint folder, which survives lost executors."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fernlight.llm import exact_dedup, html_text, line_dedup, media, mixing, pieces, quality, sharding, simhash_dedup, substring_dedup
+from fernlight.llm.common import ship
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fernlight.llm.common import checkpointed, chunks, column_bytes
+from fernlight.llm.common import checkpointed, chunks, column_bytes, ragged
 from fernlight.llm.components import components
 
 RADIUS = 4
@@ -48,19 +48,24 @@ _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _BITS = ((np.arange(256)[:, None] >> np.arange(7, -1, -1)) & 1).astype(np.int64)
 
 
-def fingerprints(texts: list[bytes], shingle: int) -> np.ndarray:
-    """SimHash of each text, as unsigned 64-bit numbers."""
-    digest = xxhash.xxh64_intdigest
+def _hashes(text: bytes, shingle: int) -> list[int]:
+    """XXH64 of every shingle, repeats included."""
+    digest, words = xxhash.xxh64_intdigest, text.translate(_LOWER).split()
+    if len(words) <= shingle:
+        return [digest(b" ".join(words), 42)] if words else []
+    line = b" ".join(words)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    starts = np.concatenate([[0], ends[:-1]])[: len(words) - shingle + 1].tolist()
+    return [digest(line[s:e], 42) for s, e in zip(starts, (ends[shingle - 1 :] - 1).tolist(), strict=True)]
+
+
+def fingerprints(texts: list[bytes], shingle: int, distinct: bool = False) -> np.ndarray:
+    """SimHash of each text, as unsigned 64-bit numbers. distinct: each shingle counts once."""
     hashes, counts = [], []
     for text in texts:
-        words = text.translate(_LOWER).split()
-        if len(words) <= shingle:
-            made = [digest(b" ".join(words), 42)] if words else []
-        else:
-            line = b" ".join(words)
-            ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-            starts = np.concatenate([[0], ends[:-1]])[: len(words) - shingle + 1].tolist()
-            made = [digest(line[s:e], 42) for s, e in zip(starts, (ends[shingle - 1 :] - 1).tolist(), strict=True)]
+        made = _hashes(text, shingle)
+        if distinct:
+            made = list(set(made))
         hashes += made
         counts.append(len(made))
     n = len(counts)
@@ -152,13 +157,32 @@ def bucket_keys(f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(places)
 
 
-def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        f = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-        for i in range(0, len(f), 1 << 14):
-            part = f[i : i + (1 << 14)]
-            keys, at = bucket_keys(part)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(part[at].view(np.int64))], ["k", "f"])
+def pair_keys(f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All (key, position in f) of pairs of segments' Golay keys. Two fingerprints that differ in at most two bits in each of two segments meet: always up to five bits, often up to twelve."""
+    if not _golay:
+        _golay.append(Golay())
+    near = [_golay[0].keys(((f >> np.uint64(at)) & np.uint64((1 << width) - 1)).astype(np.uint32), width) for at, width in SEGMENTS]
+    keys, places = [], []
+    for a, b in ((0, 1), (0, 2), (1, 2)):
+        at_a, col_a = np.nonzero(near[a][1])
+        at_b, col_b = np.nonzero(near[b][1])
+        many = near[b][1].sum(axis=1)
+        index = near[b][0][at_b, col_b].astype(np.int64)[ragged((np.cumsum(many) - many)[at_a], many[at_a])]
+        keys.append(np.int64(a * 3 + b) << 40 | np.repeat(near[a][0][at_a, col_a].astype(np.int64), many[at_a]) << 12 | index)
+        places.append(np.repeat(at_a, many[at_a]))
+    return np.concatenate(keys), np.concatenate(places)
+
+
+def _deal(keys_of):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            f = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            for i in range(0, len(f), 1 << 13):
+                part = f[i : i + (1 << 13)]
+                keys, at = keys_of(part)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(part[at].view(np.int64))], ["k", "f"])
+
+    return run
 
 
 # --- buckets
@@ -184,7 +208,29 @@ def links(f: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(left or [none]), np.concatenate(right or [none])
 
 
-def _search(block: int):
+def nearest_links(f: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """A minimum spanning forest of the pairs of distinct f within radius, by Prim's algorithm."""
+    far = np.uint8(255)
+    distance = np.bitwise_count(f ^ f[0])
+    by = np.zeros(len(f), np.int64)
+    distance[0] = far
+    alone = np.ones(len(f), bool)
+    alone[0] = False
+    left, right = [], []
+    for _ in range(len(f) - 1):
+        k = int(distance.argmin())
+        if distance[k] <= radius:
+            left.append(by[k])
+            right.append(k)
+        alone[k] = False
+        d = np.bitwise_count(f ^ f[k])
+        closer = alone & (d < distance)
+        distance[closer], by[closer] = d[closer], k
+        distance[k] = far
+    return f[np.array(left, np.int64)], f[np.array(right, np.int64)]
+
+
+def _search(block: int, radius: int = RADIUS, connect=links):
     """Reads rows (key, fingerprint) in order of both; makes links (0, a, b) and, of buckets over block, (block + 1, key, fingerprint)."""
 
     def finish(key: int, values: np.ndarray, out: list) -> None:
@@ -193,11 +239,14 @@ def _search(block: int):
             return
         for k, at in enumerate(range(0, len(values), block)):
             part = values[at : at + block]
-            a, b = links(part)
+            a, b = connect(part, radius)
             out.append((np.zeros(len(a), np.int64), a.view(np.int64), b.view(np.int64)))
             if len(values) > block:
                 out.append((np.full(len(part), k + 1), np.full(len(part), key), part.view(np.int64)))
 
+    def batch_of(out: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["z", "a", "b"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_key, held = None, []
         for batch in batches:
@@ -210,7 +259,13 @@ def _search(block: int):
                 finish(held_key, np.concatenate(held), out)
                 held_key, held = None, []
             sizes = np.diff(edge)
-            for r in np.flatnonzero((sizes > 1) | (np.arange(len(sizes)) == 0) | (np.arange(len(sizes)) == len(sizes) - 1)):
+            inner = np.ones(len(sizes), bool)
+            inner[[0, -1]] = False
+            two = edge[:-1][inner & (sizes == 2)]  # most buckets hold one or two
+            a, b = f[two], f[two + 1]
+            near = (np.bitwise_count((a ^ b).view(np.uint64)) <= radius) & (a != b)
+            out.append((np.zeros(int(near.sum()), np.int64), a[near], b[near]))
+            for r in np.flatnonzero((sizes > 2) | ~inner):
                 part = f[edge[r] : edge[r + 1]].view(np.uint64)
                 if r == len(sizes) - 1:
                     held = [*held, part] if held_key == key[-1] else [part]
@@ -220,34 +275,36 @@ def _search(block: int):
                     held_key, held = None, []
                 else:
                     finish(int(key[edge[r]]), part, out)
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["z", "a", "b"])
+            yield batch_of(out)
         out = []
         if held_key is not None:
             finish(held_key, np.concatenate(held), out)
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["z", "a", "b"])
+            yield batch_of(out)
 
     return run
 
 
-def fingerprint_links(distinct: DataFrame, *, block: int = 1 << 15) -> DataFrame:
-    """Links (a, b) among distinct fingerprints f; they connect all that pairs within RADIUS connect."""
-    keyed = distinct.mapInArrow(_deal, "k long, f long")
-    found = checkpointed(keyed.repartition("k").sortWithinPartitions("k", "f").mapInArrow(_search(block), "z long, a long, b long"))
-    edges = found.where("z = 0").select("a", "b")
-    wide = found.where("z > 0")
-    most = wide.agg(F.max("z")).first()[0]
-    if most:
+def _connected(keyed: DataFrame, block: int, radius: int, connect) -> DataFrame:
+    """Links (a, b) of rows (k, f): those that connect makes of each bucket, and of each pair of blocks of a bucket over block."""
+    form = "z long, a long, b long"
+    found = checkpointed(keyed.repartition("k").sortWithinPartitions("k", "f").mapInArrow(_search(block, radius, connect), form))
+    edges, wide = found.where("z = 0").select("a", "b"), found.where("z > 0")
+    if wide.agg(F.max("z")).first()[0]:
         blocks = wide.groupBy(F.col("a").alias("k")).agg(F.max("z").alias("m"))
         spread = wide.select(F.col("a").alias("k"), F.col("b").alias("f"), "z").join(blocks, "k").withColumn("o", F.explode(F.sequence(F.lit(1).cast("long"), "m"))).where("o <> z")
         # two blocks have a task's key of their own; links within each are made already
         pair = spread.select(F.xxhash64("k", F.least("z", "o"), F.greatest("z", "o")).alias("k"), "f")
-        more = pair.repartition("k").sortWithinPartitions("k", "f").mapInArrow(_search(2 * block), "z long, a long, b long").where("z = 0").select("a", "b")
-        edges = edges.union(more)
+        more = pair.repartition("k").sortWithinPartitions("k", "f").mapInArrow(_search(2 * block, radius, connect), form)
+        edges = edges.union(more.where("z = 0").select("a", "b"))
     return edges
 
 
+def fingerprint_links(distinct: DataFrame, *, block: int = 1 << 15) -> DataFrame:
+    """Links (a, b) among distinct fingerprints f; they connect all that pairs within RADIUS connect."""
+    return _connected(distinct.mapInArrow(_deal(bucket_keys), "k long, f long"), block, RADIUS, links)
+
+
 def near_groups(docs: DataFrame, *, shingle: int = 4, block: int = 1 << 15, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, fingerprint (16 hex digits), component_id, group_size, kept (one row a group)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -259,3 +316,68 @@ def near_groups(docs: DataFrame, *, shingle: int = 4, block: int = 1 << 15, id_c
     named = rooted.join(totals, "root").select("f", "component_id", "group_size")
     out = own.join(named, "f")
     return out.select(F.col("i").alias(id_col), F.lpad(F.lower(F.hex("f")), 16, "0").alias("fingerprint"), "component_id", "group_size", F.col("i").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+# --- near copies by similarity
+
+
+def _word_fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        raw, at = column_bytes(batch.column(1))
+        for i, j in chunks(at, 1 << 20):
+            texts = [raw[at[k] : at[k + 1]].tobytes() for k in range(i, j)]
+            made = [fingerprints(texts, 4), fingerprints(texts, 1, distinct=True), fingerprints(texts, 2, distinct=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *(pa.array(x.view(np.int64)) for x in made)], ["i", "f", "f1", "f2"])
+
+
+def _shingle_sets(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, at = column_bytes(batch.column(1))
+            for i, j in chunks(at, 1 << 20):
+                sets = [np.unique(np.array(_hashes(raw[at[k] : at[k + 1]].tobytes(), shingle), np.uint64)) for k in range(i, j)]
+                size = np.array([len(x) for x in sets])
+                values = pa.array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(size)]).astype(np.int32), values)], ["i", "s"])
+
+    return run
+
+
+def _doc_links(own: DataFrame, fingerprint: str, edges: DataFrame) -> DataFrame:
+    """Links of fingerprints as links (a, b) of ids: each fingerprint's smallest id with those of its links, and with its other ids."""
+    named = own.select("i", F.col(fingerprint).alias("f"))
+    least = named.groupBy("f").agg(F.min("i").alias("low"))
+    within = named.join(least.select(F.bitwise_not("f").alias("nf"), "low"), F.bitwise_not(named["f"]) == F.col("nf")).where("i <> low").select(F.col("low").alias("a"), F.col("i").alias("b"))
+    across = edges.join(least.select(F.col("f").alias("a"), F.col("low").alias("x")), "a").join(least.select(F.col("f").alias("b"), F.col("low").alias("y")), "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return within.union(across)
+
+
+def near_copies(docs: DataFrame, *, similarity: float = 0.8, shingle: int = 5, radius: int = 12, block: int = 1 << 15, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per distinct id: id, component_id, kept (one id a group). Links are those of near_groups, and all candidates that are similar.
+
+    Candidates come from two more fingerprints, of distinct words and of distinct pairs of words, where a
+    changed word moves fewer bits than in longer shingles. Their Golay keys are dealt in pairs of
+    segments, and each bucket gives its minimum spanning forest within `radius` bits, so that a pair
+    that is nearer than others is not hidden by them. A candidate counts if the sets of its
+    `shingle`-word shingles have a Jaccard similarity of `similarity` or more, computed exactly.
+    Null ids are left out.
+    """
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    texts = docs.select(F.col(id_col).cast("long").alias("i"), text.alias("t")).where("i is not null")
+    own = checkpointed(texts.mapInArrow(_word_fingerprints, "i long, f long, f1 long, f2 long"))
+    sure = _doc_links(own, "f", fingerprint_links(own.select("f").distinct(), block=block))
+    maybe = None
+    for kind in ("f1", "f2"):
+        keyed = own.select(F.col(kind).alias("f")).distinct().mapInArrow(_deal(pair_keys), "k long, f long")
+        some = _doc_links(own, kind, _connected(keyed, block, radius, nearest_links))
+        maybe = some if maybe is None else maybe.union(some)
+    maybe = checkpointed(maybe.distinct())
+    named = maybe.select(F.explode(F.array("a", "b")).alias("i")).distinct()
+    sets = checkpointed(texts.join(named, "i").mapInArrow(_shingle_sets(shingle), "i long, s array<long>"))
+    both = maybe.join(sets.select(F.col("i").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("i").alias("b"), F.col("s").alias("sb")), "b")
+    shared = F.size(F.array_intersect("sa", "sb"))
+    union = F.size("sa") + F.size("sb") - shared
+    alike = both.where((union == 0) | (shared >= union * F.lit(similarity))).select("a", "b")
+    roots = components(sure.union(alike))
+    out = own.select("i").distinct().join(roots, F.col("i") == F.col("node"), "left").select("i", F.coalesce("root", "i").alias("component_id"))
+    return out.select(F.col("i").alias(id_col), "component_id", (F.col("i") == F.col("component_id")).alias("kept"))

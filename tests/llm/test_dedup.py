@@ -262,3 +262,72 @@ def test_lines_null_id_repeated_rows_and_empty_table(spark):
         by.setdefault(r.doc_id, []).append(r.n_removed)
     assert by[None] == [0] and by[3][0] == by[3][1] > 0
     assert line_dedup.remove_repeated_chunks(frame(spark, [])).count() == 0
+
+
+def test_pair_keys_meet_within_five_bits():
+    rng = np.random.default_rng(6)
+    f = rng.integers(0, 1 << 63, 300, dtype=np.int64).view(np.uint64)
+    for bits in range(6):
+        g = f.copy()
+        for k in range(len(g)):
+            for b in rng.choice(64, bits, replace=False):
+                g[k] ^= np.uint64(1) << np.uint64(b)
+        one, two = (set(zip(*(x.tolist() for x in simhash_dedup.pair_keys(v)), strict=True)) for v in (f, g))
+        assert {k for _, k in one & two} == set(range(300))
+
+
+def test_nearest_links_are_a_minimum_forest():
+    rng = np.random.default_rng(9)
+    f = np.unique(rng.integers(0, 1 << 14, 80).astype(np.uint64))
+    a, b = simhash_dedup.nearest_links(f, 3)
+    pairs = sorted((int(x ^ y).bit_count(), int(x), int(y)) for k, x in enumerate(f) for y in f[:k] if int(x ^ y).bit_count() <= 3)
+    root = {int(x): int(x) for x in f}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    total = count = 0
+    for d, x, y in pairs:
+        if find(x) != find(y):
+            root[find(x)] = find(y)
+            total, count = total + d, count + 1
+    assert len(a) == count and int(np.bitwise_count(a ^ b).sum()) == total
+
+
+def test_near_copies_by_similarity(spark):
+    rng = random.Random(12)
+    vocabulary = [f"v{k}" for k in range(3000)]
+    rows = []
+    for _ in range(30):
+        base = [rng.choice(vocabulary) for _ in range(rng.randrange(120, 300))]
+        rows.append((len(rows), " ".join(base)))
+        for _ in range(rng.randrange(3)):
+            words = base[:]
+            for _ in range(rng.randrange(1, 3)):
+                words[rng.randrange(len(words))] = rng.choice(vocabulary)
+            rows.append((len(rows), " ".join(words)))
+    n = len(rows)
+    rows += [(n, None), (n + 1, " "), (n + 2, "a b"), (n + 3, "a b c"), (None, rows[0][1]), (4, rows[4][1])]
+    sets = {}
+    for i, t in rows:
+        words = WORDS.findall(t or "")
+        sets[i] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+    ids = [i for i in sets if i is not None]
+    root = {i: i for i in ids}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in ids:
+        for b in ids:
+            union = sets[a] | sets[b]
+            if a < b and len(sets[a] & sets[b]) >= 0.8 * len(union):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    got = {r.doc_id: (r.component_id, r.kept) for r in simhash_dedup.near_copies(frame(spark, rows)).collect()}
+    assert got == {i: (find(i), find(i) == i) for i in ids}
+    assert simhash_dedup.near_copies(frame(spark, [])).count() == 0
