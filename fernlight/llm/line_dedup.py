@@ -7,8 +7,8 @@ two lines or more that also occurs earlier, in order of (document id, place), is
 
 Finding repeats moves no text: chunk hashes are counted by a partial aggregation, one row a task for
 a chunk that every document holds. The texts of chunks whose hash repeats are then fetched from
-their documents and grouped by the bytes themselves, not by hash; so equal chunks, and only these,
-share a first place. The text exchange, by document, serves all three passes.
+their documents and grouped by the bytes themselves, not by that hash; so equal chunks, and only
+these, share a first place. The SHA-256 of a group's bytes takes the place back to its chunks. The text exchange, by document, serves all three passes.
 
 Cases: null text counts as empty, which is one empty line. A last line without end is a line.
 Rows that repeat an id are ordered by a hash of the text; equal rows are one document, so a repeat of a whole row
@@ -61,8 +61,10 @@ def remove_repeated_chunks(docs: DataFrame, *, reach: int = 2, spread: int = 4,
     wanted = small.withColumn("nc", F.bitwise_not("c")).join(again.select(F.bitwise_not("c").alias("nc")), "nc").groupBy("d", "v").agg(F.sort_array(F.collect_set("k")).alias("ks"))
 
     found = cut.join(wanted, ["d", "v"]).select("d", "v", F.explode("ks").alias("k"), "lines", "starts", "ends").select("d", "v", "k", _text("k").alias("b"))
-    firsts = found.groupBy("b").agg(F.min(place).alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1").select("b", "low", F.bitwise_not(F.xxhash64("b")).alias("nb"))
-    gone = found.withColumn("nb", F.bitwise_not(F.xxhash64("b"))).join(firsts, ["nb", "b"]).where(place > F.col("low")).groupBy("d", "v").agg(F.collect_set("k").alias("gone"))
+    # groups are of the bytes; only their digests travel back
+    digest = F.unhex(F.sha2("b", 256))
+    firsts = found.groupBy("b").agg(F.min(place).alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1").select("low", digest.alias("e"))
+    gone = found.select("d", "v", "k", digest.alias("e")).join(firsts, "e").where(place > F.col("low")).groupBy("d", "v").agg(F.collect_set("k").alias("gone"))
 
     out = cut.join(gone, ["d", "v"], "left").withColumn("gone", F.coalesce("gone", F.expr("cast(array() as array<int>)")))
     left = F.expr("filter(transform(starts, (s, k) -> if(array_contains(gone, k), null, array_join(slice(lines, s + 1, ends[k] - s + 1), '\\n'))), x -> x is not null)")
