@@ -131,6 +131,11 @@ def percent_encoded(text: Column | str) -> Column:
     return out
 
 
+def short_hash(text: Column | str) -> Column:
+    """16 hex digits that name a path whatever its case."""
+    return F.substring(F.sha2(F.lower(_text(text)), 256), 1, 16)
+
+
 def has_marker(text: Column | str, markers: tuple[str, ...]) -> Column:
     low = F.lower(_text(text))
     found = F.lit(False)

@@ -295,6 +295,12 @@ def url_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(T.percent_encoded(F.concat(F.lit("#"), F.col("event_type"), F.lit(" OR a/b"))).alias("encoded"))
 
 
+@query("""SELECT DISTINCT '/Data/' || event_type || '/Posts' AS path, substr(sha256(lower('/Data/' || event_type || '/Posts')), 1, 16) AS suffix FROM events""")
+def path_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = adapter.read(spark, sf_dir, "events").select(F.concat(F.lit("/Data/"), F.col("event_type"), F.lit("/Posts")).alias("path")).distinct()
+    return paths.select("path", T.short_hash("path").alias("suffix"))
+
+
 @query(rf"""WITH {CONTENTS_SQL}, tk AS (SELECT doc_id, regexp_extract_all(normalized_content, '[\pL\pN_]{{2,}}') AS w FROM an),
 gr AS (SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS g FROM tk),
 bk AS (SELECT doc_id, (('0x' || substr(md5(g), 1, 8))::BIGINT % 16384)::INT AS bucket, count(*) AS n FROM gr GROUP BY 1, 2)

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fernlight.functions.features import with_features, with_signal
 from fernlight.operators import retention, vectors
 from fernlight.operators.dedupe import first_wins, new_only, seed_state
+from fernlight.operators.sampling import stride_sample
 from fernlight.operators.signals import language_counts, signals, summary
 from fernlight.settings import Settings
 from fernlight.sources import posts as store
@@ -33,6 +35,7 @@ def analyze(spark: SparkSession, source: str, out: str, *, minutes: int = 15, as
     sinks.write_vectors(vectors.hashed_vectors(posts, features=features), f"{out}/vectors")
     made = spark.read.parquet(f"{out}/vectors")
     sinks.write_json(vectors.vector_metadata(made, features), f"{out}/vectors_metadata.json")
+    sinks.plot_signals(stride_sample(rows), f"{out}/signals.svg")
     return {"summary": sinks.read_json(spark, f"{out}/summary.json"), "vectors": sinks.read_json(spark, f"{out}/vectors_metadata.json")}
 
 
@@ -54,9 +57,8 @@ def ingest(spark: SparkSession, raw: DataFrame, out: str, *, target: int, hours:
     empty = spark.createDataFrame([], "fingerprint string, tweet_id string")
     try:
         state = spark.read.schema(empty.schema).parquet(state_path)
-        state.limit(1).collect()
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
         state = empty
     state, seeded = seed_state(state, store.post_ids(have))
@@ -77,6 +79,3 @@ def ingest(spark: SparkSession, raw: DataFrame, out: str, *, target: int, hours:
         df.unpersist()
     return retention.report(existing, written, n - unique, written, target, state_path)
 
-
-def window_of(hours: int, as_of: datetime) -> datetime:
-    return as_of - timedelta(hours=hours)

@@ -101,6 +101,23 @@ def test_analyze_and_command_line(spark, tmp_path, capsys):
     assert json.loads(capsys.readouterr().out)["written_this_run"] == 25
 
 
+def test_ordered_map(spark):
+    from fernlight.operators.mapping import ordered_map
+
+    out = ordered_map(spark.range(0, 20, 1, 5), lambda x: x * x, column="id", result="square", result_type="long", order="id")
+    assert [r.square for r in out.collect()] == [x * x for x in range(20)]
+
+
+def test_plot(spark, tmp_path):
+    import xml.etree.ElementTree as ET
+
+    rows = spark.createDataFrame([("2024-01-01T00:00:00+00:00", "a<b", 1, 1, 1, 1, 0, 0, 0.5, 0.1, 0.9, 0.5, 0.0), ("2024-01-01T00:15:00+00:00", "a<b", 1, 1, 1, 1, 0, 0, -0.5, -0.9, -0.1, 0.5, 0.0)], SIGNALS)
+    for k, df in enumerate((rows, rows.limit(0))):
+        sinks.plot_signals(df, str(tmp_path / f"{k}.svg"))
+        tree = ET.fromstring("\n".join(r.value for r in spark.read.text(str(tmp_path / f"{k}.svg")).collect()))
+        assert len(tree.findall("{*}polyline")) == 1 - k
+
+
 def test_collector_source(spark):
     class Three(landing.Collector):
         def collect(self, *, queries, cutoff, target):
