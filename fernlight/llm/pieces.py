@@ -109,28 +109,29 @@ def _viterbi(v: Pieces, points: np.ndarray, at: np.ndarray, size: np.ndarray) ->
             live -= 1
         place = at[:live] + t
         point = points[place]
-        h, b = hashes[:live], before[:live]
+        low = max(0, wide - 1 - t)  # no substring is longer than what came
+        h, b = hashes[:live, low:], before[:live, low:]
         h[:, :-1] = h[:, 1:] * _BASE
         h[:, -1] = 0
         h += (point + 1).astype(np.uint64)[:, None]
-        row, col = np.nonzero(v.maybe[h >> np.uint64(44)] & (b > -np.inf))
+        row, col = np.nonzero(v.maybe[h >> np.uint64(44)])
         key = h[row, col]
         found = np.searchsorted(v.hashes, key)
         found[found == len(v.hashes)] = 0
         hit = v.hashes[found] == key
         row, col, found = row[hit], col[hit], found[hit]
-        # a mark of the text itself is no piece: it is given as a point behind all others
-        score = np.full((live, wide), -np.inf)
+        score = np.full(h.shape, -np.inf)
         score[row, col] = b[row, col] + v.scores[found]
-        which = np.zeros((live, wide), np.int32)
+        which = np.zeros(h.shape, np.int32)
         which[row, col] = v.ids[found]
         one = score[:, -1]
         lone = one == -np.inf
         one[lone] = b[lone, -1] + v.unknown
         best = score.argmax(axis=1)
         each = np.arange(live)
-        back[place] = wide - best
-        token[place] = np.where(lone & (best == wide - 1), -point - 1, which[each, best])
+        back[place] = h.shape[1] - best
+        token[place] = np.where(lone & (best == h.shape[1] - 1), -point - 1, which[each, best])
+        b = before[:live, max(0, low - 1) :]
         b[:, :-1] = b[:, 1:]
         b[:, -1] = score[each, best]
     # follow the backpointers of all words at once
