@@ -3,7 +3,8 @@
 A text is split into words as SentencePiece does: a space is written as the mark U+2581, one mark is
 put before the text, and a word is a run of marks with what follows up to the next mark. No piece has a
 mark behind another character (checked when a model is read), so the best pieces of a text are the
-best pieces of its words, and each distinct word of a chunk is cut once.
+best pieces of its words, and each distinct word of a chunk is cut once. Likewise a word is taken apart
+where no piece has its two neighbouring characters side by side.
 
 All distinct words of a chunk advance together, one character a step, longest words first so that
 those still running are a prefix; equal lengths end at the same step. At each character the hashes
@@ -17,7 +18,8 @@ joins pieces' bytes, turns marks into spaces and drops the first: it returns eve
 A mark in the text itself is stored as its three bytes, so it comes back as well.
 
 Cases: null text counts as empty, and an empty text has no pieces. Texts without a space are one
-word, whatever their length; memory follows 4 MB of text or one text.
+word, whatever their length: no cut of them is left out, but words this long advance alone and take
+some 40 microseconds a character. Memory follows 4 MB of text or one text.
 """
 
 from __future__ import annotations
@@ -53,6 +55,7 @@ class Pieces:
     data: np.ndarray  # what each id decodes to, one after the other
     offsets: np.ndarray
     maybe: np.ndarray  # by the first 20 bits of a hash: whether any piece begins so
+    neighbours: np.ndarray  # pairs of characters that are next to each other in a piece, sorted
 
     @classmethod
     def build(cls, pieces: list[tuple[int, str, float]], byte_ids: list[int], size: int) -> Pieces:
@@ -72,7 +75,7 @@ class Pieces:
         maybe[hashes >> np.uint64(44)] = True
         take = lambda k, t: np.array([x[k] for x in pieces], t)[order]
         scores = take(2, np.float64)
-        return cls(hashes[order], take(0, np.int32), scores, np.array([len(p) for _, p, _ in pieces])[order], max(len(p) for _, p, _ in pieces), float(scores.min()) - UNKNOWN_PENALTY, np.array(byte_ids, np.int32), np.frombuffer(b"".join(text), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in text])]), maybe)
+        return cls(hashes[order], take(0, np.int32), scores, np.array([len(p) for _, p, _ in pieces])[order], max(len(p) for _, p, _ in pieces), float(scores.min()) - UNKNOWN_PENALTY, np.array(byte_ids, np.int32), np.frombuffer(b"".join(text), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in text])]), maybe, np.array(sorted({ord(a) << 32 | ord(b) for _, p, _ in pieces for a, b in zip(p, p[1:])}), np.int64))
 
 
 def read_model(path: str) -> Pieces:
@@ -196,15 +199,25 @@ def encode_texts(v: Pieces, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray
     edge = np.concatenate([[0], np.cumsum((ends - starts)[example])])
     chars = np.concatenate([[0], np.cumsum(head)])[edge]
     points = np.where(points == 0x20, MARK, np.where(points == MARK, OWN_MARK, points))
-    order = np.argsort(-np.diff(chars), kind="stable")
-    tokens, counts = _viterbi(v, points, chars[:-1][order], np.diff(chars)[order])
+    # where no piece has two neighbours side by side, every cut of the word has a cut
+    pairs = points[:-1] << 32 | points[1:]
+    found = np.searchsorted(v.neighbours, pairs)
+    apart = np.ones(len(points), bool)
+    if len(v.neighbours):
+        apart[1:] = v.neighbours[np.minimum(found, len(v.neighbours) - 1)] != pairs
+    apart[chars[:-1]] = True
+    part = np.flatnonzero(apart)
+    size_of = np.diff(np.append(part, len(points)))
+    order = np.argsort(-size_of, kind="stable")
+    tokens, counts = _viterbi(v, points, part[order], size_of[order])
     tokens, counts = _expand(v, tokens, counts)
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
-    begin = np.cumsum(counts) - counts
-    of = rank[which]
-    ids = tokens[ragged(begin[of], counts[of])]
-    word_total = np.concatenate([[0], np.cumsum(counts[of])])
+    tokens, counts = tokens[ragged((np.cumsum(counts) - counts)[rank], counts[rank])], counts[rank]
+    total = np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(part, chars)]
+    begin, counts = total[:-1], np.diff(total)
+    ids = tokens[ragged(begin[which], counts[which])]
+    word_total = np.concatenate([[0], np.cumsum(counts[which])])
     return ids, np.diff(word_total[np.searchsorted(starts, offsets)])
 
 
