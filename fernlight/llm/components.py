@@ -12,10 +12,12 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     """Each node's neighbours are tied to the least of them: all larger ones, or all smaller ones and itself."""
     sides = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges
     least = sides.groupBy("a").agg(F.min("b").alias("m"))
+    # the key is written anew so that both sides are shuffled for the join, which AQE needs to split a hub
+    own = least.select(F.bitwise_not("a").alias("na"), "m")
     if large:
-        near = sides.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
+        near = sides.where("b > a").withColumn("na", F.bitwise_not("a")).join(own, "na").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
     else:
-        near = sides.join(least, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
+        near = sides.withColumn("na", F.bitwise_not("a")).join(own, "na").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
     return near.where("a > b").distinct()
 
 

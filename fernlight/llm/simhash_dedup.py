@@ -313,7 +313,9 @@ def near_groups(docs: DataFrame, *, shingle: int = 4, block: int = 1 << 15, id_c
     roots = components(fingerprint_links(distinct.select("f"), block=block))
     rooted = distinct.join(roots, F.col("f") == F.col("node"), "left").select("f", "low", "n", F.coalesce("root", "f").alias("root"))
     totals = rooted.groupBy("root").agg(F.min("low").alias("component_id"), F.sum("n").alias("group_size"))
-    named = rooted.join(totals, "root").select("f", "component_id", "group_size")
+    # the key is written anew so that both sides are shuffled for the join, which AQE needs to split a large group
+    totals = totals.select(F.bitwise_not("root").alias("nr"), "component_id", "group_size")
+    named = rooted.withColumn("nr", F.bitwise_not("root")).join(totals, "nr").select("f", "component_id", "group_size")
     out = own.join(named, "f")
     return out.select(F.col("i").alias(id_col), F.lpad(F.lower(F.hex("f")), 16, "0").alias("fingerprint"), "component_id", "group_size", F.col("i").eqNullSafe(F.col("component_id")).alias("kept"))
 
