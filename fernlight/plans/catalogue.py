@@ -13,6 +13,7 @@ from fernlight.functions import text as T
 from fernlight.functions.lexicon import ACCESS_MARKERS, BEARISH, BULLISH, NEGATIONS, RISK
 from fernlight.functions.numbers import compact_count, round6
 from fernlight.operators import dedupe, retention, sampling, search, signals, vectors
+from fernlight.operators.mapping import spread
 from fernlight.sources import adapter, landing, posts, synthetic
 from fernlight.sources.adapter import AS_OF, CONTENTS_SQL, EVENTS_SQL, as_of, contents, events, raw_posts
 
@@ -35,7 +36,7 @@ def query(sql: str | None = None) -> Callable:
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, raw, content (normalised), normalized_content (for analysis), each once a document."""
-    docs = contents(spark, sf_dir).select("doc_id", F.col("content").alias("raw"))
+    docs = spread(contents(spark, sf_dir).select("doc_id", F.col("content").alias("raw")))
     return docs.withColumn("content", T.normalize_text("raw")).withColumn("normalized_content", T.for_analysis("content"))
 
 
