@@ -165,9 +165,9 @@ def _features_of(text: Column) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
     """Fits the model to at most `sample` positives and `sample` unlabelled rows of docs, none of them held out."""
-    few = lambda df: df.where(F.col("i").isNotNull() & ~held_out(F.col("i"))).orderBy(F.xxhash64("i"), "i").limit(sample)
-    trusted = few(labels.where(F.col(label_col) == 1).select(F.col(id_col).cast("long").alias("i")).distinct()).withColumn("p", F.lit(True))
-    web = few(docs.select(F.col(id_col).cast("long").alias("i")).distinct()).withColumn("p", F.lit(False))
+    few = lambda df: df.where(F.col("i").isNotNull() & ~held_out(F.col("i"))).orderBy(F.xxhash64("i"), "i").limit(sample).distinct()
+    trusted = few(labels.where(F.col(label_col) == 1).select(F.col(id_col).cast("long").alias("i"))).withColumn("p", F.lit(True))
+    web = few(docs.select(F.col(id_col).cast("long").alias("i"))).withColumn("p", F.lit(False))
     drawn = F.broadcast(trusted.union(web))  # 2 * sample rows at most
     rows = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t")).join(drawn, "i").select("p", _features_of(F.col("t")).alias("x"))
     got = rows.toArrow()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fernlight.llm import exact_dedup, html_text, line_dedup, media, mixing, pieces, quality, sharding, simhash_dedup, substring_dedup
 from fernlight.llm.common import ship
+from fernlight.operators.mapping import spread
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -20,7 +21,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.text_media_digests(_read(spark, sf_dir, "documents"))
+    return media.text_media_digests(spread(_read(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,19 +29,19 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.score_quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+    return quality.score_quality(spread(_read(spark, sf_dir, "documents").select("doc_id", "text")), _read(spark, sf_dir, "labels"))
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encoded_digests(_read(spark, sf_dir, "documents"))
+    return pieces.encoded_digests(spread(_read(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_text.extract_main_text(_read(spark, sf_dir, "pages"))
+    return html_text.extract_main_text(spread(_read(spark, sf_dir, "pages")))
 
 
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash_dedup.near_groups(_read(spark, sf_dir, "documents"), shingle=4)
+    return simhash_dedup.near_groups(spread(_read(spark, sf_dir, "documents").select("doc_id", "text")), shingle=4)
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
