@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -118,6 +118,7 @@ def blocks_of(html: str) -> list[Block]:
     """Text blocks in page order."""
     root = Node("", None, 0, 0, False, BIAS)
     stack, out = [root], []
+    opened: Counter[str] = Counter()  # elements of the stack by name
     pieces: list[str] = []
     in_link = linked = 0
     skipped = ""  # name of the element whose inside is no text
@@ -135,6 +136,11 @@ def blocks_of(html: str) -> list[Block]:
             pieces.clear()
         linked = 0
 
+    def close(k: int) -> None:
+        for x in stack[k:]:
+            opened[x.tag] -= 1
+        del stack[k:]
+
     def say(text: str) -> None:
         nonlocal linked
         if text and not skipped:
@@ -169,16 +175,12 @@ def blocks_of(html: str) -> list[Block]:
             in_link = 0 if closing else 1
             continue
         if closing:
-            if name in BLOCKS:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].tag == name:
-                        flush()
-                        del stack[k:]
-                        in_link = 0
-                        break
-                else:
-                    if name == "p":
-                        flush()
+            if opened[name]:
+                flush()
+                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == name))
+                in_link = 0
+            elif name == "p":
+                flush()
             continue
         if name in VOID:
             continue
@@ -203,20 +205,21 @@ def blocks_of(html: str) -> list[Block]:
             continue
         flush()
         if name in CLOSES_P and stack[-1].tag == "p":
-            stack.pop()
-        if name in ENDS:
+            close(len(stack) - 1)
+        if name in ENDS and any(opened[x] for x in ENDS[name][0].split()):
             ended, until = ENDS[name]
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag in until:
                     break
                 if stack[k].tag in ended.split():
-                    del stack[k:]
+                    close(k)
                     break
         node = _child(name, attrs, stack[-1])
         if node is None:
             skipped, depth = name, 1
         else:
             stack.append(node)
+            opened[name] += 1
     flush()
     return out
 

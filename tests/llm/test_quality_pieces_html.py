@@ -191,3 +191,9 @@ def test_page_rows(spark):
     by = {r.page_id: r.text for r in out}
     assert all(by[k] == want for k, (_, want) in enumerate(PAGES)) and by[99].count("many") == 5000
     assert html_text.extract_main_text(pages.limit(0)).count() == 0
+
+
+def test_deep_and_unbalanced_pages_take_linear_time():
+    text = "A sentence that is long enough to be part of the article."
+    for page in ("<div>" * 30_000 + f"<p>{text}</p>" + "</section>" * 30_000, f"<article><p>{text}</p>" + "<li>x" * 20_000 + "</article>", "<" * 50_000 + f"<p>{text}</p>", f"<article><p>{text}</p>" + "<a href='" * 2_000):
+        assert text in html_text.main_text(page)
