@@ -20,6 +20,8 @@ compared by search: what a fingerprint reaches is taken out, so a group of n nea
 n - 1 links and not n * n. Buckets over `block` fingerprints are compared block by block and then
 pair of blocks by pair of blocks, in tasks of their own. Every link is verified by counting bits.
 
+Long texts are hashed in parts of 4 MB that overlap by a shingle less one word.
+
 Cases: null and empty texts and texts of white space have fingerprint zero and link like others.
 Rows that repeat an id count once as a node and keep their rows. A null id is never the component's
 id unless it is alone.
@@ -27,6 +29,7 @@ id unless it is alone.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +43,7 @@ from fernlight.llm.components import components
 
 RADIUS = 4
 SEGMENTS = ((42, 22), (21, 21), (0, 21))
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -59,23 +63,56 @@ def _hashes(text: bytes, shingle: int) -> list[int]:
     return [digest(line[s:e], 42) for s, e in zip(starts, (ends[shingle - 1 :] - 1).tolist(), strict=True)]
 
 
-def fingerprints(texts: list[bytes], shingle: int, distinct: bool = False) -> np.ndarray:
+def _parts(text: bytes, shingle: int, limit: int) -> Iterator[bytes]:
+    """A text in parts of about `limit` bytes that hold each of its shingles once."""
+    if len(text) <= limit:
+        yield text
+        return
+    at, carried, some = 0, [], False
+    while at < len(text):
+        space = _SPACE.search(text, at + limit)
+        end = space.start() if space else len(text)
+        words = carried + text[at:end].split()
+        at = end
+        if len(words) >= shingle:
+            yield b" ".join(words)
+            some, carried = True, words[len(words) - shingle + 1 :]
+        else:
+            carried = words
+    if not some:
+        yield b" ".join(carried)
+
+
+def fingerprints(texts: list[bytes], shingle: int, distinct: bool = False, limit: int = 1 << 22) -> np.ndarray:
     """SimHash of each text, as unsigned 64-bit numbers. distinct: each shingle counts once."""
-    hashes, counts = [], []
-    for text in texts:
-        made = _hashes(text, shingle)
-        if distinct:
-            made = list(set(made))
-        hashes += made
-        counts.append(len(made))
-    n = len(counts)
-    counts = np.array(counts, np.int64)
-    parts = np.array(hashes, np.uint64).astype(">u8").view(np.uint8).reshape(-1, 8)
-    row = np.repeat(np.arange(n, dtype=np.int64) << 8, counts)
+    arrays, hashes, owners, counts, long = [], [], [], [], False
+    for k, text in enumerate(texts):
+        long |= len(text) > limit
+        for part in _parts(text, shingle, limit):
+            made = _hashes(part, shingle)
+            if distinct:
+                made = list(set(made))
+            hashes += made
+            owners.append(k)
+            counts.append(len(made))
+            if len(hashes) > 1 << 19:
+                arrays.append(np.array(hashes, np.uint64))
+                hashes = []
+    arrays.append(np.array(hashes, np.uint64))
+    values, owner = np.concatenate(arrays), np.repeat(np.array(owners, np.int64), counts)
+    if distinct and long:
+        order = np.lexsort((values, owner))
+        values, owner = values[order], owner[order]
+        new = np.ones(len(values), bool)
+        new[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
+        values, owner = values[new], owner[new]
+    n = len(texts)
+    totals = np.bincount(owner, minlength=n)
+    bytes_of = values.astype(">u8").view(np.uint8).reshape(-1, 8)
     out = np.zeros(n, np.uint64)
     for k in range(8):
-        seen = np.bincount(row + parts[:, k], minlength=n << 8).reshape(n, 256) @ _BITS
-        out = (out << np.uint64(8)) | np.packbits(seen * 2 > counts[:, None], axis=1)[:, 0].astype(np.uint64)
+        seen = np.bincount((owner << 8) + bytes_of[:, k], minlength=n << 8).reshape(n, 256) @ _BITS
+        out = (out << np.uint64(8)) | np.packbits(seen * 2 > totals[:, None], axis=1)[:, 0].astype(np.uint64)
     return out
 
 

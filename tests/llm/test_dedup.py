@@ -152,6 +152,16 @@ def test_near(spark, block):
         assert out[i].fingerprint == f"{f:016x}" and out[i].component_id == smallest[r] and out[i].kept == (i == smallest[r]), i
 
 
+@pytest.mark.parametrize("shingle", [1, 2, 4])
+@pytest.mark.parametrize("distinct", [False, True])
+def test_parts_of_long_texts_change_nothing(shingle, distinct):
+    rng = random.Random(8)
+    texts = [b"", b" ", b"x" * 90, b"a b", *(b" ".join(rng.choice([b"aa", b"Bb", b"c" * 30, b"dd\t"]) for _ in range(rng.randrange(200))) for _ in range(30))]
+    whole = simhash_dedup.fingerprints(texts, shingle, distinct)
+    for limit in (1, 7, 40):
+        assert np.array_equal(whole, simhash_dedup.fingerprints(texts, shingle, distinct, limit=limit))
+
+
 def test_near_empty_and_repeated_rows(spark):
     assert simhash_dedup.near_groups(frame(spark, [])).count() == 0
     got = simhash_dedup.near_groups(frame(spark, [(4, "a b c d"), (4, "a b c d"), (None, "q r s t")])).collect()
