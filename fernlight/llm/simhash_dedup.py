@@ -211,13 +211,15 @@ def pair_keys(f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _deal(keys_of):
+    """Rows (key, columns) of each key of the first column."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            f = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            for i in range(0, len(f), 1 << 13):
-                part = f[i : i + (1 << 13)]
-                keys, at = keys_of(part)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(part[at].view(np.int64))], ["k", "f"])
+            columns = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]
+            for i in range(0, batch.num_rows, 1 << 13):
+                part = [c[i : i + (1 << 13)] for c in columns]
+                keys, at = keys_of(part[0].view(np.uint64))
+                yield pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array(c[at]) for c in part)], ["k", *batch.schema.names])
 
     return run
 
@@ -225,71 +227,91 @@ def _deal(keys_of):
 # --- buckets
 
 
-def links(f: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect what pairs of distinct f within radius connect: a spanning forest."""
-    alone = f.copy()
-    left, right = [], []
+def links(f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of links that connect what pairs of distinct f within RADIUS connect: a spanning forest."""
+    alone = np.arange(len(f))
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     while len(alone) > 1:
         front, alone = alone[:1], alone[1:]
         while len(front) and len(alone):
             step = front[: max(1, (1 << 22) // len(alone))]
             front = front[len(step) :]
-            near = np.bitwise_count(step[:, None] ^ alone[None, :]) <= radius
+            near = np.bitwise_count(f[step][:, None] ^ f[alone][None, :]) <= RADIUS
             hit = near.any(axis=0)
             if hit.any():
                 left.append(step[near[:, hit].argmax(axis=0)])
                 right.append(alone[hit])
                 front = np.concatenate([front, alone[hit]])
                 alone = alone[~hit]
-    none = np.zeros(0, np.uint64)
-    return np.concatenate(left or [none]), np.concatenate(right or [none])
-
-
-def nearest_links(f: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """A minimum spanning forest of the pairs of distinct f within radius, by Prim's algorithm."""
-    far = np.uint8(255)
-    distance = np.bitwise_count(f ^ f[0])
-    by = np.zeros(len(f), np.int64)
-    distance[0] = far
-    alone = np.ones(len(f), bool)
-    alone[0] = False
+    return np.concatenate(left), np.concatenate(right)
+
+
+#: Bits that candidates for similarity may differ in: fingerprints of word pairs, and of four words.
+PAIR_RADIUS, FOUR_RADIUS = 12, 16
+_FAR = np.uint8(255)
+
+
+def _apart(two: np.ndarray, four: np.ndarray, k) -> np.ndarray:
+    """Bits between fingerprints of word pairs, 255 where either of the two distances is over its radius."""
+    d = np.bitwise_count(two ^ two[k])
+    d[(d > PAIR_RADIUS) | (np.bitwise_count(four ^ four[k]) > FOUR_RADIUS)] = _FAR
+    return d
+
+
+def nearest_links(two: np.ndarray, four: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of a minimum spanning forest of the pairs within both radii, by Prim's algorithm."""
+    distance = _apart(two, four, 0)
+    by = np.zeros(len(two), np.int64)
+    alone = np.ones(len(two), bool)
+    distance[0], alone[0] = _FAR, False
     left, right = [], []
-    for _ in range(len(f) - 1):
+    for _ in range(len(two) - 1):
         k = int(distance.argmin())
-        if distance[k] <= radius:
+        if distance[k] < _FAR:
             left.append(by[k])
             right.append(k)
+        else:
+            k = int(alone.argmax())
         alone[k] = False
-        d = np.bitwise_count(f ^ f[k])
+        d = _apart(two, four, k)
         closer = alone & (d < distance)
         distance[closer], by[closer] = d[closer], k
-        distance[k] = far
-    return f[np.array(left, np.int64)], f[np.array(right, np.int64)]
+        distance[k] = _FAR
+    return np.array(left, np.int64), np.array(right, np.int64)
 
 
-def _search(block: int, radius: int = RADIUS, connect=links):
-    """Reads rows (key, fingerprint) in order of both; makes links (0, a, b) and, of buckets over block, (block + 1, key, fingerprint)."""
+def _search(block: int, width: int, connect):
+    """Reads rows (key, width fingerprints) in their order; makes links (0, fingerprints, fingerprints) and, of buckets over block, (block + 1, key and zeros, fingerprints)."""
+    names = ["z", *(f"a{c}" for c in range(width)), *(f"b{c}" for c in range(width))]
+
+    def told(left: np.ndarray, right: np.ndarray, out: list, z: int = 0) -> None:
+        out.append([np.full(len(left), z), *left.view(np.int64).T, *right.view(np.int64).T])
 
     def finish(key: int, values: np.ndarray, out: list) -> None:
-        values = np.unique(values)
+        new = np.ones(len(values), bool)
+        new[1:] = (values[1:] != values[:-1]).any(axis=1)
+        values = values[new]
         if len(values) < 2:
             return
         for k, at in enumerate(range(0, len(values), block)):
             part = values[at : at + block]
-            a, b = connect(part, radius)
-            out.append((np.zeros(len(a), np.int64), a.view(np.int64), b.view(np.int64)))
+            a, b = connect(*part.T)
+            told(part[a], part[b], out)
             if len(values) > block:
-                out.append((np.full(len(part), k + 1), np.full(len(part), key), part.view(np.int64)))
+                own = np.zeros_like(part)
+                own[:, 0] = np.int64(key).view(np.uint64)
+                told(own, part, out, k + 1)
 
     def batch_of(out: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["z", "a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*out, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_key, held = None, []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, f = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (0, 1))
+            key, *columns = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(width + 1))
+            values = np.stack(columns, axis=1).view(np.uint64)
             edge = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
             out: list = []
             if held_key is not None and key[0] != held_key:
@@ -299,11 +321,13 @@ def _search(block: int, radius: int = RADIUS, connect=links):
             inner = np.ones(len(sizes), bool)
             inner[[0, -1]] = False
             two = edge[:-1][inner & (sizes == 2)]  # most buckets hold one or two
-            a, b = f[two], f[two + 1]
-            near = (np.bitwise_count((a ^ b).view(np.uint64)) <= radius) & (a != b)
-            out.append((np.zeros(int(near.sum()), np.int64), a[near], b[near]))
+            a, b = values[two], values[two + 1]
+            bits = np.bitwise_count(a ^ b)
+            near = (bits[:, 0] <= RADIUS) if width == 1 else (bits[:, 0] <= PAIR_RADIUS) & (bits[:, 1] <= FOUR_RADIUS)
+            near &= bits.any(axis=1)
+            told(a[near], b[near], out)
             for r in np.flatnonzero((sizes > 2) | ~inner):
-                part = f[edge[r] : edge[r + 1]].view(np.uint64)
+                part = values[edge[r] : edge[r + 1]]
                 if r == len(sizes) - 1:
                     held = [*held, part] if held_key == key[-1] else [part]
                     held_key = key[-1]
@@ -322,24 +346,28 @@ def _search(block: int, radius: int = RADIUS, connect=links):
     return run
 
 
-def _connected(keyed: DataFrame, block: int, radius: int, connect) -> DataFrame:
-    """Links (a, b) of rows (k, f): those that connect makes of each bucket, and of each pair of blocks of a bucket over block."""
-    form = "z long, a long, b long"
-    found = checkpointed(keyed.repartition("k").sortWithinPartitions("k", "f").mapInArrow(_search(block, radius, connect), form))
-    edges, wide = found.where("z = 0").select("a", "b"), found.where("z > 0")
+def _connected(keyed: DataFrame, block: int, connect) -> DataFrame:
+    """Links (a0.., b0..) of rows (k, f0..): those that connect makes of each bucket, and of each pair of blocks of a bucket over block."""
+    values = keyed.columns[1:]
+    width = len(values)
+    left, right = [f"a{c}" for c in range(width)], [f"b{c}" for c in range(width)]
+    form = ", ".join(f"{c} long" for c in ["z", *left, *right])
+    found = checkpointed(keyed.repartition("k").sortWithinPartitions("k", *values).mapInArrow(_search(block, width, connect), form))
+    edges, wide = found.where("z = 0").select(*left, *right), found.where("z > 0")
     if wide.agg(F.max("z")).first()[0]:
-        blocks = wide.groupBy(F.col("a").alias("k")).agg(F.max("z").alias("m"))
-        spread = wide.select(F.col("a").alias("k"), F.col("b").alias("f"), "z").join(blocks, "k").withColumn("o", F.explode(F.sequence(F.lit(1).cast("long"), "m"))).where("o <> z")
+        blocks = wide.groupBy(F.col("a0").alias("k")).agg(F.max("z").alias("m"))
+        named = wide.select(F.col("a0").alias("k"), *[F.col(r).alias(v) for r, v in zip(right, values, strict=True)], "z")
+        spread = named.join(blocks, "k").withColumn("o", F.explode(F.sequence(F.lit(1).cast("long"), "m"))).where("o <> z")
         # two blocks have a task's key of their own; links within each are made already
-        pair = spread.select(F.xxhash64("k", F.least("z", "o"), F.greatest("z", "o")).alias("k"), "f")
-        more = pair.repartition("k").sortWithinPartitions("k", "f").mapInArrow(_search(2 * block, radius, connect), form)
-        edges = edges.union(more.where("z = 0").select("a", "b"))
+        pair = spread.select(F.xxhash64("k", F.least("z", "o"), F.greatest("z", "o")).alias("k"), *values)
+        more = pair.repartition("k").sortWithinPartitions("k", *values).mapInArrow(_search(2 * block, width, connect), form)
+        edges = edges.union(more.where("z = 0").select(*left, *right))
     return edges
 
 
 def fingerprint_links(distinct: DataFrame, *, block: int = 1 << 15) -> DataFrame:
     """Links (a, b) among distinct fingerprints f; they connect all that pairs within RADIUS connect."""
-    return _connected(distinct.mapInArrow(_deal(bucket_keys), "k long, f long"), block, RADIUS, links)
+    return _connected(distinct.mapInArrow(_deal(bucket_keys), "k long, f long"), block, links).toDF("a", "b")
 
 
 def near_groups(docs: DataFrame, *, shingle: int = 4, block: int = 1 << 15, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -359,14 +387,17 @@ def near_groups(docs: DataFrame, *, shingle: int = 4, block: int = 1 << 15, id_c
 
 # --- near copies by similarity
 
+#: Ids that are broadcast at most; more are joined by a shuffle.
+FEW_IDS = 1_000_000
 
-def _word_fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _two_fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         raw, at = column_bytes(batch.column(1))
         for i, j in chunks(at, 1 << 20):
             texts = [raw[at[k] : at[k + 1]].tobytes() for k in range(i, j)]
-            made = [fingerprints(texts, 4), fingerprints(texts, 1, distinct=True), fingerprints(texts, 2, distinct=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *(pa.array(x.view(np.int64)) for x in made)], ["i", "f", "f1", "f2"])
+            made = [fingerprints(texts, 4), fingerprints(texts, 2, distinct=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *(pa.array(x.view(np.int64)) for x in made)], ["i", "f", "f2"])
 
 
 def _shingle_sets(shingle: int):
@@ -382,37 +413,46 @@ def _shingle_sets(shingle: int):
     return run
 
 
-def _doc_links(own: DataFrame, fingerprint: str, edges: DataFrame) -> DataFrame:
-    """Links of fingerprints as links (a, b) of ids: each fingerprint's smallest id with those of its links, and with its other ids."""
-    named = own.select("i", F.col(fingerprint).alias("f"))
-    least = named.groupBy("f").agg(F.min("i").alias("low"))
-    within = named.join(least.select(F.bitwise_not("f").alias("nf"), "low"), F.bitwise_not(named["f"]) == F.col("nf")).where("i <> low").select(F.col("low").alias("a"), F.col("i").alias("b"))
-    across = edges.join(least.select(F.col("f").alias("a"), F.col("low").alias("x")), "a").join(least.select(F.col("f").alias("b"), F.col("low").alias("y")), "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    return within.union(across)
+def few(ids: DataFrame) -> DataFrame:
+    """ids, marked for broadcast if they are counted to be few."""
+    return F.broadcast(ids) if ids.count() <= FEW_IDS else ids
+
 
+def _least_ids(own: DataFrame, fingerprints: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The smallest id of each combination of fingerprints, and links (a, b) from it to the other ids of the combination."""
+    least = own.groupBy(*fingerprints).agg(F.min("i").alias("low"))
+    anew = [F.bitwise_not(F.col(c)).alias(f"n{c}") for c in fingerprints]  # shuffled for the join on both sides, so that AQE can split a group
+    within = own.select("i", *anew).join(least.select("low", *anew), [f"n{c}" for c in fingerprints]).where("i <> low")
+    return least, within.select(F.col("low").alias("a"), F.col("i").alias("b"))
 
-def near_copies(docs: DataFrame, *, similarity: float = 0.8, shingle: int = 5, radius: int = 12, block: int = 1 << 15, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+
+def near_copies(docs: DataFrame, *, similarity: float = 0.8, shingle: int = 5, block: int = 1 << 15, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per distinct id: id, component_id, kept (one id a group). Links are those of near_groups, and all candidates that are similar.
 
-    Candidates come from two more fingerprints, of distinct words and of distinct pairs of words, where a
-    changed word moves fewer bits than in longer shingles. Their Golay keys are dealt in pairs of
-    segments, and each bucket gives its minimum spanning forest within `radius` bits, so that a pair
-    that is nearer than others is not hidden by them. A candidate counts if the sets of its
+    Candidates come from a second fingerprint, of distinct pairs of words, where a changed word moves
+    fewer bits than in longer shingles. Its Golay keys are dealt in pairs of segments, and each bucket
+    gives its minimum spanning forest of the pairs that are within PAIR_RADIUS bits there and within
+    FOUR_RADIUS bits of the four-word fingerprint; nearer pairs are so not hidden by others, and texts
+    that only meet by chance are told apart before any is fetched. A candidate counts if the sets of its
     `shingle`-word shingles have a Jaccard similarity of `similarity` or more, computed exactly.
     Null ids are left out.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = docs.select(F.col(id_col).cast("long").alias("i"), text.alias("t")).where("i is not null")
-    own = checkpointed(texts.mapInArrow(_word_fingerprints, "i long, f long, f1 long, f2 long"))
-    sure = _doc_links(own, "f", fingerprint_links(own.select("f").distinct(), block=block))
-    maybe = None
-    for kind in ("f1", "f2"):
-        keyed = own.select(F.col(kind).alias("f")).distinct().mapInArrow(_deal(pair_keys), "k long, f long")
-        some = _doc_links(own, kind, _connected(keyed, block, radius, nearest_links))
-        maybe = some if maybe is None else maybe.union(some)
-    maybe = checkpointed(maybe.distinct())
+    own = checkpointed(texts.mapInArrow(_two_fingerprints, "i long, f long, f2 long"))
+
+    least, within = _least_ids(own, ["f"])
+    across = fingerprint_links(least.select("f"), block=block).join(least.select(F.col("f").alias("a"), F.col("low").alias("x")), "a").join(least.select(F.col("f").alias("b"), F.col("low").alias("y")), "b")
+    sure = within.union(across.select("x", "y"))
+
+    least, within = _least_ids(own, ["f2", "f"])
+    keyed = least.select("f2", "f").mapInArrow(_deal(pair_keys), "k long, f2 long, f long")
+    ends = [least.select(F.col("f2").alias(f"{s}0"), F.col("f").alias(f"{s}1"), F.col("low").alias(x)) for s, x in (("a", "x"), ("b", "y"))]
+    across = _connected(keyed, block, nearest_links).distinct().join(ends[0], ["a0", "a1"]).join(ends[1], ["b0", "b1"])
+    maybe = checkpointed(within.union(across.select(F.least("x", "y"), F.greatest("x", "y"))).distinct())
+
     named = maybe.select(F.explode(F.array("a", "b")).alias("i")).distinct()
-    sets = checkpointed(texts.join(named, "i").mapInArrow(_shingle_sets(shingle), "i long, s array<long>"))
+    sets = checkpointed(texts.join(few(named), "i").mapInArrow(_shingle_sets(shingle), "i long, s array<long>"))
     both = maybe.join(sets.select(F.col("i").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("i").alias("b"), F.col("s").alias("sb")), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - shared
