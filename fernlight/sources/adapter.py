@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fernlight.operators.mapping import spread
+
 AS_OF = "2024-01-31 00:00:00"
 
 EXTRA = {0: " not buy not buy", 1: " SURE SHOT guaranteed 100%", 2: " नहीं तेजी गिरावट", 3: " never red no breakout"}
@@ -42,7 +44,7 @@ def contents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts without text, and the doc_id of their text."""
     n = read(spark, sf_dir, "documents").agg(F.count(F.lit(1)).alias("n_docs"))
-    e = read(spark, sf_dir, "events").crossJoin(F.broadcast(n))  # one row
+    e = spread(read(spark, sf_dir, "events")).crossJoin(F.broadcast(n))  # one row
     tag = F.create_map(*[F.lit(x) for kv in TAGS.items() for x in kv])[F.col("event_type")]
     return e.select(
         F.col("event_id").cast("string").alias("tweet_id"),
