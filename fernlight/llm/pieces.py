@@ -19,7 +19,7 @@ A mark in the text itself is stored as its three bytes, so it comes back as well
 
 Cases: null text counts as empty, and an empty text has no pieces. Texts without a space are one
 word, whatever their length: no cut of them is left out, but words this long advance alone and take
-some 40 microseconds a character. Memory follows 4 MB of text or one text.
+some 40 microseconds a character. Memory follows 2 MB of text or one text.
 """
 
 from __future__ import annotations
@@ -251,7 +251,7 @@ def encode(docs: DataFrame, *, model: str | Pieces = DEFAULT_MODEL, id_col: str
         v = vocabulary.value
         for batch in batches:
             raw, at = column_bytes(batch.column(1))
-            for i, j in chunks(at, 4 << 20):
+            for i, j in chunks(at, 2 << 20):
                 ids, counts = encode_texts(v, raw, at[i : j + 1])
                 lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32), ids)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), lists, pa.array(counts)], ["i", "ids", "n_tokens"])
@@ -285,7 +285,7 @@ def encoded_digests(docs: DataFrame, *, model: str | Pieces = DEFAULT_MODEL, id_
         v = vocabulary.value
         for batch in batches:
             raw, at = column_bytes(batch.column(1))
-            for i, j in chunks(at, 4 << 20):
+            for i, j in chunks(at, 2 << 20):
                 ids, counts = encode_texts(v, raw, at[i : j + 1])
                 back, edge = decode_ids(v, ids, counts)
                 cut = np.concatenate([[0], np.cumsum(counts)])
