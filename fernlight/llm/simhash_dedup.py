@@ -400,15 +400,23 @@ def _two_fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *(pa.array(x.view(np.int64)) for x in made)], ["i", "f", "f2"])
 
 
+def _sets(texts: list[bytes], shingle: int, limit: int = 1 << 22) -> tuple[np.ndarray, np.ndarray]:
+    """The set of shingle hashes of each text, one after the other, and len + 1 offsets."""
+    sets = [np.unique(np.concatenate([np.array(_hashes(part, shingle), np.uint64) for part in _parts(text, shingle, limit)])) for text in texts]
+    return np.concatenate([np.zeros(0, np.uint64), *sets]), np.concatenate([[0], np.cumsum([len(x) for x in sets], dtype=np.int64)])
+
+
 def _shingle_sets(shingle: int):
+    """Sets of shingles in place of the texts in the second column; the other columns stay."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, at = column_bytes(batch.column(1))
             for i, j in chunks(at, 1 << 20):
-                sets = [np.unique(np.array(_hashes(raw[at[k] : at[k + 1]].tobytes(), shingle), np.uint64)) for k in range(i, j)]
-                size = np.array([len(x) for x in sets])
-                values = pa.array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(size)]).astype(np.int32), values)], ["i", "s"])
+                values, ends = _sets([raw[at[k] : at[k + 1]].tobytes() for k in range(i, j)], shingle)
+                sets = pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(values.view(np.int64)))
+                others = [c.slice(i, j - i) for c in batch.columns]
+                yield pa.RecordBatch.from_arrays([others[0], sets, *others[2:]], [batch.schema.names[0], "s", *batch.schema.names[2:]])
 
     return run
 
@@ -426,15 +434,99 @@ def _least_ids(own: DataFrame, fingerprints: list[str]) -> tuple[DataFrame, Data
     return least, within.select(F.col("low").alias("a"), F.col("i").alias("b"))
 
 
-def near_copies(docs: DataFrame, *, similarity: float = 0.8, shingle: int = 5, block: int = 1 << 15, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar_links(values: np.ndarray, at: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of links that connect what pairs of sets with a Jaccard similarity of `similarity` or more connect: a spanning forest.
+
+    The sets are values between the offsets at. What a set reaches is taken out, and all others are
+    compared with each set reached, by counts over an index of the sets not yet taken.
+    """
+    size, n = np.diff(at), len(at) - 1
+    code = np.unique(values, return_inverse=True)[1]
+    order = np.argsort(code, kind="stable")
+    owner, coded = np.repeat(np.arange(n), size)[order], code[order]
+    codes = int(coded[-1]) + 1 if len(coded) else 0
+    alone, rest, indexed = np.ones(n, bool), n, n
+    many = np.bincount(coded, minlength=codes)
+    first = np.cumsum(many) - many
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for seed in range(n):
+        if not alone[seed]:
+            continue
+        front, alone[seed], rest = [seed], False, rest - 1
+        while front and rest:
+            if rest < indexed // 2:
+                keep = alone[owner]
+                owner, coded, indexed = owner[keep], coded[keep], rest
+                many = np.bincount(coded, minlength=codes)
+                first = np.cumsum(many) - many
+            k = front.pop()
+            own = code[at[k] : at[k + 1]]
+            shared = np.bincount(owner[ragged(first[own], many[own])], minlength=n)
+            union = size[k] + size - shared
+            hit = np.flatnonzero(alone & ((union == 0) | (shared >= union * similarity)))
+            left.append(np.full(len(hit), k))
+            right.append(hit)
+            alone[hit], rest = False, rest - len(hit)
+            front += hit.tolist()
+    return np.concatenate(left), np.concatenate(right)
+
+
+def _similar(similarity: float):
+    """Reads rows (group, id, set) in order of groups; makes links (a, b) of ids."""
+
+    def finish(parts: list) -> pa.RecordBatch:
+        ids, sizes, values = (np.concatenate(x) for x in zip(*parts, strict=True))
+        a, b = similar_links(values, np.concatenate([[0], np.cumsum(sizes)]), similarity)
+        return pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_key, held = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, ids = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (0, 1))
+            at = batch.column(2).offsets.to_numpy().astype(np.int64)
+            values = batch.column(2).values.to_numpy(zero_copy_only=False).view(np.uint64)
+            edge = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
+            for s, e in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                if held and key[s] != held_key:
+                    yield finish(held)
+                    held = []
+                held_key = key[s]
+                held.append((ids[s:e], np.diff(at[s : e + 1]), values[at[s] : at[e]]))
+        if held:
+            yield finish(held)
+
+    return run
+
+
+def _similar_within(texts: DataFrame, maybe: DataFrame, shingle: int, similarity: float, members: int) -> DataFrame:
+    """Links (a, b) that connect what similar pairs connect within each component of maybe.
+
+    All pairs of a component are tried on their whole sets, whatever links of maybe fail. Components of
+    over twice `members` ids are dealt in blocks of about that many, each pair of blocks in a task of its own.
+    """
+    inside = components(maybe)
+    # the key is written anew so that both sides are shuffled for the join, which AQE needs to split a large component
+    blocks = inside.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / members).alias("m")).select(F.bitwise_not("root").alias("nr"), "m")
+    named = checkpointed(inside.select(F.col("node").alias("i"), "root", F.bitwise_not("root").alias("nr")).join(blocks, "nr").select("i", "root", "m"))
+    sets = texts.join(few(named), "i").select("i", "t", "root", "m").mapInArrow(_shingle_sets(shingle), "i long, s array<long>, root long, m long")
+    wide = F.col("m") > 2
+    placed = sets.withColumn("z", F.when(wide, F.pmod(F.xxhash64("i"), "m")).otherwise(0))
+    met = placed.withColumn("o", F.explode(F.when(wide, F.array_remove(F.sequence(F.lit(0).cast("long"), F.col("m") - 1), F.col("z"))).otherwise(F.array("z"))))
+    dealt = met.select(F.xxhash64("root", F.least("z", "o"), F.greatest("z", "o")).alias("g"), "i", "s")
+    return dealt.repartition("g").sortWithinPartitions("g").mapInArrow(_similar(similarity), "a long, b long")
+
+
+def near_copies(docs: DataFrame, *, similarity: float = 0.8, shingle: int = 5, block: int = 1 << 15, members: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per distinct id: id, component_id, kept (one id a group). Links are those of near_groups, and all candidates that are similar.
 
     Candidates come from a second fingerprint, of distinct pairs of words, where a changed word moves
     fewer bits than in longer shingles. Its Golay keys are dealt in pairs of segments, and each bucket
     gives its minimum spanning forest of the pairs that are within PAIR_RADIUS bits there and within
-    FOUR_RADIUS bits of the four-word fingerprint; nearer pairs are so not hidden by others, and texts
-    that only meet by chance are told apart before any is fetched. A candidate counts if the sets of its
-    `shingle`-word shingles have a Jaccard similarity of `similarity` or more, computed exactly.
+    FOUR_RADIUS bits of the four-word fingerprint, so that texts that only meet by chance are told apart
+    before any is fetched. All pairs of what candidates connect are tried: they link if the sets of
+    their `shingle`-word shingles have a Jaccard similarity of `similarity` or more, computed exactly.
     Null ids are left out.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -451,12 +543,7 @@ def near_copies(docs: DataFrame, *, similarity: float = 0.8, shingle: int = 5, b
     across = _connected(keyed, block, nearest_links).distinct().join(ends[0], ["a0", "a1"]).join(ends[1], ["b0", "b1"])
     maybe = checkpointed(within.union(across.select(F.least("x", "y"), F.greatest("x", "y"))).distinct())
 
-    named = maybe.select(F.explode(F.array("a", "b")).alias("i")).distinct()
-    sets = checkpointed(texts.join(few(named), "i").mapInArrow(_shingle_sets(shingle), "i long, s array<long>"))
-    both = maybe.join(sets.select(F.col("i").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("i").alias("b"), F.col("s").alias("sb")), "b")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    union = F.size("sa") + F.size("sb") - shared
-    alike = both.where((union == 0) | (shared >= union * F.lit(similarity))).select("a", "b")
+    alike = _similar_within(texts, maybe, shingle, similarity, members)
     roots = components(sure.union(alike))
     out = own.select("i").distinct().join(roots, F.col("i") == F.col("node"), "left").select("i", F.coalesce("root", "i").alias("component_id"))
     return out.select(F.col("i").alias(id_col), "component_id", (F.col("i") == F.col("component_id")).alias("kept"))

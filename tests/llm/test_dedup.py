@@ -342,3 +342,31 @@ def test_near_copies_by_similarity(spark):
     got = {r.doc_id: (r.component_id, r.kept) for r in simhash_dedup.near_copies(frame(spark, rows)).collect()}
     assert got == {i: (find(i), find(i) == i) for i in ids}
     assert simhash_dedup.near_copies(frame(spark, [])).count() == 0
+
+
+def test_near_copies_of_one_text_that_are_not_similar_to_each_other(spark):
+    rng = random.Random(5)
+    base = [f"b{k}" for k in range(200)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 61):
+        words = base[:]
+        for k in rng.sample(range(10, 190), 4):
+            words[k] = f"n{i}-{k}"
+        rows.append((i, " ".join(words)))
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(196)} for _, t in rows]
+    like = {i for i in range(1, 61) if len(sets[0] & sets[i]) >= 0.8 * len(sets[0] | sets[i])}
+    for members in (256, 16):
+        got = {r.doc_id: r.component_id for r in simhash_dedup.near_copies(frame(spark, rows), members=members).collect()}
+        assert len(like) > 40 and {i for i in got if got[i] == 0} >= like
+
+
+def test_similar_links_connect_as_all_pairs_do():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 40, rng.integers(0, 12))).astype(np.uint64) for _ in range(300)]
+    a, b = simhash_dedup.similar_links(np.concatenate(sets), np.cumsum([0, *map(len, sets)]), 0.6)
+    like = lambda x, y: len(np.intersect1d(sets[x], sets[y])) >= 0.6 * len(np.union1d(sets[x], sets[y]))
+    assert all(like(x, y) for x, y in zip(a, b, strict=True))
+    group = list(range(300))
+    for x, y in zip(a, b, strict=True):
+        group = [group[x] if g == group[y] else g for g in group]
+    assert all(group[x] == group[y] for x in range(300) for y in range(x) if like(x, y)) and len(a) == 300 - len(set(group)) > 20
