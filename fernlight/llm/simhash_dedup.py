@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fernlight.llm.common import checkpointed, chunks, column_bytes, ragged
+from fernlight.llm.common import checkpointed, chunks, column_bytes, mix64, ragged
 from fernlight.llm.components import components
 
 RADIUS = 4
@@ -391,21 +391,50 @@ def near_groups(docs: DataFrame, *, shingle: int = 4, block: int = 1 << 15, id_c
 FEW_IDS = 1_000_000
 
 
-def _two_fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        raw, at = column_bytes(batch.column(1))
-        for i, j in chunks(at, 1 << 20):
-            texts = [raw[at[k] : at[k + 1]].tobytes() for k in range(i, j)]
-            made = [fingerprints(texts, 4), fingerprints(texts, 2, distinct=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *(pa.array(x.view(np.int64)) for x in made)], ["i", "f", "f2"])
-
-
 def _sets(texts: list[bytes], shingle: int, limit: int = 1 << 22) -> tuple[np.ndarray, np.ndarray]:
     """The set of shingle hashes of each text, one after the other, and len + 1 offsets."""
     sets = [np.unique(np.concatenate([np.array(_hashes(part, shingle), np.uint64) for part in _parts(text, shingle, limit)])) for text in texts]
     return np.concatenate([np.zeros(0, np.uint64), *sets]), np.concatenate([[0], np.cumsum([len(x) for x in sets], dtype=np.int64)])
 
 
+#: Candidates share all ROWS least values of at least one of BANDS bands: pairs at J do by 1 - (1 - J^ROWS)^BANDS, 0.99997 at 0.8.
+BANDS, ROWS = 20, 4
+_FACTORS = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+_FIRST, _SECOND = np.uint64(0xA5A5F00DBEEF1234), np.uint64(0x3C79AC492BA7B653)
+
+
+def band_keys(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """(n, BANDS) keys of sets, none empty, one after the other between the offsets at: equal where the least values under ROWS orders are."""
+    keys = np.empty((len(at) - 1, BANDS), np.uint64)
+    for band in range(BANDS if len(at) > 1 else 0):
+        key = np.full(len(at) - 1, np.uint64(band))
+        for row in range(ROWS):
+            key = mix64(key ^ np.minimum.reduceat(values * _FACTORS[band * ROWS + row], at[:-1]))
+        keys[:, band] = key
+    return keys
+
+
+def _sketches(shingle: int):
+    """Of each text its id, four-word fingerprint, two hashes of its set of shingles (d, e) and the set's band keys, none if it is empty."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, at = column_bytes(batch.column(1))
+            for i, j in chunks(at, 1 << 20):
+                texts = [raw[at[k] : at[k + 1]].tobytes() for k in range(i, j)]
+                values, ends = _sets(texts, shingle)
+                some = np.diff(ends) > 0
+                own = np.append(ends[:-1][some], ends[-1])
+                both = np.zeros((2, j - i), np.uint64)
+                if some.any():
+                    both[:, some] = [np.add.reduceat(mix64(values ^ c), own[:-1]) for c in (_FIRST, _SECOND)]
+                bands = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(some * BANDS)]).astype(np.int32), pa.array(band_keys(values, own).ravel().view(np.int64)))
+                numbers = [pa.array(x.view(np.int64)) for x in (fingerprints(texts, 4), *both)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *numbers, bands], ["i", "f", "d", "e", "m"])
+
+    return run
+
+
 def _shingle_sets(shingle: int):
     """Sets of shingles in place of the texts in the second column; the other columns stay."""
 
@@ -427,11 +456,11 @@ def few(ids: DataFrame) -> DataFrame:
 
 
 def _least_ids(own: DataFrame, fingerprints: list[str]) -> tuple[DataFrame, DataFrame]:
-    """The smallest id of each combination of fingerprints, and links (a, b) from it to the other ids of the combination."""
+    """The smallest id of each combination of fingerprints, and links (a, b) from it to the other ids of the combination, beside the fingerprints."""
     least = own.groupBy(*fingerprints).agg(F.min("i").alias("low"))
     anew = [F.bitwise_not(F.col(c)).alias(f"n{c}") for c in fingerprints]  # shuffled for the join on both sides, so that AQE can split a group
     within = own.select("i", *anew).join(least.select("low", *anew), [f"n{c}" for c in fingerprints]).where("i <> low")
-    return least, within.select(F.col("low").alias("a"), F.col("i").alias("b"))
+    return least, within.select(F.col("low").alias("a"), F.col("i").alias("b"), *[F.bitwise_not(f"n{c}").alias(c) for c in fingerprints])
 
 
 def similar_links(values: np.ndarray, at: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -500,50 +529,62 @@ def _similar(similarity: float):
     return run
 
 
-def _similar_within(texts: DataFrame, maybe: DataFrame, shingle: int, similarity: float, members: int) -> DataFrame:
-    """Links (a, b) that connect what similar pairs connect within each component of maybe.
+def _similar_within(texts: DataFrame, keyed: DataFrame, shingle: int, similarity: float, members: int) -> DataFrame:
+    """Links (a, b) that connect what similar pairs connect among the ids i of each key k.
 
-    All pairs of a component are tried on their whole sets, whatever links of maybe fail. Components of
-    over twice `members` ids are dealt in blocks of about that many, each pair of blocks in a task of its own.
+    All pairs of a key are tried on their whole sets; keys of the same ids are one. Keys of over twice
+    `members` ids are dealt in blocks of about that many, each with the key's smallest id. Where that
+    leaves a key's ids in several groups, each pair of its blocks is tried in a task of its own.
     """
-    inside = components(maybe)
-    # the key is written anew so that both sides are shuffled for the join, which AQE needs to split a large component
-    blocks = inside.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / members).alias("m")).select(F.bitwise_not("root").alias("nr"), "m")
-    named = checkpointed(inside.select(F.col("node").alias("i"), "root", F.bitwise_not("root").alias("nr")).join(blocks, "nr").select("i", "root", "m"))
-    sets = texts.join(few(named), "i").select("i", "t", "root", "m").mapInArrow(_shingle_sets(shingle), "i long, s array<long>, root long, m long")
-    wide = F.col("m") > 2
-    placed = sets.withColumn("z", F.when(wide, F.pmod(F.xxhash64("i"), "m")).otherwise(0))
-    met = placed.withColumn("o", F.explode(F.when(wide, F.array_remove(F.sequence(F.lit(0).cast("long"), F.col("m") - 1), F.col("z"))).otherwise(F.array("z"))))
-    dealt = met.select(F.xxhash64("root", F.least("z", "o"), F.greatest("z", "o")).alias("g"), "i", "s")
-    return dealt.repartition("g").sortWithinPartitions("g").mapInArrow(_similar(similarity), "a long, b long")
+    hashed = F.xxhash64("i")
+    sums = [F.min("i").alias("low"), F.bit_xor(hashed).alias("x"), F.sum(hashed.bitwiseAND((1 << 31) - 1)).alias("y"), F.count(F.lit(1)).alias("n")]
+    keys = keyed.groupBy("k").agg(*sums).where("n > 1").groupBy("low", "x", "y", "n").agg(F.min("k").alias("k"))
+    # the key is written anew so that both sides are shuffled for the join, which AQE needs to split a key
+    anew = keys.select(F.bitwise_not("k").alias("nk"), "low", F.ceil(F.col("n") / members).alias("m"))
+    named = checkpointed(keyed.select("i", F.bitwise_not("k").alias("nk")).join(anew, "nk").select("i", F.col("nk").alias("k"), "m", (F.col("i") == F.col("low")).alias("c")))
+
+    def tried(some: DataFrame, others, task: list) -> DataFrame:
+        by_id = some.groupBy("i").agg(F.collect_list(F.struct("k", "m", "c")).alias("ks"))
+        sets = texts.join(few(some.select("i").distinct()), "i").mapInArrow(_shingle_sets(shingle), "i long, s array<long>")
+        each = sets.join(by_id, "i").select("i", "s", F.explode("ks").alias("v")).select("i", "s", "v.*")
+        placed = each.withColumn("z", F.when(wide, F.pmod(F.xxhash64("i"), "m")).otherwise(0)).withColumn("o", F.explode(others))
+        dealt = placed.select(F.xxhash64("k", *task).alias("g"), "i", "s")
+        return checkpointed(dealt.repartition("g").sortWithinPartitions("g").mapInArrow(_similar(similarity), "a long, b long"))
+
+    wide, blocks = F.col("m") > 2, F.sequence(F.lit(0).cast("long"), F.col("m") - 1)
+    found = tried(named, F.when(wide & F.col("c"), blocks).otherwise(F.array("z")), ["o"])
+    large = named.where(wide)
+    if large.isEmpty():
+        return found
+    grouped = large.join(components(found), F.col("i") == F.col("node"), "left").withColumn("root", F.coalesce("root", "i"))
+    apart = grouped.groupBy("k").agg(F.min("root").alias("r"), F.max("root").alias("q")).where("r < q").select(F.bitwise_not("k").alias("nk"))
+    rest = checkpointed(large.withColumn("nk", F.bitwise_not("k")).join(apart, "nk", "left_semi").drop("nk"))
+    if rest.isEmpty():
+        return found
+    return found.union(tried(rest, F.array_remove(blocks, F.col("z")), [F.least("z", "o"), F.greatest("z", "o")]))
 
 
 def near_copies(docs: DataFrame, *, similarity: float = 0.8, shingle: int = 5, block: int = 1 << 15, members: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per distinct id: id, component_id, kept (one id a group). Links are those of near_groups, and all candidates that are similar.
 
-    Candidates come from a second fingerprint, of distinct pairs of words, where a changed word moves
-    fewer bits than in longer shingles. Its Golay keys are dealt in pairs of segments, and each bucket
-    gives its minimum spanning forest of the pairs that are within PAIR_RADIUS bits there and within
-    FOUR_RADIUS bits of the four-word fingerprint, so that texts that only meet by chance are told apart
-    before any is fetched. All pairs of what candidates connect are tried: they link if the sets of
-    their `shingle`-word shingles have a Jaccard similarity of `similarity` or more, computed exactly.
+    Candidates come from the sets of shingles of `shingle` words themselves: the least values of a set
+    under random orders agree with those of another as often as the two are similar, and are dealt in
+    bands (see BANDS), so that a similar pair is found with a known probability whatever else its texts
+    hold. Equal sets are one. All pairs of texts that share a band's key are tried: they link if their sets
+    have a Jaccard similarity of `similarity` or more, computed exactly.
     Null ids are left out.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = docs.select(F.col(id_col).cast("long").alias("i"), text.alias("t")).where("i is not null")
-    own = checkpointed(texts.mapInArrow(_two_fingerprints, "i long, f long, f2 long"))
+    own = checkpointed(texts.mapInArrow(_sketches(shingle), "i long, f long, d long, e long, m array<long>"))
 
     least, within = _least_ids(own, ["f"])
     across = fingerprint_links(least.select("f"), block=block).join(least.select(F.col("f").alias("a"), F.col("low").alias("x")), "a").join(least.select(F.col("f").alias("b"), F.col("low").alias("y")), "b")
-    sure = within.union(across.select("x", "y"))
-
-    least, within = _least_ids(own, ["f2", "f"])
-    keyed = least.select("f2", "f").mapInArrow(_deal(pair_keys), "k long, f2 long, f long")
-    ends = [least.select(F.col("f2").alias(f"{s}0"), F.col("f").alias(f"{s}1"), F.col("low").alias(x)) for s, x in (("a", "x"), ("b", "y"))]
-    across = _connected(keyed, block, nearest_links).distinct().join(ends[0], ["a0", "a1"]).join(ends[1], ["b0", "b1"])
-    maybe = checkpointed(within.union(across.select(F.least("x", "y"), F.greatest("x", "y"))).distinct())
+    sure = within.select("a", "b").union(across.select("x", "y"))
 
-    alike = _similar_within(texts, maybe, shingle, similarity, members)
-    roots = components(sure.union(alike))
+    copies = checkpointed(_least_ids(own, ["d", "e"])[1])
+    first = own.join(few(copies.select(F.col("b").alias("i"), "d", "e")), ["i", "d", "e"], "left_anti")  # by its set too: an id may have several texts
+    alike = _similar_within(texts, first.select("i", F.explode("m").alias("k")), shingle, similarity, members)
+    roots = components(sure.union(copies.select("a", "b")).union(alike))
     out = own.select("i").distinct().join(roots, F.col("i") == F.col("node"), "left").select("i", F.coalesce("root", "i").alias("component_id"))
     return out.select(F.col("i").alias(id_col), "component_id", (F.col("i") == F.col("component_id")).alias("kept"))

@@ -370,3 +370,39 @@ def test_similar_links_connect_as_all_pairs_do():
     for x, y in zip(a, b, strict=True):
         group = [group[x] if g == group[y] else g for g in group]
     assert all(group[x] == group[y] for x in range(300) for y in range(x) if like(x, y)) and len(a) == 300 - len(set(group)) > 20
+
+
+def test_near_copies_at_the_edge_of_the_similarity_are_found(spark):
+    """Pairs of different texts at J 0.8 to 0.9, a changed word here and there."""
+    rng = random.Random(21)
+    rows, like = [], 0
+    for p in range(150):
+        words = [f"w{p}-{rng.randrange(10**6)}" for _ in range(150)]
+        other = words[:]
+        for k in rng.sample(range(5, 145), 3):
+            other[k] = f"n{p}-{k}"
+        one, two = ({tuple(w[k : k + 5]) for k in range(146)} for w in (words, other))
+        if 0.8 <= len(one & two) / len(one | two) <= 0.9:
+            rows += [(2 * p, " ".join(words)), (2 * p + 1, " ".join(other))]
+            like += 1
+    got = {r.doc_id: r.component_id for r in simhash_dedup.near_copies(frame(spark, rows)).collect()}
+    assert like > 100 and sum(got[i] != i for i in got) == like == sum(got[i] == i - 1 for i in got if i % 2)
+
+
+def test_bands_meet_as_often_as_their_law_says():
+    rng = np.random.default_rng(8)
+    for similarity in (0.3, 0.5, 0.8):
+        n, shared = 1500, round(2 * 90 * similarity / (1 + similarity))
+        values = np.stack([rng.integers(0, 1 << 63, 90, dtype=np.int64).view(np.uint64) for _ in range(2 * n)]).reshape(n, 2, 90)
+        values[:, 1, :shared] = values[:, 0, :shared]
+        keys = simhash_dedup.band_keys(values.ravel(), np.arange(2 * n + 1) * 90).reshape(n, 2, simhash_dedup.BANDS)
+        met = keys[:, 0] == keys[:, 1]
+        j = shared / (180 - shared)
+        assert abs(met.mean() - j**simhash_dedup.ROWS) < 0.02
+        assert abs(met.any(axis=1).mean() - (1 - (1 - j**simhash_dedup.ROWS) ** simhash_dedup.BANDS)) < 0.04
+
+
+def test_near_copies_of_an_id_with_two_texts(spark):
+    a, b = (" ".join(f"{x}{k}" for k in range(60)) for x in "ab")
+    got = {r.doc_id: r.component_id for r in simhash_dedup.near_copies(frame(spark, [(1, a), (5, a), (5, b), (7, f"{b} more")])).collect()}
+    assert got == {1: 1, 5: 1, 7: 1}
