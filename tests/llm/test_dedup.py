@@ -406,3 +406,12 @@ def test_near_copies_of_an_id_with_two_texts(spark):
     a, b = (" ".join(f"{x}{k}" for k in range(60)) for x in "ab")
     got = {r.doc_id: r.component_id for r in simhash_dedup.near_copies(frame(spark, [(1, a), (5, a), (5, b), (7, f"{b} more")])).collect()}
     assert got == {1: 1, 5: 1, 7: 1}
+
+
+def test_near_copies_whose_passages_repeat_differently(spark):
+    rows = []
+    for c in range(30):
+        p, q = ([f"{x}{c}-{k}" for k in range(120)] for x in "pq")
+        rows += [(2 * c, " ".join(p + q)), (2 * c + 1, " ".join(p * (8 if c % 2 else 20) + q))]
+    got = {r.doc_id: r.component_id for r in simhash_dedup.near_copies(frame(spark, rows)).collect()}
+    assert got == {i: i - i % 2 for i in got}
