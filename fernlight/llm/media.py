@@ -138,7 +138,7 @@ class Frame:
 
 
 def parse(file: bytes) -> Frame:
-    """Reads the markers up to the scan's data."""
+    """Reads the markers up to the data of the scan with the luminance; only that scan's components stay in parts."""
     if file[:2] != b"\xff\xd8":
         raise ValueError("no start of image")
     out, at = Frame(), 2
@@ -174,8 +174,14 @@ def parse(file: bytes) -> Frame:
             out.scan = [(body[1 + 2 * k], body[2 + 2 * k] >> 4, body[2 + 2 * k] & 15) for k in range(body[0])]
             if not out.parts:
                 raise ValueError("no frame before the scan")
+            if out.parts[0][0] not in [c for c, _, _ in out.scan]:  # luminance is in a later scan
+                while at + 1 < len(file) and (file[at] != 0xFF or file[at + 1] in (0x00, 0xFF) or 0xD0 <= file[at + 1] <= 0xD7):
+                    at += 1
+                continue
             if len(out.scan) != len(out.parts):
-                raise ValueError("components in several scans")
+                if out.parts[0][1:3] != (max(p[1] for p in out.parts), max(p[2] for p in out.parts)):
+                    raise ValueError("luminance of less than full size in a scan of its own")
+                out.parts = [p for p in out.parts if p[0] in [c for c, _, _ in out.scan]]
             out.data = at
             return out
         elif mark in (0xD9, 0xD8):

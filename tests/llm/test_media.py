@@ -140,3 +140,18 @@ def test_query_columns(spark):
 def test_average_hash_of_thin_images():
     for shape in ((1, 1), (1, 64), (3, 5), (100, 7)):
         assert 0 <= media.average_hash(np.arange(shape[0] * shape[1]).reshape(shape)) < 1 << 64
+
+
+@pytest.mark.parametrize("restart", [0, 2])
+def test_reads_files_of_several_scans(restart):
+    file, _ = jpeg(random.Random(7), 40, 24, [(1, 1)], restart, 8)
+    frame, scan = file.index(b"\xff\xc0"), file.index(b"\xff\xda\x00\x08")
+    size = int.from_bytes(file[frame + 2 : frame + 4], "big")
+    body = file[frame + 4 : frame + 2 + size]
+    other = bytes([next(c for c in range(1, 5) if c != body[6])]) + body[7:9]
+    header = b"\xff\xc0" + (size + 3).to_bytes(2, "big") + body[:5] + b"\x02" + body[6:] + other
+    own = file[scan:-2]
+    second = own[:5] + other[:1] + own[6:]
+    for scans in (own + second, second + own):
+        image = media.read_jpegs([file[:frame] + header + file[frame + 2 + size : scan] + scans + b"\xff\xd9"])[0]
+        assert (image.width, image.height) == (40, 24) and (image.thumbnail == media.read_jpegs([file])[0].thumbnail).all()
