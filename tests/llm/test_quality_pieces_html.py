@@ -3,6 +3,7 @@
 import itertools
 import os
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -183,6 +184,80 @@ def test_minimum_cut_is_least():
         assert cut_value(costs, edges, html_text.minimum_cut(costs, edges)) == pytest.approx(least)
 
 
+def random_page(rng, depth=0):
+    out = []
+    for _ in range(rng.randrange(1, 5)):
+        kind = rng.random()
+        if kind < 0.35 and depth < 4:
+            tag = rng.choice(["div", "section", "div class='sidebar'", "article", "ul", "td"])
+            out.append(f"<{tag}>{random_page(rng, depth + 1)}</{tag.split()[0]}>")
+        elif kind < 0.5:
+            out.append(rng.choice(["bare text", "Bare text of a sentence, with an end."]))
+        else:
+            words = " ".join(rng.choice(["word", "other", "Thing"]) for _ in range(rng.choice([1, 2, 5, 12, 60])))
+            out.append(rng.choice(["<p>{}.</p>", "<p>{}</p>", "<li>{}</li>", "<h2>{}</h2>", "<p><a href='x'>{}</a></p>"]).format(words))
+    return "".join(out)
+
+
+def graph_of(html):
+    blocks = html_text.blocks_of(html)
+    return [html_text.cost_of(x) + html_text.tie_of(x.node) for x in blocks], html_text.edges_of(blocks)
+
+
+def test_page_labels_are_those_of_least_cost():
+    rng, tried, moved = random.Random(11), 0, 0
+    while tried < 150:
+        costs, edges = graph_of(random_page(rng))
+        if not 3 <= len(costs) <= 11:
+            continue
+        costs = [c + rng.uniform(-1, 1) for c in costs]
+        best = min(itertools.product([False, True], repeat=len(costs)), key=lambda s: cut_value(costs, edges, s))
+        got = html_text.minimum_cut(costs, edges)
+        assert got == list(best)
+        tried, moved = tried + 1, moved + sum((c > 0) != s for c, s in zip(costs, got))
+    assert moved > 50  # labels that the neighbours decide
+
+
+def test_elimination_leaves_nothing_of_a_page():
+    rng = random.Random(12)
+    for _ in range(200):
+        costs, edges = graph_of(random_page(rng) + random_page(rng))
+        near = [{} for _ in costs]
+        for a, b, w in edges:
+            near[a][b] = near[b][a] = near[a].get(b, 0.0) + w
+        assert len(html_text._eliminate(costs, near)) == len(costs)
+
+
+def test_undecided_blocks_take_linear_time():
+    rng, n = random.Random(13), 50_000
+    costs = [rng.uniform(-0.3, 0.3) for _ in range(n)]
+    edges = [(k - 1, k, rng.uniform(0.5, 1.5)) for k in range(1, n)] + [(k - 2, k, 0.2) for k in range(2, n, 2)]
+    start = time.monotonic()
+    side = html_text.minimum_cut(costs, edges)
+    assert time.monotonic() - start < 5 and sum((c > 0) != s for c, s in zip(costs, side)) > n // 10
+
+
+def test_shapes_are_fitted(spark):
+    counts = {html_text.shape_of("word " * 40 + "end."): (1, 30), html_text.shape_of("menu"): (50, 2), html_text.shape_of("Some words of text."): (3, 9)}
+    w = html_text.fit(counts)
+
+    def risk(w):
+        total, rest = np.array(list(counts.values())).sum(axis=0), html_text.RIDGE / 2 * ((w - html_text.PRIOR) ** 2).sum()
+        share = total.min() / total
+        for shape, (bad, good) in counts.items():
+            z = w[html_text._parts(shape)].sum()
+            rest += np.log1p(np.exp(z)) * bad * share[0] + np.log1p(np.exp(-z)) * good * share[1]
+        return rest
+
+    for k in range(len(w)):
+        step = np.eye(len(w))[k] * 1e-4
+        assert abs(risk(w + step) - risk(w - step)) / 2e-4 < 1e-4
+    assert html_text.fit({}).tolist() == html_text.PRIOR and html_text.fit({3: (5, 0)}).tolist() == html_text.PRIOR
+    pages = spark.createDataFrame([(k, "u", "<nav><p>Menu</p></nav><article><p>A sentence that says something of interest, at some length.</p></article>") for k in [1, 2, 2, None]], "page_id long, url string, html string")
+    assert html_text.train(pages, sample=2) == html_text.train(pages.where("page_id > 0")) != html_text.DEFAULT_COSTS
+    assert html_text.train(pages.limit(0)) == html_text.DEFAULT_COSTS
+
+
 def test_page_rows(spark):
     rows = [(k, f"u{k}", h, "x", 1) for k, (h, _) in enumerate(PAGES)] + [(0, None, PAGES[0][0], "x", 1), (99, "u", "<article>" + "<p>A long page, of many parts.</p>" * 5000, "x", 1)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")
