@@ -1,50 +1,61 @@
 """Mixing sources to target weights by iterative proportional fitting, with DataFrame operations alone.
 
-The table of token counts by (source, language, topic) is raked: in turn, each margin's cells are
-multiplied by target share / present share until all three margins meet their targets. A cell's
-raked share over its present share is the calibrated rate of its documents; scaled so that the
-expected tokens are `fraction` of all, with rates over 1 held at 1 and the rest scaled up again, it
-is the probability with which each document of the cell is sampled. The draw is a hash of the id,
-so a run repeats and shards agree.
-
-Targets: a margin's target is a mapping of value to weight, or a power: shares in proportion to
-(present share) ** power, which evens out a source that holds a third of all rows and follows new
-values by itself. Values without a target keep their present share; all are then scaled to 1.
-
-Topics are a column of the table, or `shape_topic`, computed from whole texts: the form (table,
-shouting, symbols, prose) and a length class.
+The table of token counts by (source, language, topic) is raked under the bound that no document can
+be taken more than once: each cell has a weight, its probability is the weight held at 1, and in turn
+each margin's cells are multiplied by target / expected share, until no factor differs from 1 by over
+`tolerance` or after `rounds`. A cell's probability is that with which each of its documents is
+sampled. The draw is a hash of the id, so a run repeats and shards agree.
 
-Scale: one scan and a partial aggregation make the cell table, whose size is (sources x languages x
-topics) and not the number of rows. Raking runs on it alone: in one partition up to `CELLS_IN_ONE`
-cells, by shuffles of cells beyond. Its result is joined back as a broadcast up to the same checked
-number, by a shuffled join (AQE splits the hot source) beyond.
+Targets: a margin's goal is a mapping of value to weight, or a power: shares in proportion to
+(present share) ** power, which evens out a source that holds a third of all rows and follows new
+values by itself. Values without a goal keep their present share; all are then scaled to 1. `fraction`
+is the share of all tokens expected to stay. A value can give no more than it has: where its goal asks
+for more, its target is all it has, and the others share the rest in proportion to their goals. So
+the margins' targets (`margins` lists them beside what is expected) are the nearest ones that
+the corpus can meet, one margin at a time. Cells of a value that gives all have probability 1 and
+take no part in the raking. Where the three margins contradict each other, no probabilities meet them
+all; `residual` is the largest difference between an expected and a target share that is left.
+
+Topics are a column of the table, or `shape_topic`: where, as in `documents`, no topic is known, the
+third margin is a class of texts by form (table, shouting, symbols, prose) and length, computed from
+whole texts.
+
+Scale: one pass over the texts makes small rows, whose partial aggregation makes the cell table; its
+size is (sources x languages x topics) and not the number of rows. Raking runs on it alone, a
+checkpoint a round: in one partition up to `CELLS_IN_ONE` cells, by shuffles of cells beyond. Its
+result is joined back as a broadcast up to the same checked number, by a shuffled join (AQE splits
+the hot source) beyond.
 
 Cases: null source or language is the value ''. Null and empty texts have 0 tokens; a cell of 0
-tokens gets rate 1. Rows that repeat an id are drawn alike. An empty table gives no rows.
+tokens has probability 1. Rows that repeat an id are drawn alike. A `fraction` of 1 or more keeps all.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fernlight.llm.common import checkpointed
 
-CELLS_IN_ONE = 100_000
-ROUNDS = 4
+CELLS_IN_ONE = 200_000
+ROUNDS, TOLERANCE = 60, 1e-13
 MARGINS = ("source", "lang", "topic")
 WORD = r"[^\x20\x09-\x0D]+"
+DEFAULT_TARGETS = {"source": 0.5, "lang": 0.7, "topic": 0.9}
 
 
 def tokens(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(WORD)).cast("long")
+    return F.regexp_count(text, F.lit(WORD + "+")).cast("long")
 
 
 def shape_topic(text: Column, n: Column) -> Column:
     """Form and length class of a whole text of n words."""
     bars = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("|"), F.lit("")))
     bangs = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("!"), F.lit("")))
-    marks = F.octet_length(text) - F.octet_length(F.translate(text, "#$%&*", ""))
+    marks = F.regexp_count(text, F.lit("[#$%&*]"))
     form = F.when(bars * 4 > n, "table").when(bangs * 2 > n, "shouting").when(marks > n, "symbols").otherwise("prose")
     length = F.when(n < 100, "short").when(n < 1000, "medium").otherwise("long")
     return F.concat_ws("/", form, length)
@@ -56,102 +67,140 @@ def draw(doc_id: Column, seed: int) -> Column:
     return F.conv(F.substring(F.md5(key.cast("binary")), 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
 
 
-def rake(cells: DataFrame, targets: dict, iterations: int) -> DataFrame:
-    """Adds `share` (present) and `raked` (fitted) to cells (source, lang, topic, n)."""
-    everything = Window.partitionBy()
-    cells = cells.withColumn("share", F.coalesce(F.try_divide(F.col("n"), F.sum("n").over(everything)), F.lit(0.0)))
+# --- targets
+
+
+def margin_targets(cells: DataFrame, margin: str, goal, fraction: float) -> DataFrame:
+    """(value, t, full) of one margin: target share of all tokens, and whether the value gives all it has."""
+    everything, by_ratio = Window.partitionBy(), Window.orderBy(F.col("r").asc_nulls_last(), "value")
+    has = cells.groupBy(F.col(margin).alias("value")).agg(F.sum("share").alias("s"))
+    if isinstance(goal, dict):
+        named = F.create_map(*[F.lit(x) for kv in goal.items() for x in kv]) if goal else None
+        g = F.col("s") if named is None else F.coalesce(named[F.col("value")].cast("double"), F.col("s"))
+    else:
+        g = F.pow("s", F.lit(float(goal)))
+    goals = has.withColumn("g", F.when(F.col("s") > 0, g).otherwise(0.0))
+    goals = goals.withColumn("g", F.coalesce(F.try_divide("g", F.sum("g").over(everything)), F.lit(0.0))).withColumn("r", F.try_divide("s", "g"))
+    # the share kept if all goals grew to this value's ratio; values before the wanted share give all
+    kept = F.sum("s").over(by_ratio) + F.col("r") * (F.lit(1.0) - F.sum("g").over(by_ratio))
+    goals = goals.withColumn("full", F.coalesce(kept < F.lit(float(fraction)), F.lit(False)))
+    rest = F.lit(float(fraction)) - F.coalesce(F.sum(F.when(F.col("full"), F.col("s"))).over(everything), F.lit(0.0))
+    factor = F.coalesce(F.try_divide(rest, F.sum(F.when(~F.col("full"), F.col("g"))).over(everything)), F.lit(0.0))
+    return goals.select("value", F.when(F.col("full"), F.col("s")).otherwise(F.least("s", F.col("g") * factor)).alias("t"), "full")
+
+
+def _with_targets(cells: DataFrame, targets: dict, fraction: float) -> DataFrame:
+    """Adds `share`, each margin's t_<margin>, and `full`: whether one of its values gives all it has."""
+    total = F.sum("n").over(Window.partitionBy())
+    cells = cells.withColumn("share", F.coalesce(F.try_divide(F.col("n"), total), F.lit(0.0)))
+    out = cells
     for m in MARGINS:
-        present = F.sum("share").over(Window.partitionBy(m))
-        target = targets[m]
-        if isinstance(target, dict):
-            named = F.create_map(*[F.lit(x) for kv in target.items() for x in kv]) if target else None
-            goal = present if named is None else F.coalesce(named[F.col(m)].cast("double"), present)
-        else:
-            goal = F.when(present > 0, F.pow(present, F.lit(float(target)))).otherwise(F.lit(0.0))
-        first = F.row_number().over(Window.partitionBy(m).orderBy(*MARGINS)) == 1
-        cells = cells.withColumn(f"g_{m}", goal).withColumn("_f", F.when(first & (present > 0), F.col(f"g_{m}")))
-        cells = cells.withColumn(f"g_{m}", F.coalesce(F.try_divide(f"g_{m}", F.sum("_f").over(everything)), F.lit(0.0))).drop("_f")
-    cells = cells.withColumn("raked", F.col("share"))
-    for _ in range(iterations):
-        for m in MARGINS:
-            have = F.sum("raked").over(Window.partitionBy(m))
-            cells = cells.withColumn("raked", F.when(have > 0, F.col("raked") * F.col(f"g_{m}") / have).otherwise(F.lit(0.0)))
-    return cells.drop(*[f"g_{m}" for m in MARGINS])
+        told = margin_targets(cells, m, targets[m], fraction)
+        out = out.join(told.select(F.col("value").alias(m), F.col("t").alias(f"t_{m}"), F.col("full").alias(f"f_{m}")), m)
+    full = reduce(lambda a, b: a | b, [F.col(f"f_{m}") for m in MARGINS]) | F.lit(fraction >= 1) | (F.col("share") <= 0)
+    return out.withColumn("full", full).drop(*[f"f_{m}" for m in MARGINS])
 
 
-def rates(cells: DataFrame, fraction: float, rounds: int) -> DataFrame:
-    """Adds `p`: sampling probabilities in proportion to raked / share, with fraction of the tokens expected."""
-    everything = Window.partitionBy()
-    cells = cells.withColumn("rate", F.when(F.col("share") > 0, F.col("raked") / F.col("share")).otherwise(F.lit(0.0)))
-    cells = cells.withColumn("p", F.least(F.lit(1.0), F.col("rate") * fraction))
+# --- raking
+
+
+def rake(cells: DataFrame, targets: dict, fraction: float, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
+    """Adds `share` (present), t_<margin> (targets) and `p` to cells (source, lang, topic, n)."""
+    now = _with_targets(cells, targets, fraction)
+    for m in MARGINS:  # what the cells that are raked have to give
+        given = F.coalesce(F.sum(F.when(F.col("full"), F.col("share"))).over(Window.partitionBy(m)), F.lit(0.0))
+        now = now.withColumn(f"l_{m}", F.greatest(F.lit(0.0), F.col(f"t_{m}") - given))
+    now = checkpointed(now.withColumn("w", F.when(~F.col("full"), F.lit(float(fraction)))))
     for _ in range(rounds):
-        full = F.sum(F.when(F.col("p") >= 1.0, F.col("share")).otherwise(0.0)).over(everything)
-        rest = F.sum(F.when(F.col("p") < 1.0, F.col("share") * F.col("p")).otherwise(0.0)).over(everything)
-        cells = cells.withColumn("_k", F.when(rest > 0, F.greatest(F.lit(0.0), F.lit(fraction) - full) / rest).otherwise(F.lit(1.0)))
-        cells = cells.withColumn("p", F.when(F.col("p") < 1.0, F.least(F.lit(1.0), F.col("p") * F.col("_k"))).otherwise(F.col("p"))).drop("_k")
-    return cells.withColumn("p", F.when(F.col("share") > 0, F.col("p")).otherwise(F.lit(1.0)))
+        for m in MARGINS:
+            have = F.sum(F.when(~F.col("full"), F.col("share") * F.least(F.lit(1.0), F.col("w")))).over(Window.partitionBy(m))
+            now = now.withColumn("f", F.when(have > 0, F.col(f"l_{m}") / have).otherwise(F.lit(1.0))).withColumns({"w": F.col("w") * F.col("f"), f"c_{m}": F.abs(F.col("f") - 1)})
+        change = F.max(F.when(F.col("w") > 0, F.greatest(*[f"c_{m}" for m in MARGINS])))
+        now = checkpointed(now.drop("f"))
+        if (now.agg(change).first()[0] or 0.0) <= tolerance:
+            break
+    return now.select(*MARGINS, "n", "share", *[f"t_{m}" for m in MARGINS], F.when(F.col("full"), F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.col("w"))).alias("p"))
+
+
+def margins(raked: DataFrame) -> DataFrame:
+    """(margin, value, present, target, expected) of raked cells; shares of all tokens before sampling."""
+    rows = [raked.groupBy(F.col(m).alias("value")).agg(F.sum("share").alias("present"), F.first(f"t_{m}").alias("target"), F.sum(F.col("share") * F.col("p")).alias("expected")).select(F.lit(m).alias("margin"), "*") for m in MARGINS]
+    return reduce(DataFrame.union, rows)
+
+
+def _residual(raked: DataFrame) -> DataFrame:
+    """One row: the largest difference between expected and target shares."""
+    return margins(raked).agg(F.coalesce(F.max(F.abs(F.col("expected") - F.col("target"))), F.lit(0.0)).alias("residual"))
 
 
-DEFAULT_TARGETS = {"source": 0.5, "lang": 0.7, "topic": 0.9}
 _CELL = {m: f"__mix_{m}" for m in MARGINS}
 
 
-def _with_rates(docs: DataFrame, targets: dict | None, fraction: float, iterations: int, text_col: str, source_col: str, lang_col: str, topic: Column | None) -> DataFrame:
-    """docs with its cell, its tokens and its probability in columns __mix_*."""
-    targets = DEFAULT_TARGETS | (targets or {})
+def _rows(docs: DataFrame, text_col: str, source_col: str, lang_col: str, topic: Column | None) -> DataFrame:
+    """docs with cells and tokens in columns __mix_*."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    n = F.col("__mix_tokens")
     rows = docs.withColumns({_CELL["source"]: F.coalesce(F.col(source_col).cast("string"), F.lit("")), _CELL["lang"]: F.coalesce(F.col(lang_col).cast("string"), F.lit("")), "__mix_tokens": tokens(text)})
-    rows = rows.withColumn(_CELL["topic"], F.coalesce(topic, F.lit("")) if topic is not None else shape_topic(text, n))
+    return rows.withColumn(_CELL["topic"], F.coalesce(topic.cast("string"), F.lit("")) if topic is not None else shape_topic(text, F.col("__mix_tokens")))
 
+
+def _probabilities(rows: DataFrame, targets: dict | None, fraction: float, rounds: int) -> tuple[DataFrame, bool]:
+    """Raked cells of rows, and whether they are few."""
     cells = checkpointed(rows.groupBy(*[F.col(c).alias(m) for m, c in _CELL.items()]).agg(F.sum("__mix_tokens").alias("n")))
     small = cells.count() <= CELLS_IN_ONE
-    fitted = rates(rake(cells.coalesce(1) if small else cells, targets, iterations), fraction, ROUNDS)
-    fitted = checkpointed(fitted.select(*[F.col(m).alias(c) for m, c in _CELL.items()], F.col("p").alias("__mix_p")))
-    return rows.join(F.broadcast(fitted) if small else fitted, list(_CELL.values()))
+    return rake(cells.coalesce(1) if small else cells, DEFAULT_TARGETS | (targets or {}), fraction, rounds), small
+
 
+def _joined(rows: DataFrame, raked: DataFrame, small: bool) -> DataFrame:
+    named = raked.select(*[F.col(m).alias(c) for m, c in _CELL.items()], F.col("p").alias("__mix_p"))
+    return rows.join(F.broadcast(named) if small else named, list(_CELL.values()))
 
-def mixture(docs: DataFrame, *, targets: dict | None = None, fraction: float = 0.8, iterations: int = 12, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic: Column | None = None) -> DataFrame:
-    """One row per input row: id, source, lang, topic, tokens, p (probability), kept."""
-    rows = _with_rates(docs, targets, fraction, iterations, text_col, source_col, lang_col, topic)
-    return rows.select(F.col(id_col), *[F.col(c).alias(m) for m, c in _CELL.items()], F.col("__mix_tokens").alias("tokens"), F.col("__mix_p").alias("p"), (draw(F.col(id_col), seed) < F.col("__mix_p")).alias("kept"))
 
+def mixture(docs: DataFrame, *, targets: dict | None = None, fraction: float = 0.8, rounds: int = ROUNDS, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic: Column | None = None) -> DataFrame:
+    """One row per input row: id, source, lang, topic, tokens, p (probability), kept, and residual, the same for all rows. Texts are read once."""
+    rows = checkpointed(_rows(docs, text_col, source_col, lang_col, topic).select(F.col(id_col).alias("__mix_id"), *_CELL.values(), "__mix_tokens"))
+    raked, small = _probabilities(rows, targets, fraction, rounds)
+    out = _joined(rows, raked, small).crossJoin(F.broadcast(_residual(raked)))
+    return out.select(F.col("__mix_id").alias(id_col), *[F.col(c).alias(m) for m, c in _CELL.items()], F.col("__mix_tokens").alias("tokens"), F.col("__mix_p").alias("p"), (draw(F.col("__mix_id"), seed) < F.col("__mix_p")).alias("kept"), "residual")
 
-def sample_mixture(docs: DataFrame, *, targets: dict | None = None, fraction: float = 0.8, iterations: int = 12, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic: Column | None = None) -> DataFrame:
-    """The sampled rows, with the input's columns."""
-    rows = _with_rates(docs, targets, fraction, iterations, text_col, source_col, lang_col, topic)
-    return rows.where(draw(F.col(id_col), seed) < F.col("__mix_p")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
+def sample_mixture(docs: DataFrame, *, targets: dict | None = None, fraction: float = 0.8, rounds: int = ROUNDS, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic: Column | None = None) -> DataFrame:
+    """The sampled rows, with the input's columns. Texts are read twice, and not moved."""
+    rows = _rows(docs, text_col, source_col, lang_col, topic)
+    raked, small = _probabilities(rows, targets, fraction, rounds)
+    return _joined(rows, raked, small).where(draw(F.col(id_col), seed) < F.col("__mix_p")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
-def mixture_sql(*, fraction: float = 0.8, iterations: int = 12, rounds: int = ROUNDS, seed: int = 42, power: dict | None = None, table: str = "documents") -> str:
-    """DuckDB SQL for mixture over documents with powers as targets: one CTE a step."""
-    power = {"source": 0.5, "lang": 0.7, "topic": 0.9} | (power or {})
+
+def mixture_sql(*, fraction: float = 0.8, rounds: int = ROUNDS, seed: int = 42, power: dict | None = None, table: str = "documents") -> str:
+    """DuckDB SQL for mixture over documents with powers as targets; raking is a recursive CTE of `rounds` steps."""
+    power = DEFAULT_TARGETS | (power or {})
     strip = "(strlen(t) - strlen({}))"
     bars, bangs, marks = (strip.format(x) for x in ("replace(t, '|', '')", "replace(t, '!', '')", "translate(t, '#$%&*', '')"))
+    cell = ", ".join(MARGINS)
     steps = [
         f"base AS (SELECT doc_id AS i, coalesce(source, '') AS source, coalesce(lang, '') AS lang, coalesce(text, '') AS t, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS tokens FROM {table})",
-        f"r AS (SELECT i, source, lang, CASE WHEN {bars} * 4 > tokens THEN 'table' WHEN {bangs} * 2 > tokens THEN 'shouting' WHEN {marks} > tokens THEN 'symbols' ELSE 'prose' END || '/' || CASE WHEN tokens < 100 THEN 'short' WHEN tokens < 1000 THEN 'medium' ELSE 'long' END AS topic, tokens FROM base)",
-        "c AS (SELECT source, lang, topic, sum(tokens)::BIGINT AS n FROM r GROUP BY ALL)",
-        "k0 AS (SELECT *, coalesce(n::DOUBLE / sum(n) OVER (), 0::DOUBLE) AS share FROM c)",
+        f"d AS (SELECT i, source, lang, CASE WHEN {bars} * 4 > tokens THEN 'table' WHEN {bangs} * 2 > tokens THEN 'shouting' WHEN {marks} > tokens THEN 'symbols' ELSE 'prose' END || '/' || CASE WHEN tokens < 100 THEN 'short' WHEN tokens < 1000 THEN 'medium' ELSE 'long' END AS topic, tokens FROM base)",
+        f"c AS (SELECT {cell}, coalesce(n::DOUBLE / sum(n) OVER (), 0) AS share FROM (SELECT {cell}, sum(tokens)::BIGINT AS n FROM d GROUP BY ALL))",
     ]
-    last = "k0"
     for m in MARGINS:
         steps += [
-            f"a_{m} AS (SELECT *, sum(share) OVER (PARTITION BY {m}) AS present, row_number() OVER (PARTITION BY {m} ORDER BY {', '.join(MARGINS)}) AS first FROM {last})",
-            f"b_{m} AS (SELECT * EXCLUDE (present, first), CASE WHEN present > 0 THEN pow(present, {power[m]}::DOUBLE) ELSE 0 END AS g, present > 0 AND first = 1 AS f FROM a_{m})",
-            f"d_{m} AS (SELECT * EXCLUDE (g, f), g / sum(CASE WHEN f THEN g END) OVER () AS g_{m} FROM b_{m})",
+            f"s_{m} AS (SELECT {m}, s, g / sum(g) OVER () AS g FROM (SELECT {m}, sum(share) AS s, CASE WHEN sum(share) > 0 THEN pow(sum(share), {power[m]}::DOUBLE) ELSE 0 END AS g FROM c GROUP BY {m}))",
+            f"k_{m} AS (SELECT *, coalesce(sum(s) OVER o + s / g * (1 - sum(g) OVER o) < {fraction}, false) AS f FROM s_{m} WINDOW o AS (ORDER BY s / g NULLS LAST, {m} ROWS UNBOUNDED PRECEDING))",
+            f"t_{m} AS (SELECT {m}, f AS f_{m}, CASE WHEN f THEN s ELSE least(s, g * ({fraction} - coalesce(sum(CASE WHEN f THEN s END) OVER (), 0)) / sum(CASE WHEN NOT f THEN g END) OVER ()) END AS t_{m} FROM k_{m})",
         ]
-        last = f"d_{m}"
-    steps.append(f"w0 AS (SELECT *, share AS raked FROM {last})")
-    last, k = "w0", 0
-    for _ in range(iterations):
-        for m in MARGINS:
-            k += 1
-            steps.append(f"w{k} AS (SELECT * EXCLUDE (raked, have), CASE WHEN have > 0 THEN raked * g_{m} / have ELSE 0::DOUBLE END AS raked FROM (SELECT *, sum(raked) OVER (PARTITION BY {m}) AS have FROM w{k - 1}))")
-    steps.append(f"p0 AS (SELECT source, lang, topic, share, least(1::DOUBLE, CASE WHEN share > 0 THEN raked / share ELSE 0 END * {fraction}::DOUBLE) AS p FROM w{k})")
-    for j in range(1, rounds + 1):
-        steps.append(f"q{j} AS (SELECT *, sum(CASE WHEN p >= 1 THEN share ELSE 0 END) OVER () AS f, sum(CASE WHEN p < 1 THEN share * p ELSE 0 END) OVER () AS rest FROM p{j - 1})")
-        steps.append(f"p{j} AS (SELECT source, lang, topic, share, CASE WHEN p < 1 THEN least(1::DOUBLE, p * CASE WHEN rest > 0 THEN greatest(0::DOUBLE, {fraction}::DOUBLE - f) / rest ELSE 1 END) ELSE p END AS p FROM q{j})")
-    steps.append(f"z AS (SELECT source, lang, topic, CASE WHEN share > 0 THEN p ELSE 1::DOUBLE END AS p FROM p{rounds})")
+    full = " OR ".join(f"f_{m}" for m in MARGINS)
+    left = ", ".join(f"greatest(0, t_{m} - coalesce(sum(CASE WHEN whole THEN share END) OVER (PARTITION BY {m}), 0)) AS l_{m}" for m in MARGINS)
+    steps += [
+        f"j AS (SELECT *, {full} OR share <= 0 AS whole FROM c " + " ".join(f"JOIN t_{m} USING ({m})" for m in MARGINS) + ")",
+        f"l AS (SELECT *, {left} FROM j)",
+    ]
+    step = "(SELECT * FROM r WHERE k < {})".format(rounds)
+    for m in MARGINS:
+        step = f"(SELECT * EXCLUDE (w, h), w * CASE WHEN h > 0 THEN l_{m} / h ELSE 1 END AS w FROM (SELECT *, sum(share * least(1, w)) OVER (PARTITION BY {m}) AS h FROM {step}))"
+    names = f"{cell}, share, {', '.join(f'l_{m}' for m in MARGINS)}"
+    steps += [
+        f"r AS (SELECT 0 AS k, {names}, {fraction}::DOUBLE AS w FROM l WHERE NOT whole UNION ALL SELECT k + 1, {names}, w FROM {step})",
+        f"z AS (SELECT l.*, CASE WHEN whole THEN 1 ELSE least(1, w) END AS p FROM l LEFT JOIN (SELECT {cell}, w FROM r WHERE k = {rounds}) USING ({cell}))",
+        "e AS (SELECT max(abs(x)) AS residual FROM (" + " UNION ALL ".join(f"SELECT sum(share * p) - any_value(t_{m}) AS x FROM z GROUP BY {m}" for m in MARGINS) + "))",
+    ]
     draw_sql = f"('0x' || substr(md5(coalesce(i::VARCHAR, '') || ':{seed}'), 1, 12))::BIGINT::DOUBLE / {1 << 48}::DOUBLE"
-    return "WITH " + ",\n".join(steps) + f"\nSELECT i AS doc_id, source, lang, topic, tokens, round(p, 6) AS p, {draw_sql} < p AS kept FROM r JOIN z USING (source, lang, topic)"
+    return "WITH RECURSIVE " + ",\n".join(steps) + f"\nSELECT i AS doc_id, source, lang, topic, tokens, round(p, 6) AS p, {draw_sql} < p AS kept, round(residual, 6) AS residual FROM d JOIN z USING ({cell}), e"

@@ -54,16 +54,38 @@ def corpus():
     return [*rows, (4000, None, "empty", "en"), (4001, "", "empty", "en"), (4002, "a | b | c | d |", "s1", "en"), (5, "word again", "s1", "en")]
 
 
-def test_raking_meets_all_margins(spark):
-    rows = corpus()
+def cells_of(spark, rows):
     cells = docs(spark, rows).select(F.coalesce("source", F.lit("")).alias("source"), F.coalesce("lang", F.lit("")).alias("lang"), F.when(F.col("doc_id") % 2 == 0, "a").otherwise("b").alias("topic"), mixing.tokens(F.coalesce("text", F.lit(""))).alias("n"))
-    cells = cells.groupBy("source", "lang", "topic").agg(F.sum("n").alias("n"))
-    out = mixing.rake(cells, {"source": 0.5, "lang": {"en": 0.6, "de": 0.3, "": 0.1}, "topic": 1.0}, 40).toPandas()
-    share = out.groupby("source").share.sum()
-    goal = share[share > 0] ** 0.5
-    assert np.allclose(out.groupby("source").raked.sum()[goal.index], goal / goal.sum(), atol=1e-6)
-    assert np.allclose(out.groupby("lang").raked.sum()[["en", "de", ""]], [0.6, 0.3, 0.1], atol=1e-6)
-    assert np.allclose(out.groupby("topic").raked.sum(), out.groupby("topic").share.sum(), atol=1e-6)
+    return cells.groupBy("source", "lang", "topic").agg(F.sum("n").alias("n")).coalesce(1)
+
+
+def test_probabilities_meet_all_margins(spark):
+    """Of p, the bounded probabilities: the raked targets without a bound would ask for more than 1."""
+    cells = cells_of(spark, corpus())
+    raked = mixing.rake(cells, {"source": 0.5, "lang": {"en": 0.5, "de": 0.3, "": 0.2}, "topic": 1.0}, 0.4)
+    out = mixing.margins(raked).toPandas()
+    assert raked.toPandas().p.between(0, 1).all() and np.allclose(out.expected, out.target, atol=1e-9)
+    by = {(r.margin, r.value): r for r in out.itertuples()}
+    assert [round(by["lang", x].target / 0.4, 9) for x in ("en", "de", "")] == [0.5, 0.3, 0.2]
+    goal = {x: r.present**0.5 for (m, x), r in by.items() if m == "source" and r.present > 0}
+    open_ = {x for x in goal if by["source", x].target < by["source", x].present - 1e-12}
+    ratio = {by["source", x].target / goal[x] for x in open_}
+    assert len(open_) > 1 and max(ratio) - min(ratio) < 1e-9
+
+
+def test_a_value_gives_no_more_than_it_has(spark):
+    rows = [(k, "word " * 10, "rare" if k % 20 == 0 else "hot", "en") for k in range(1000)]
+    out = {r.value: r for r in mixing.margins(mixing.rake(cells_of(spark, rows), {"source": {"rare": 0.5, "hot": 0.5}, "lang": 1.0, "topic": 1.0}, 0.4)).collect() if r.margin == "source"}
+    assert out["rare"].target == pytest.approx(0.05) and out["hot"].target == pytest.approx(0.35)
+    assert out["rare"].expected == pytest.approx(0.05) and out["hot"].expected == pytest.approx(0.35)
+
+
+def test_targets_that_contradict_leave_a_residual(spark):
+    rows = [(2 * k, "word " * 10, f"s{k % 2}", ["en", "de"][k % 2]) for k in range(100)]  # a source is a language
+    told = mixing.mixture(docs(spark, rows), targets={"source": {"s0": 0.8, "s1": 0.2}, "lang": {"en": 0.2, "de": 0.8}}, fraction=0.5, rounds=5).select("residual").distinct().collect()
+    assert len(told) == 1 and told[0].residual > 0.1
+    assert mixing.mixture(docs(spark, rows), fraction=0.5).first().residual < 1e-9
+    assert all(r.p == 1 and r.kept for r in mixing.mixture(docs(spark, rows), fraction=1.0).collect())
 
 
 def test_sample_follows_the_rates(spark):
@@ -80,9 +102,9 @@ def test_sample_follows_the_rates(spark):
 
 def test_many_cells_give_the_same(spark, monkeypatch):
     rows = corpus()
-    one = {r.doc_id: (round(r.p, 9), r.kept) for r in mixing.mixture(docs(spark, rows[:300]), iterations=3).collect()}
+    one = {r.doc_id: (round(r.p, 9), r.kept) for r in mixing.mixture(docs(spark, rows[:300]), rounds=3).collect()}
     monkeypatch.setattr(mixing, "CELLS_IN_ONE", 0)
-    assert {r.doc_id: (round(r.p, 9), r.kept) for r in mixing.mixture(docs(spark, rows[:300]), iterations=3).collect()} == one
+    assert {r.doc_id: (round(r.p, 9), r.kept) for r in mixing.mixture(docs(spark, rows[:300]), rounds=3).collect()} == one
 
 
 def test_sql_gives_the_same(spark, tmp_path):
