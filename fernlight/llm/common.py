@@ -105,7 +105,7 @@ class Powers:
         return self.up[:n], self.down[:n]
 
 
-_BYTES, _WORDS_A, _WORDS_B = Powers(0x9E3779B97F4A7C15), Powers(0xC2B2AE3D27D4EB4F), Powers(0xD6E8FEB86659FD93)
+_BYTES, _BYTES_B, _WORDS_A, _WORDS_B = Powers(0x9E3779B97F4A7C15), Powers(0xB5026F5AA96619E9), Powers(0xC2B2AE3D27D4EB4F), Powers(0xD6E8FEB86659FD93)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -125,28 +125,26 @@ def _prefix(values: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray]
     return total, down
 
 
-def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 20) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span; spans are in order and do not overlap."""
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, second: bool = False, block: int = 1 << 20) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span; spans are in order and do not overlap. second: by another base."""
     out = np.empty(len(starts), np.uint64)
     i = 0
     while i < len(starts):
         j = max(i + 1, int(np.searchsorted(starts, starts[i] + block)))
         j = min(j, len(starts))
         low = starts[i]
-        total, down = _prefix(raw[low : ends[j - 1]].astype(np.uint64) + _ONE, _BYTES)
+        total, down = _prefix(raw[low : ends[j - 1]].astype(np.uint64) + _ONE, _BYTES_B if second else _BYTES)
         s, e = starts[i:j] - low, ends[i:j] - low
         out[i:j] = mix64((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
         i = j
     return out
 
 
-def window_hashes(words: np.ndarray, length: int, second: bool = False) -> np.ndarray:
-    """Hashes of every run of `length` words; second: by other constants."""
+def window_hashes(words: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of every run of `length` words."""
     if len(words) < length:
         return np.zeros(0, np.uint64)
-    if second:
-        words = mix64(words ^ np.uint64(0xA5A5F00DBEEF1234))
-    total, down = _prefix(words, _WORDS_B if second else _WORDS_A)
+    total, down = _prefix(words, _WORDS_A)
     n = len(words) - length + 1
     return mix64((total[length:] - total[:n]) * down[:n])
 

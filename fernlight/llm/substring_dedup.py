@@ -4,26 +4,32 @@ Words are `[^\\x20\\x09-\\x0D]+`. A window of `window` words of a document is a
 word sequence also starts in a document with a smaller id; every word that a repeat covers goes.
 Windows are judged on the input.
 
-Levels. A window can only be repeated if the windows of half its length inside it are, so short
-windows are counted first and only those that occur in two documents are extended to twice their
-length, until the wanted length is reached or no candidate survives.
-
-* First level: of the windows of `seed` words, only the least hash of each run of seed + 1 neighbours,
-  which 2 * seed words hold, is counted: the anchor of those 2 * seed words. It depends on them alone,
-  so equal longer windows have equal anchors, and about 2 / (seed + 2) of all windows travel. A stretch
-  of windows with one anchor also sends the hash of all its words. An anchor whose stretches are equal
-  everywhere is settled: its stretch stays in the smallest document and goes in the others.
-* Each next level: windows of twice the length whose parts survived unsettled are hashed to 128 bits,
-  grouped, and kept if two documents have them.
-* At the last level the smallest document of each window stays a provider and the others lose it.
+Levels. A window can only be repeated if all shorter windows inside it are. So short windows are
+counted first, and only those that occur in two documents are extended to about twice their length,
+by two of them that meet or overlap: 13, 25 and 50 words for a window of 50. That goes on until the
+wanted length is reached or no candidate survives.
+
+* Below the last level not every window is sent, but only the least hash of all candidates of this
+  length inside each window of the next: its anchor. The anchor depends on that window alone, so equal
+  windows have equal anchors, and of n words about 2 / (difference of lengths + 2) travel. A
+  window of the next length is a candidate if its anchor occurs in two documents.
+* The level before the last counts runs of windows of the full length too. Consecutive ones with one
+  anchor are a stretch, and a stretch sends a hash of all its words, 128 bits with its anchor. Where an
+  anchor has one such hash in all documents, all full windows of the stretch are counted at once: they
+  occur in just these documents, stay in the smallest and go in the others. The last level takes, window
+  by window, the stretches that differ between documents, as at the ends of passages.
+* At the last level windows are told apart by 128 bits, of two hashes of their words by different
+  bases; the smallest document of each stays a provider and the others lose it. On the way back a
+  window is looked up among those that its own document loses, by 64 bits.
 
 Text is shuffled once, by document; that exchange serves all levels. Counting is a partial
 aggregation before the shuffle, so a passage of every document becomes one row a task. The way back
 to documents is a sort-merge join on small rows; its key is written anew so that both sides are
 shuffled for it, which is what AQE needs to split a skewed key.
 
-Cases: null or empty text has no words. A null id takes no part and its row keeps all words. Rows
-with one id are one document for the rule; each is judged by its own text. Texts shorter than a
+Cases: null or empty text has no words. A null id takes no part and its row keeps all words; such rows
+are dealt by their place in the input under ids of their own, the 2**40 least ones, which no document
+may have. Rows with one id are one document for the rule; each is judged by its own text. Texts shorter than a
 window never change. Memory follows one document plus about 2 MB of neighbours.
 """
 
@@ -39,14 +45,24 @@ from pyspark.sql import functions as F
 
 from fernlight.llm.common import checkpointed, chunks, column_bytes, run_hashes, sliding_min, span_hashes, window_hashes, word_spans
 
-NO_ID = -(1 << 63)
+#: Ids below are of rows without one.
+NO_ID, OWN_IDS = -(1 << 63), 1 << 40
+FIRST = 13
 
 
-def _flat(batch: pa.RecordBatch, i: int, j: int, raw: np.ndarray, at: np.ndarray):
-    """Word hashes of rows i to j, and the offset of each row's first word."""
+def lengths_of(window: int, first: int = FIRST) -> list[int]:
+    """Lengths of the levels: halves of the next, rounded up, down to about `first` words; two at least."""
+    out = [window]
+    while len(out) < 2 or out[0] >= 2 * first - 1 and out[0] > 2:
+        out.insert(0, (out[0] + 1) // 2)
+    return out
+
+
+def _flat(batch: pa.RecordBatch, i: int, j: int, raw: np.ndarray, at: np.ndarray, second: bool = False):
+    """Word hashes of rows i to j, and the offset of each row's first word; second: and the words' second hashes."""
     part, offsets = raw[at[i] : at[j]], at[i : j + 1] - at[i]
     starts, ends, first = word_spans(part, offsets)
-    return span_hashes(part, starts, ends), first
+    return span_hashes(part, starts, ends), first, span_hashes(part, starts, ends, second=True) if second else None
 
 
 def _windows(first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -57,47 +73,57 @@ def _windows(first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(int(counts.sum())) + np.repeat(first[:-1] - before, counts), rows
 
 
-def _anchors(words: np.ndarray, seed: int) -> np.ndarray:
-    """For each window of 2 * seed words the least hash of its windows of seed words."""
-    return sliding_min(window_hashes(words, seed), seed + 1)
+def _anchors(words: np.ndarray, length: int, longer: int) -> np.ndarray:
+    """For each window of `longer` words the least hash of its windows of `length` words."""
+    return sliding_min(window_hashes(words, length), longer - length + 1)
+
+
+def _lists(column: pa.Array, i: int, j: int) -> np.ndarray:
+    """The sorted distinct values of list rows i to j."""
+    return np.unique(column.slice(i, j - i).flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+
 
+def _candidates(words: np.ndarray, lengths: list[int], level: int, alive: np.ndarray | None) -> np.ndarray:
+    """For each window of the level's length whether its anchor, of the level before, is alive."""
+    if level == 0:
+        return np.ones(max(0, len(words) - lengths[0] + 1), bool)
+    return np.isin(_anchors(words, lengths[level - 1], lengths[level]), alive)
 
-def _stretches(words: np.ndarray, first: np.ndarray, seed: int):
-    """Starts and rows of windows of 2 * seed words, their anchors, and which begin a stretch of one anchor."""
-    starts, rows = _windows(first, 2 * seed)
-    low = _anchors(words, seed)[starts] if len(starts) else np.zeros(0, np.uint64)
-    new = np.ones(len(low), bool)
-    new[1:] = (low[1:] != low[:-1]) | (rows[1:] != rows[:-1])
-    return starts, rows, low, new
 
+def _anchor_level(lengths: list[int], level: int):
+    """Anchors of the windows of the next length all of whose windows of this length are candidates: rows (k, d), or of stretches (k, c, d) if the next level is the last."""
+    length, longer = lengths[level : level + 2]
+    last = level == len(lengths) - 2
 
-def _seed_level(seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             raw, at = column_bytes(batch.column(1))
             for i, j in chunks(at):
-                words, first = _flat(batch, i, j, raw, at)
-                starts, rows, low, new = _stretches(words, first, seed)
+                words, first, other = _flat(batch, i, j, raw, at, second=last)
+                starts, rows = _windows(first, longer)
+                if len(starts) and level:
+                    whole = sliding_min(_candidates(words, lengths, level, _lists(batch.column(2), i, j)).view(np.int8), longer - length + 1).astype(bool)
+                    starts, rows = starts[whole[starts]], rows[whole[starts]]
+                starts, rows = (x[ids[i:j][rows] >= NO_ID + OWN_IDS] for x in (starts, rows))
                 if not len(starts):
                     continue
+                low = _anchors(words, length, longer)[starts]
+                new = np.ones(len(low), bool)
+                new[1:] = (low[1:] != low[:-1]) | (rows[1:] != rows[:-1]) | (starts[1:] != starts[:-1] + 1)
                 begin = np.flatnonzero(new)
-                last = np.append(begin[1:], len(starts)) - 1
-                content = run_hashes(words, starts[begin], starts[last] + 2 * seed)
-                who = ids[i:j][rows[begin]]
-                real = who != NO_ID
-                yield pa.RecordBatch.from_arrays([pa.array(low[begin][real].view(np.int64)), pa.array(content[real].view(np.int64)), pa.array(who[real])], ["k", "c", "d"])
+                end = np.append(begin[1:], len(starts)) - 1
+                columns = {"k": low[begin].view(np.int64), "d": ids[i:j][rows[begin]]}
+                if last:
+                    columns["c"] = run_hashes(other, starts[begin], starts[end] + longer).view(np.int64)
+                yield pa.RecordBatch.from_pydict({name: pa.array(x) for name, x in columns.items()})
 
     return run
 
 
-def _lists(column: pa.Array, i: int, j: int) -> np.ndarray:
-    """The sorted distinct values of list rows i to j."""
-    return np.unique(column.slice(i, j - i).flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
-
-
-def _next_level(length: int, seed: int):
-    """Windows of `length` words whose parts are in the lists: rows (h, g, d, later)."""
+def _last_level(lengths: list[int]):
+    """Windows of the last length whose anchors are in the lists: rows (h, g, d, later)."""
+    length = lengths[-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,24 +131,19 @@ def _next_level(length: int, seed: int):
             raw, at = column_bytes(batch.column(1))
             for i, j in chunks(at):
                 alive, later = _lists(batch.column(2), i, j), _lists(batch.column(3), i, j)
-                words, first = _flat(batch, i, j, raw, at)
+                words, first, other = _flat(batch, i, j, raw, at, second=True)
                 starts, rows = _windows(first, length)
                 if not len(starts) or not len(alive):
                     continue
-                if length == 2 * seed:
-                    parts = _anchors(words, seed)[starts]
-                    keep, late = np.isin(parts, alive), np.isin(parts, later)
-                else:
-                    half = window_hashes(words, length // 2)
-                    keep = np.isin(half[starts], alive) & np.isin(half[starts + length // 2], alive)
-                    late = np.isin(half[starts], later) & np.isin(half[starts + length // 2], later)
-                starts, rows, late = starts[keep], rows[keep], late[keep]
+                anchors = _anchors(words, lengths[-2], length)[starts]
+                keep = np.isin(anchors, alive)
+                starts, rows, late = starts[keep], rows[keep], np.isin(anchors[keep], later)
                 h = window_hashes(words, length)[starts]
                 order = np.lexsort((h, rows))  # a window that a row repeats is told once
                 once = np.ones(len(order), bool)
                 once[1:] = (h[order][1:] != h[order][:-1]) | (rows[order][1:] != rows[order][:-1])
                 one = order[once]
-                g = window_hashes(words, length, second=True)[starts[one]]
+                g = run_hashes(other, starts[one], starts[one] + length)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h[one].view(np.int64)), pa.array(g.view(np.int64)), pa.array(ids[i:j][rows[one]]), pa.array(late[one])],
                     ["h", "g", "d", "later"],
@@ -134,7 +155,7 @@ def _next_level(length: int, seed: int):
 _OUT = pa.schema([("d", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))), ("kept", pa.string())])
 
 
-def _remove(window: int, seed: int):
+def _remove(window: int, shorter: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, at = column_bytes(batch.column(1))
@@ -146,10 +167,9 @@ def _remove(window: int, seed: int):
                     n_words.append(len(words))
                     marked = []
                     if (gone[k].is_valid or whole[k].is_valid) and len(words) >= window:
-                        flat, first = _flat(batch, i + k, i + k + 1, raw, at)
+                        flat, _, _ = _flat(batch, i + k, i + k + 1, raw, at)
                         out = np.isin(window_hashes(flat, window), _lists(gone, k, k + 1))
-                        settled = np.isin(_anchors(flat, seed), _lists(whole, k, k + 1))
-                        out |= settled if window == 2 * seed else sliding_min(settled.view(np.int8), window - 2 * seed + 1).astype(bool)
+                        out |= np.isin(_anchors(flat, shorter, window), _lists(whole, k, k + 1))
                         starts = np.flatnonzero(out)
                         if len(starts):
                             cover = np.zeros(len(words) + 1, np.int64)
@@ -174,39 +194,37 @@ def _back(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     return rows.select("*", *anew).join(groups.select(*[c for c in groups.columns if c not in keys], *anew), named)
 
 
-def remove_repeats(docs: DataFrame, *, window: int = 50, seed: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, *, window: int = 50, first: int = FIRST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_words, n_removed, removed spans (word numbers) and the kept words.
 
-    seed: words of the first level; window is seed doubled once or more.
+    first: about the words of the first level; see lengths_of.
     """
-    seed = seed or window // 2
-    lengths = [seed]
-    while lengths[-1] < window:
-        lengths.append(2 * lengths[-1])
-    if lengths[-1] != window or len(lengths) < 2:
-        raise ValueError("window must be seed doubled once or more")
-
-    own = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("d"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t")).repartition("d")
-    pairs = own.mapInArrow(_seed_level(seed), "k long, c long, d long")
-    one = F.min("c") == F.max("c") if window == 2 * seed else F.lit(False)  # longer windows span stretches
-    again = pairs.groupBy("k").agg(F.min("d").alias("low"), F.max("d").alias("high"), one.alias("one")).where("low < high")
-    found = _back(pairs, again.select("k", "low", "one"), ["k"]).select("d", F.col("k").alias("h"), "one", (F.col("d") > F.col("low")).alias("later"))
-    whole = found.where("one and later").groupBy("d").agg(F.collect_set("h").alias("whole"))
-    found = found.where("not one")
-
-    for length in lengths[1:]:
-        alive = found.groupBy("d").agg(F.collect_list("h").alias("alive"), F.collect_list(F.when(F.col("later"), F.col("h"))).alias("late"))
-        rows = own.join(alive, "d").select("d", "t", "alive", "late").mapInArrow(_next_level(length, seed), "h long, g long, d long, later boolean")
-        if length < window:
-            rows = checkpointed(rows)
-        groups = rows.groupBy("h", "g").agg(F.min("d").alias("low"), F.max("d").alias("high")).where("low < high").drop("high")
-        if length < window:
-            found = _back(rows, groups, ["h", "g"]).select("d", "h", (F.col("d") > F.col("low")).alias("later"))
+    if window < 2 or first < 1:
+        raise ValueError("a window has two words at least")
+    lengths = lengths_of(window, first)
+
+    row = F.pmod(F.monotonically_increasing_id(), F.lit(OWN_IDS)) + F.lit(NO_ID)
+    own = docs.select(F.coalesce(F.col(id_col).cast("long"), row).alias("d"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t")).repartition("d")
+    read, found, whole = own, None, None
+    for level in range(len(lengths) - 1):
+        if found is not None:
+            read = own.join(found.groupBy("d").agg(F.collect_list("k").alias("alive")), "d").select("d", "t", "alive")
+        last = level == len(lengths) - 2
+        rows = read.mapInArrow(_anchor_level(lengths, level), "k long, d long" + (", c long" if last else ""))
+        groups = rows.groupBy("k").agg(F.min("d").alias("low"), F.max("d").alias("high"), *([(F.min("c") == F.max("c")).alias("one")] if last else [])).where("low < high").drop("high")
+        if not last:
+            found = checkpointed(_back(rows, groups, ["k"]).select("d", "k").distinct())
             if found.isEmpty():
                 break
-        else:
-            found = _back(rows.where("later"), groups, ["h", "g"]).where("d > low").select("d", "h")
+    else:
+        found = _back(rows, groups, ["k"]).select("d", "k", "one", (F.col("d") > F.col("low")).alias("later"))
+        whole = found.where("one and later").groupBy("d").agg(F.collect_set("k").alias("whole"))
+        alive = found.where("not one").groupBy("d").agg(F.collect_set("k").alias("alive"), F.collect_set(F.when(F.col("later"), F.col("k"))).alias("late"))
+        rows = own.join(alive, "d").select("d", "t", "alive", "late").mapInArrow(_last_level(lengths), "h long, g long, d long, later boolean")
+        groups = rows.groupBy("h", "g").agg(F.min("d").alias("low"), F.max("d").alias("high")).where("low < high").drop("high")
+        found = _back(rows.where("later"), groups, ["h", "g"]).where("d > low").groupBy("d").agg(F.collect_set("h").alias("gone"))
 
-    gone = found.groupBy("d").agg(F.collect_set("h").alias("gone"))
-    out = own.join(gone, "d", "left").join(whole, "d", "left").select("d", "t", "gone", "whole").mapInArrow(_remove(window, seed), "d long, n_words long, n_removed long, spans array<struct<first:long,last:long>>, kept string")
-    return out.select(F.nullif("d", F.lit(NO_ID)).alias(id_col), "n_words", "n_removed", "spans", F.col("kept").alias("kept_text"))
+    none = F.lit(None).cast("array<long>")
+    marked = own.join(found, "d", "left").join(whole, "d", "left").select("d", "t", "gone", "whole") if whole is not None else own.select("d", "t", none.alias("gone"), none.alias("whole"))
+    out = marked.mapInArrow(_remove(window, lengths[-2]), "d long, n_words long, n_removed long, spans array<struct<first:long,last:long>>, kept string")
+    return out.select(F.when(F.col("d") >= NO_ID + OWN_IDS, F.col("d")).alias(id_col), "n_words", "n_removed", "spans", F.col("kept").alias("kept_text"))

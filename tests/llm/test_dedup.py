@@ -53,10 +53,10 @@ def brute_substring(rows, window):
     return sorted(out)
 
 
-@pytest.mark.parametrize(("window", "seed_words"), [(50, None), (50, 25), (48, 12), (20, 5)])
-def test_substring(spark, window, seed_words):
+@pytest.mark.parametrize(("window", "first"), [(50, 13), (50, 25), (48, 12), (20, 3)])
+def test_substring(spark, window, first):
     rows = passages(window)
-    out = substring_dedup.remove_repeats(frame(spark, rows), window=window, seed=seed_words)
+    out = substring_dedup.remove_repeats(frame(spark, rows), window=window, first=first)
     assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in out.collect()) == brute_substring(rows, window)
     for r in out.collect():
         assert sum(s["last"] - s["first"] + 1 for s in r.spans) == r.n_removed
@@ -68,7 +68,41 @@ def test_substring_null_id_and_empty_table(spark):
     assert got == {None: 0, 5: 0, 9: 60}
     assert substring_dedup.remove_repeats(frame(spark, [])).count() == 0
     with pytest.raises(ValueError):
-        substring_dedup.remove_repeats(frame(spark, []), window=50, seed=20)
+        substring_dedup.remove_repeats(frame(spark, []), window=1)
+
+
+def test_substring_levels():
+    assert substring_dedup.lengths_of(50) == [13, 25, 50]
+    assert substring_dedup.lengths_of(50, 7) == [7, 13, 25, 50]
+    assert substring_dedup.lengths_of(100) == [13, 25, 50, 100] and substring_dedup.lengths_of(4) == [2, 4]
+    for window in range(2, 200):
+        lengths = substring_dedup.lengths_of(window)
+        assert lengths[-1] == window and all(a < b <= 2 * a for a, b in zip(lengths, lengths[1:]))
+
+
+def test_substring_candidates_fall_by_level():
+    """What repeats at one length alone is extended: a passage of 30 words reaches the level of 25 and not that of 50."""
+    rng = random.Random(4)
+    passage, rows = [f"p{k}" for k in range(30)], []
+    for i in range(12):
+        own = [f"d{i}.{rng.random()}" for _ in range(80)]
+        rows.append(own[:40] + passage + own[40:] if i < 6 else own)
+    lengths = [13, 25, 50]
+    texts = [" ".join(r) for r in rows]
+    import pyarrow as pa
+
+    def level(k, alive):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts), pa.array([alive] * len(texts), pa.list_(pa.int64()))], ["d", "t", "alive"])
+        seen = {}
+        for out in substring_dedup._anchor_level(lengths, k)(iter([batch])):
+            for anchor, d in zip(out.column("k").to_pylist(), out.column("d").to_pylist()):
+                seen.setdefault(anchor, set()).add(d)
+        return len(seen), [a for a, ds in seen.items() if len(ds) > 1]
+
+    first, alive = level(0, [])
+    assert first > 100 and 1 <= len(alive) <= 18
+    second, alive = level(1, alive)
+    assert second == 0 and alive == []
 
 
 def texts(seed):
