@@ -4,17 +4,18 @@ Words are `[^\\x20\\x09-\\x0D]+`. A window of `window` words of a document is a
 word sequence also starts in a document with a smaller id; every word that a repeat covers goes.
 Windows are judged on the input.
 
-Levels. A window can only be repeated if all shorter windows inside it are. So short windows are
-counted first, and only those that occur in two documents are extended to about twice their length,
-by two of them that meet or overlap: 13, 25 and 50 words for a window of 50. That goes on until the
-wanted length is reached or no candidate survives.
-
-* Below the last level not every window is sent, but only the least hash of all candidates of this
-  length inside each window of the next: its anchor. The anchor depends on that window alone, so equal
-  windows have equal anchors, and of n words about 2 / (difference of lengths + 2) travel. A
-  window of the next length is a candidate if its anchor occurs in two documents.
-* The level before the last counts runs of windows of the full length too. Consecutive ones with one
-  anchor are a stretch, and a stretch sends a hash of all its words, 128 bits with its anchor. Where an
+Levels. A window can only be repeated if all shorter windows inside it are. So short ones are counted
+first, and only what occurs in two documents is extended to twice its length, rounded so that the
+wanted length is met: 13, 25 and 50 words for a window of 50. That goes on until the last level or
+until no candidate survives (an empty level empties the joins of all later ones).
+
+* Below the last level not every short window is sent, but only the anchor of each full window: the
+  least hash of the windows of the level's length inside it. It depends on that full window alone, so
+  equal windows have equal anchors, and of n words about 2 / (window - length + 2) travel. A
+  full window is a candidate of the next level if its anchor occurs in two documents; only anchors
+  of candidates are sent there.
+* The level before the last counts runs of full windows too. Consecutive ones with one anchor are a
+  stretch, and a stretch sends a hash of all its words, 128 bits with its anchor. Where an
   anchor has one such hash in all documents, all full windows of the stretch are counted at once: they
   occur in just these documents, stay in the smallest and go in the others. The last level takes, window
   by window, the stretches that differ between documents, as at the ends of passages.
@@ -22,7 +23,8 @@ wanted length is reached or no candidate survives.
   bases; the smallest document of each stays a provider and the others lose it. On the way back a
   window is looked up among those that its own document loses, by 64 bits.
 
-Text is shuffled once, by document; that exchange serves all levels. Counting is a partial
+The first level reads the texts where they are and writes its few surviving anchors. Behind it text is
+shuffled once, by document, for all levels of windows up to 50 words. Counting is a partial
 aggregation before the shuffle, so a passage of every document becomes one row a task. The way back
 to documents is a sort-merge join on small rows; its key is written anew so that both sides are
 shuffled for it, which is what AQE needs to split a skewed key.
@@ -73,9 +75,9 @@ def _windows(first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(int(counts.sum())) + np.repeat(first[:-1] - before, counts), rows
 
 
-def _anchors(words: np.ndarray, length: int, longer: int) -> np.ndarray:
-    """For each window of `longer` words the least hash of its windows of `length` words."""
-    return sliding_min(window_hashes(words, length), longer - length + 1)
+def _anchors(words: np.ndarray, length: int, window: int) -> np.ndarray:
+    """For each full window the least hash of its windows of `length` words."""
+    return sliding_min(window_hashes(words, length), window - length + 1)
 
 
 def _lists(column: pa.Array, i: int, j: int) -> np.ndarray:
@@ -83,16 +85,9 @@ def _lists(column: pa.Array, i: int, j: int) -> np.ndarray:
     return np.unique(column.slice(i, j - i).flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
 
 
-def _candidates(words: np.ndarray, lengths: list[int], level: int, alive: np.ndarray | None) -> np.ndarray:
-    """For each window of the level's length whether its anchor, of the level before, is alive."""
-    if level == 0:
-        return np.ones(max(0, len(words) - lengths[0] + 1), bool)
-    return np.isin(_anchors(words, lengths[level - 1], lengths[level]), alive)
-
-
 def _anchor_level(lengths: list[int], level: int):
-    """Anchors of the windows of the next length all of whose windows of this length are candidates: rows (k, d), or of stretches (k, c, d) if the next level is the last."""
-    length, longer = lengths[level : level + 2]
+    """Anchors of the level's length of full windows whose anchors of the level before are in the lists: rows (k, d), or of stretches (k, d, c) if the next level is the last."""
+    length, window = lengths[level], lengths[-1]
     last = level == len(lengths) - 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,21 +96,21 @@ def _anchor_level(lengths: list[int], level: int):
             raw, at = column_bytes(batch.column(1))
             for i, j in chunks(at):
                 words, first, other = _flat(batch, i, j, raw, at, second=last)
-                starts, rows = _windows(first, longer)
-                if len(starts) and level:
-                    whole = sliding_min(_candidates(words, lengths, level, _lists(batch.column(2), i, j)).view(np.int8), longer - length + 1).astype(bool)
-                    starts, rows = starts[whole[starts]], rows[whole[starts]]
-                starts, rows = (x[ids[i:j][rows] >= NO_ID + OWN_IDS] for x in (starts, rows))
+                starts, rows = _windows(first, window)
+                keep = ids[i:j][rows] >= NO_ID + OWN_IDS
+                if level and len(starts):
+                    keep &= np.isin(_anchors(words, lengths[level - 1], window)[starts], _lists(batch.column(2), i, j))
+                starts, rows = starts[keep], rows[keep]
                 if not len(starts):
                     continue
-                low = _anchors(words, length, longer)[starts]
+                low = _anchors(words, length, window)[starts]
                 new = np.ones(len(low), bool)
                 new[1:] = (low[1:] != low[:-1]) | (rows[1:] != rows[:-1]) | (starts[1:] != starts[:-1] + 1)
                 begin = np.flatnonzero(new)
                 end = np.append(begin[1:], len(starts)) - 1
                 columns = {"k": low[begin].view(np.int64), "d": ids[i:j][rows[begin]]}
                 if last:
-                    columns["c"] = run_hashes(other, starts[begin], starts[end] + longer).view(np.int64)
+                    columns["c"] = run_hashes(other, starts[begin], starts[end] + window).view(np.int64)
                 yield pa.RecordBatch.from_pydict({name: pa.array(x) for name, x in columns.items()})
 
     return run
@@ -204,27 +199,24 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, first: int = FIRST, id_
     lengths = lengths_of(window, first)
 
     row = F.pmod(F.monotonically_increasing_id(), F.lit(OWN_IDS)) + F.lit(NO_ID)
-    own = docs.select(F.coalesce(F.col(id_col).cast("long"), row).alias("d"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t")).repartition("d")
-    read, found, whole = own, None, None
-    for level in range(len(lengths) - 1):
-        if found is not None:
-            read = own.join(found.groupBy("d").agg(F.collect_list("k").alias("alive")), "d").select("d", "t", "alive")
-        last = level == len(lengths) - 2
-        rows = read.mapInArrow(_anchor_level(lengths, level), "k long, d long" + (", c long" if last else ""))
-        groups = rows.groupBy("k").agg(F.min("d").alias("low"), F.max("d").alias("high"), *([(F.min("c") == F.max("c")).alias("one")] if last else [])).where("low < high").drop("high")
-        if not last:
-            found = checkpointed(_back(rows, groups, ["k"]).select("d", "k").distinct())
-            if found.isEmpty():
-                break
-    else:
-        found = _back(rows, groups, ["k"]).select("d", "k", "one", (F.col("d") > F.col("low")).alias("later"))
-        whole = found.where("one and later").groupBy("d").agg(F.collect_set("k").alias("whole"))
-        alive = found.where("not one").groupBy("d").agg(F.collect_set("k").alias("alive"), F.collect_set(F.when(F.col("later"), F.col("k"))).alias("late"))
-        rows = own.join(alive, "d").select("d", "t", "alive", "late").mapInArrow(_last_level(lengths), "h long, g long, d long, later boolean")
-        groups = rows.groupBy("h", "g").agg(F.min("d").alias("low"), F.max("d").alias("high")).where("low < high").drop("high")
-        found = _back(rows.where("later"), groups, ["h", "g"]).where("d > low").groupBy("d").agg(F.collect_set("h").alias("gone"))
-
-    none = F.lit(None).cast("array<long>")
-    marked = own.join(found, "d", "left").join(whole, "d", "left").select("d", "t", "gone", "whole") if whole is not None else own.select("d", "t", none.alias("gone"), none.alias("whole"))
+    own = docs.select(F.coalesce(F.col(id_col).cast("long"), row).alias("d"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
+    read, last = own, len(lengths) - 2
+    own = own.repartition("d")
+    for level in range(last + 1):
+        rows = read.mapInArrow(_anchor_level(lengths, level), "k long, d long" + (", c long" if level == last else ""))
+        groups = rows.groupBy("k").agg(F.min("d").alias("low"), F.max("d").alias("high"), *([(F.min("c") == F.max("c")).alias("one")] if level == last else [])).where("low < high").drop("high")
+        found = _back(rows, groups, ["k"])
+        if level < last:
+            alive = checkpointed(found.groupBy("d").agg(F.collect_set("k").alias("alive")))
+            read = own.join(alive, "d").select("d", "t", "alive")
+
+    found = found.select("d", "k", "one", (F.col("d") > F.col("low")).alias("later"))
+    whole = found.where("one and later").groupBy("d").agg(F.collect_set("k").alias("whole"))
+    alive = found.where("not one").groupBy("d").agg(F.collect_set("k").alias("alive"), F.collect_set(F.when(F.col("later"), F.col("k"))).alias("late"))
+    rows = own.join(alive, "d").select("d", "t", "alive", "late").mapInArrow(_last_level(lengths), "h long, g long, d long, later boolean")
+    groups = rows.groupBy("h", "g").agg(F.min("d").alias("low"), F.max("d").alias("high")).where("low < high").drop("high")
+    gone = _back(rows.where("later"), groups, ["h", "g"]).where("d > low").groupBy("d").agg(F.collect_set("h").alias("gone"))
+
+    marked = own.join(gone, "d", "left").join(whole, "d", "left").select("d", "t", "gone", "whole")
     out = marked.mapInArrow(_remove(window, lengths[-2]), "d long, n_words long, n_removed long, spans array<struct<first:long,last:long>>, kept string")
     return out.select(F.when(F.col("d") >= NO_ID + OWN_IDS, F.col("d")).alias(id_col), "n_words", "n_removed", "spans", F.col("kept").alias("kept_text"))

@@ -81,9 +81,9 @@ def test_substring_levels():
 
 
 def test_substring_candidates_fall_by_level():
-    """What repeats at one length alone is extended: a passage of 30 words reaches the level of 25 and not that of 50."""
+    """What repeats at one length alone is extended: a passage of 20 words repeats at 13 words and not at 25."""
     rng = random.Random(4)
-    passage, rows = [f"p{k}" for k in range(30)], []
+    passage, rows = [f"p{k}" for k in range(20)], []
     for i in range(12):
         own = [f"d{i}.{rng.random()}" for _ in range(80)]
         rows.append(own[:40] + passage + own[40:] if i < 6 else own)
@@ -100,9 +100,10 @@ def test_substring_candidates_fall_by_level():
         return len(seen), [a for a, ds in seen.items() if len(ds) > 1]
 
     first, alive = level(0, [])
-    assert first > 100 and 1 <= len(alive) <= 18
-    second, alive = level(1, alive)
-    assert second == 0 and alive == []
+    assert first > 24 and 1 <= len(alive) <= 8
+    second, none = level(1, alive)
+    assert 0 < second < first and none == []
+    assert level(1, [])[0] == 0
 
 
 def texts(seed):
@@ -130,6 +131,12 @@ def test_exact(spark, keep, hot):
     assert left.columns == frame(spark, []).columns and left.count() == len(groups)
 
 
+def test_ranges_are_found_by_halving(spark):
+    for edges in ([], [5], [1, 5, 9], list(range(0, 200, 3))):
+        got = spark.range(-3, 210).select("id", exact_dedup._range_of(F.col("id"), edges).alias("p")).collect()
+        assert all(r.p == sum(e < r.id for e in edges) for r in got)
+
+
 def test_exact_empty_table(spark):
     assert exact_dedup.exact_groups(frame(spark, [])).count() == 0
 

@@ -39,6 +39,42 @@ def test_overflow_goes_to_the_next_shard_with_room():
     assert sorted(runs) == [(0, 0, 4, 0, 0), (0, 4, 6, 1, 2), (0, 6, 9, 2, 1), (2, 0, 1, 2, 0), (4, 0, 2, 1, 0)]
 
 
+def test_assignment_is_that_of_a_walk_of_single_documents(spark):
+    """Documents one by one in ring order, in plain Python: home while it has room, the rest clockwise behind."""
+    shards, vnodes = 6, 8
+    rows = [(k, f"text {k % 13}", "s", "en") for k in range(700)] + [(None, f"n{k}", "s", "en") for k in range(150)]
+    frame = docs(spark, rows)
+    order = frame.select("doc_id", "text", sharding.place(F.col("doc_id")).alias("at"), F.xxhash64("doc_id", F.crc32(F.col("text").cast("binary")), F.octet_length("text").cast("long") + 8).alias("h")).collect()
+    points = sorted((int(a), int(o)) for a, o in zip(*sharding.ring(shards, vnodes)))
+    point_of = lambda at: next((k for k, (a, _) in enumerate(points) if a >= at), 0)
+    lined = sorted((point_of(r["at"]), r.h % sharding.CLASSES, r["at"], -1 if r.doc_id is None else r.doc_id, zlib.crc32(r.text.encode()), len(r.text) + 8) for r in order)
+    room = [len(rows) // shards + (s < len(rows) % shards) for s in range(shards)]
+    want, over = {}, []
+    for doc in lined:  # each takes a place at home while there is room
+        home = points[doc[0]][1]
+        if room[home]:
+            room[home] -= 1
+            want[doc] = home
+        else:
+            over.append(doc)
+    for step in range(2 * len(points)):  # once around and once more: who passes a shard with room takes it, first come first served
+        shard = points[step % len(points)][1]
+        waiting = [d for d in over if d not in want and (d[0] < step)]
+        for doc in waiting[: room[shard]]:
+            want[doc] = shard
+            room[shard] -= 1
+    got = {}
+    for r in sharding.assign_shards(frame, shards=shards, vnodes=vnodes).collect():
+        got.setdefault((r.doc_id, r.text_crc32), r.shard)
+    assert {(None if d[3] < 0 else d[3], d[4]): s for d, s in want.items()} == got
+
+
+def test_one_more_shard_moves_few(spark):
+    rows = [(k, "t", "s", "en") for k in range(6000)]
+    a, b = ({r.doc_id: r.shard for r in sharding.assign_shards(docs(spark, rows), shards=n).select("doc_id", "shard").collect()} for n in (24, 25))
+    assert sum(a[k] != b[k] for k in a) < 0.15 * len(a)
+
+
 def test_assignment_repeats_whatever_the_partitions(spark):
     rows = [(k // 2 if k < 20 else k, f"t{k}", "s", "en") for k in range(300)] + [(None, "a", "s", "en")] * 40
     a = sharding.assign_shards(docs(spark, rows).repartition(5), shards=5).select("doc_id", "text_crc32", "shard", "slot").collect()
