@@ -1,7 +1,7 @@
 """Media columns: baseline JPEG read by numpy, down to thumbnails of block means and their hashes.
 
 `read_jpegs` parses the markers of baseline files (SOF0: 8 bits, one to four components, any
-sampling; DQT, DHT, DRI, restarts; one scan that holds all components, or one component) and decodes
+sampling; DQT, DHT, DRI, restarts; scans that hold all components, or one) and decodes
 scans to the DC coefficient of each luminance block, whose dequantised value over 8, plus 128, is the
 block's mean: one thumbnail pixel for each 8 x 8 block. Files that use the same tables are decoded
 together: each restart interval is a lane, and all lanes take their next symbol at once from tables
@@ -137,8 +137,22 @@ class Frame:
     data: int = 0
 
 
+def _tables(body: bytes, out: Frame) -> None:
+    """Huffman tables of a DHT."""
+    while body:
+        n = sum(body[1:17])
+        if len(body) < 17 + n or n > 256 or body[0] & 0xEF > 3:
+            raise ValueError("a Huffman table that does not end")
+        if sum(c << (15 - k) for k, c in enumerate(body[1:17])) > 1 << 16:
+            raise ValueError("more codes than there are")
+        if body[0] < 16 and any(size > 11 for size in body[17 : 17 + n]):
+            raise ValueError("a difference of more than 11 bits")
+        out.tables[body[0]] = bytes(body[1 : 17 + n])
+        body = body[17 + n :]
+
+
 def parse(file: bytes) -> Frame:
-    """Reads the markers up to the data of the scan with the luminance; only that scan's components stay in parts."""
+    """Reads the markers up to the data of the scan with the luminance; only that scan's components stay in parts. ValueError with the reason if the file breaks the format."""
     if file[:2] != b"\xff\xd8":
         raise ValueError("no start of image")
     out, at = Frame(), 2
@@ -148,44 +162,60 @@ def parse(file: bytes) -> Frame:
         if at + 4 > len(file) or file[at] != 0xFF:
             raise ValueError("a marker was to come")
         mark, size = file[at + 1], struct.unpack_from(">H", file, at + 2)[0]
+        if mark in (0xD8, 0xD9):
+            raise ValueError("no scan")
+        if mark in (0x00, 0x01) or 0xD0 <= mark <= 0xD7 or size < 2 or at + 2 + size > len(file):
+            raise ValueError("a segment that does not end")
         body = file[at + 4 : at + 2 + size]
         at += 2 + size
         if mark == 0xDB:
             while body:
                 wide = body[0] >> 4
+                if wide > 1 or len(body) < 1 + 64 * (1 + wide):
+                    raise ValueError("a quantiser table that does not end")
                 first = struct.unpack_from(">H", body, 1)[0] if wide else body[1]
                 out.quant[body[0] & 15] = first
                 body = body[1 + 64 * (1 + wide) :]
         elif mark == 0xC0:
+            if len(body) < 6 or len(body) < 6 + 3 * body[5] or not 1 <= body[5] <= 4 or out.parts:
+                raise ValueError("a frame that does not end")
             depth, out.height, out.width, n = struct.unpack_from(">BHHB", body)
             if depth != 8 or not out.height or not out.width:
                 raise ValueError("not a baseline frame")
             out.parts = [(body[6 + 3 * k], body[7 + 3 * k] >> 4, body[7 + 3 * k] & 15, body[8 + 3 * k]) for k in range(n)]
+            if len({p[0] for p in out.parts}) < n or any(not 1 <= x <= 4 for p in out.parts for x in p[1:3]):
+                raise ValueError("components that are none")
         elif 0xC1 <= mark <= 0xCF and mark not in (0xC4, 0xC8, 0xCC):
             raise ValueError("not a baseline frame")
         elif mark == 0xC4:
-            while body:
-                n = sum(body[1:17])
-                out.tables[body[0]] = bytes(body[1 : 17 + n])
-                body = body[17 + n :]
+            _tables(body, out)
         elif mark == 0xDD:
+            if len(body) != 2:
+                raise ValueError("a restart interval that does not end")
             out.restart = struct.unpack(">H", body)[0]
         elif mark == 0xDA:
+            if not body or not 1 <= body[0] <= 4 or len(body) < 4 + 2 * body[0]:
+                raise ValueError("a scan that does not end")
             out.scan = [(body[1 + 2 * k], body[2 + 2 * k] >> 4, body[2 + 2 * k] & 15) for k in range(body[0])]
             if not out.parts:
                 raise ValueError("no frame before the scan")
-            if out.parts[0][0] not in [c for c, _, _ in out.scan]:  # luminance is in a later scan
+            named = [c for c, _, _ in out.scan]
+            if named != [p[0] for p in out.parts if p[0] in named] or bytes(body[1 + 2 * body[0] : 4 + 2 * body[0]]) != b"\0\x3f\0":
+                raise ValueError("not a baseline scan")
+            if out.parts[0][0] not in named:  # luminance is in a later scan
                 while at + 1 < len(file) and (file[at] != 0xFF or file[at + 1] in (0x00, 0xFF) or 0xD0 <= file[at + 1] <= 0xD7):
                     at += 1
                 continue
             if len(out.scan) != len(out.parts):
                 if out.parts[0][1:3] != (max(p[1] for p in out.parts), max(p[2] for p in out.parts)):
                     raise ValueError("luminance of less than full size in a scan of its own")
-                out.parts = [p for p in out.parts if p[0] in [c for c, _, _ in out.scan]]
+                out.parts = [p for p in out.parts if p[0] in named]
+            if out.parts[0][3] not in out.quant or any(d not in out.tables or 16 + a not in out.tables for _, d, a in out.scan):
+                raise ValueError("a scan names what the file lacks")
+            if len(out.parts) > 1 and sum(p[1] * p[2] for p in out.parts) > 10:
+                raise ValueError("more blocks than a unit holds")
             out.data = at
             return out
-        elif mark in (0xD9, 0xD8):
-            raise ValueError("no scan")
 
 
 _SPREAD: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
@@ -223,19 +253,24 @@ def _whole(dc: bytes, ac: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _unstuff(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Scan bytes without stuffed zeros and marks, and the starts of restart intervals among them."""
-    nxt = np.concatenate([data[1:], [0xD9]]).astype(np.uint8)
+    """A scan's bytes without stuffed zeros and marks, and the starts and the end of its restart intervals among them."""
+    nxt = np.concatenate([data[1:], [0]]).astype(np.uint8)
     ff = data == 255
-    stuffed, mark = ff & (nxt == 0), ff & (nxt != 0) & (nxt != 255)
-    fill = ff & (nxt == 255)
-    drop = mark | fill
-    drop[1:] |= (stuffed | mark)[:-1]
+    mark = ff & (nxt != 0) & (nxt != 255)
+    ends = np.flatnonzero(mark & ((nxt < 0xD0) | (nxt > 0xD7)))
+    if not len(ends):
+        raise ValueError("a scan without an end")
+    data, nxt, ff, mark = data[: ends[0]], nxt[: ends[0]], ff[: ends[0]], mark[: ends[0]]
+    if (nxt[mark] != 0xD0 + np.arange(mark.sum()) % 8).any():
+        raise ValueError("restart marks out of order")
+    drop = mark | ff & (nxt == 255)
+    drop[1:] |= ((ff & (nxt == 0)) | mark)[:-1]
     kept = np.cumsum(~drop)
-    return data[~drop], np.concatenate([[0], kept[mark]])
+    return data[~drop], np.concatenate([[0], kept[mark], kept[-1:]])
 
 
 def _decode(words: np.ndarray, at: np.ndarray, blocks: np.ndarray, pattern: list[tuple[bytes, bytes, int]], lumas: int) -> np.ndarray:
-    """DC differences (block, lane) of the lanes that begin at bit `at` and have `blocks` blocks, most first."""
+    """DC differences (block, lane) of the lanes that begin at bit `at` and have `blocks` blocks, most first; `at` is moved to the lanes' ends."""
     n = int(blocks.max())
     out = np.zeros((n, len(at)), np.int32)
     peek = lambda p: (words[p >> 3] >> (16 - (p & 7))) & 0xFFFF
@@ -280,16 +315,36 @@ class Image:
     thumbnail: np.ndarray
 
 
+def read_each(files: list[bytes]) -> list[Image | str]:
+    """Images of files, or the reason why there is none."""
+    out: list = [None] * len(files)
+    for k, f in enumerate(files):
+        try:
+            parse(f)
+        except ValueError as reason:
+            out[k] = str(reason)
+    sound = [k for k, x in enumerate(out) if x is None]
+    todo = [sound] if sound else []
+    while todo:  # a batch with a bad file is halved
+        part = todo.pop()
+        try:
+            for k, image in zip(part, read_jpegs([files[k] for k in part]), strict=True):
+                out[k] = image
+        except ValueError as reason:
+            if len(part) == 1:
+                out[part[0]] = str(reason)
+            else:
+                todo += [part[: len(part) // 2], part[len(part) // 2 :]]
+    return out
+
+
 def read_jpegs(files: list[bytes]) -> list[Image]:
-    """Dimensions and luminance thumbnails of baseline files."""
+    """Dimensions and luminance thumbnails of baseline files; ValueError if one of them is none."""
     frames = [parse(f) for f in files]
     groups: dict[tuple, list[int]] = defaultdict(list)
     for k, x in enumerate(frames):
         parts = {p[0]: p for p in x.parts}
-        try:
-            shape = tuple((x.tables[d], x.tables[16 + a], *((parts[i][1], parts[i][2]) if len(x.scan) > 1 else (1, 1))) for i, d, a in x.scan)
-        except KeyError:
-            raise ValueError("a scan names what the file lacks") from None
+        shape = tuple((x.tables[d], x.tables[16 + a], *((parts[i][1], parts[i][2]) if len(x.scan) > 1 else (1, 1))) for i, d, a in x.scan)
         groups[shape].append(k)
     out: list = [None] * len(files)
     for shape, members in groups.items():
@@ -299,16 +354,19 @@ def read_jpegs(files: list[bytes]) -> list[Image]:
         base = np.concatenate([[0], np.cumsum([len(d) for d in data])])
         flat = np.concatenate([*data, np.zeros(8, np.uint8)]).astype(np.int64)
         words = flat[:-3] << 24 | flat[1:-2] << 16 | flat[2:-1] << 8 | flat[3:]
-        lanes, mcus, sizes = [], [], []
+        lanes, until, mcus, sizes = [], [], [], []
         for n, k in enumerate(members):
             x = frames[k]
             wide, high = max(p[1] for p in x.parts) if each > 1 or len(shape) > 1 else 1, max(p[2] for p in x.parts) if each > 1 or len(shape) > 1 else 1
             across, down = -(-x.width // (8 * wide)), -(-x.height // (8 * high))
             total = across * down
             count = -(-total // x.restart) if x.restart else 1
-            if len(starts[n]) < count:
-                raise ValueError("a restart interval is missing")
-            lanes.append(starts[n][:count] + base[n])
+            if len(starts[n]) != count + 1:
+                raise ValueError("not as many restart intervals as there are to be")
+            if 2 * total * each > 8 * len(data[n]):
+                raise ValueError("fewer bits than blocks need")
+            lanes.append(starts[n][:-1] + base[n])
+            until.append(starts[n][1:] + base[n])
             each_lane = np.full(count, x.restart or total)
             each_lane[-1] = total - (count - 1) * (x.restart or total)
             mcus.append(each_lane)
@@ -316,7 +374,14 @@ def read_jpegs(files: list[bytes]) -> list[Image]:
         bits, blocks = np.concatenate(lanes) << 3, np.concatenate(mcus) * each
         order = np.argsort(-blocks, kind="stable")
         diffs = np.empty((int(blocks.max()), len(bits)), np.int32)
-        diffs[:, order] = _decode(words, bits[order], blocks[order], pattern, lumas)
+        ends = bits[order]
+        try:
+            diffs[:, order] = _decode(words, ends, blocks[order], pattern, lumas)
+        except IndexError:
+            raise ValueError("data that end before their blocks") from None
+        spare = (np.concatenate(until)[order] << 3) - ends
+        if ((spare < 0) | (spare > 7)).any():
+            raise ValueError("data that do not end with their blocks")
         luma = np.array([t % each < lumas for t in range(len(diffs))])
         dc = np.cumsum(diffs[luma], axis=0)
         lane = 0
@@ -344,7 +409,25 @@ def average_hash(thumbnail: np.ndarray) -> int:
     return int.from_bytes(np.packbits(mean > mean.mean()).tobytes(), "big")
 
 
-# --- the operator
+# --- the operators
+
+_READ = pa.schema([("i", pa.int64()), ("width", pa.int32()), ("height", pa.int32()), ("thumbnail_hash", pa.string()), ("error", pa.string())])
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        raw, at = column_bytes(batch.column(1))
+        for i, j in chunks(at, 1 << 20):
+            got = read_each([raw[at[k] : at[k + 1]].tobytes() for k in range(i, j)])
+            seen = [(x.width, x.height, f"{average_hash(x.thumbnail):016x}", None) if isinstance(x, Image) else (None, None, None, x) for x in got]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *(pa.array([r[k] for r in seen], f.type) for k, f in enumerate(list(_READ)[1:]))], schema=_READ)
+
+
+def read_media(files: DataFrame, *, media_col: str = "media", id_col: str = "doc_id") -> DataFrame:
+    """One row per input row: id, width, height, thumbnail_hash (16 hex digits) of a column of baseline JPEG files, and error, the reason where there is none."""
+    own = files.select(F.col(id_col).cast("long").alias("i"), F.col(media_col).cast("binary").alias("m"))
+    return own.mapInArrow(_read, "i long, width int, height int, thumbnail_hash string, error string").withColumnRenamed("i", id_col)
+
 
 _OUT = pa.schema([("i", pa.int64()), ("n_bytes", pa.int64()), ("payload", pa.binary()), ("media", pa.binary()), ("width", pa.int32()), ("height", pa.int32()), ("feature", pa.string())])
 

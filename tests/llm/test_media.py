@@ -111,6 +111,48 @@ def test_says_what_is_wrong():
             media.read_jpegs([bad])
 
 
+SHAPES = [([(1, 1)], 0), ([(1, 1)], 2), ([(2, 1), (1, 1), (1, 1)], 3)]
+
+
+@pytest.mark.parametrize(("sampling", "restart"), SHAPES)
+def test_no_cut_file_has_an_image(sampling, restart):
+    good, _ = jpeg(random.Random(2), 40, 24, sampling, restart, 8)
+    got = media.read_each([good[:k] for k in range(len(good) - 1)])  # all but the last byte of the end mark
+    assert all(isinstance(x, str) and x for x in got)
+    assert isinstance(media.read_each([good])[0], media.Image)
+
+
+@pytest.mark.parametrize(("sampling", "restart"), SHAPES)
+def test_a_changed_byte_gives_an_image_or_a_reason(sampling, restart):
+    rng = random.Random(3)
+    good, want = jpeg(rng, 40, 24, sampling, restart, 8)
+    files = []
+    for _ in range(700):
+        at = rng.randrange(len(good))
+        files.append(good[:at] + bytes([rng.randrange(256)]) + good[at + 1 :])
+    got = media.read_each([good, *files, good])
+    assert all(np.array_equal(got[k].thumbnail, want) for k in (0, -1))
+    assert all(isinstance(x, media.Image) or isinstance(x, str) for x in got) and sum(isinstance(x, str) for x in got) > 100
+
+
+def test_a_small_file_of_a_large_image_takes_no_time():
+    good, _ = jpeg(random.Random(2), 40, 24, [(1, 1)], 0, 8)
+    at = good.index(b"\xff\xc0") + 5
+    assert media.read_each([good[:at] + b"\xff\xff\xff\xff" + good[at + 4 :]]) == ["fewer bits than blocks need"]
+
+
+def test_media_column(spark):
+    good, want = jpeg(random.Random(4), 33, 17, [(1, 1)] * 3, 0, 8)
+    rows = [(1, good), (2, None), (3, b""), (4, good[:-9]), (5, good), (None, good), (1, b"no image at all")]
+    files = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, media binary, width int, error string").repartition(1)
+    out = media.read_media(files).collect()
+    assert sorted((str(r.doc_id), r.error is None) for r in out) == sorted((str(i), f == good) for i, f in rows)
+    for r in out:
+        told = (33, 17, f"{media.average_hash(want):016x}") if r.error is None else (None, None, None)
+        assert (r.width, r.height, r.thumbnail_hash) == told
+    assert media.read_media(files.limit(0)).count() == 0
+
+
 def test_writer_is_a_stock_file_and_loses_nothing():
     rng = np.random.default_rng(3)
     rows = np.array([1, 5, 700])
