@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -22,12 +23,20 @@ _ONE = np.uint64(1)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared folder; make one of our own only where none is named (tests)."""
+    """Use the shared folder that the session names; make one of our own only where all runs in one process (tests)."""
     if spark.sparkContext.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="fernlight-"))
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of ours in the checkpoint folder's file system."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this package to the executors where they can't already import it."""
     package = Path(__file__).resolve().parents[1]

@@ -8,7 +8,7 @@ two lines or more that also occurs earlier, in order of (document id, place), is
 Finding repeats moves no text: chunk hashes are counted by a partial aggregation, one row a task for
 a chunk that every document holds. The texts of chunks whose hash repeats are then fetched from
 their documents and grouped by the bytes themselves, not by that hash; so equal chunks, and only
-these, share a first place. The SHA-256 of a group's bytes takes the place back to its chunks. The text exchange, by document, serves all three passes.
+these, share a first place. The SHA-256 of a group's bytes takes the place back to its chunks. The text exchange, by document, serves all three passes; its key is the id and a hash of the text, so rows without an id are dealt over all tasks.
 
 Cases: null text counts as empty, which is one empty line. A last line without end is a line.
 Rows that repeat an id are ordered by a hash of the text; equal rows are one document, so a repeat of a whole row
@@ -34,7 +34,7 @@ def chunk_ends(reach: int, spread: int) -> str:
 
 def _own(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("d"), text.alias("t")).repartition("d")
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("d"), text.alias("t")).withColumn("v", F.xxhash64("t")).repartition("d", "v")
 
 
 def _chunks(own: DataFrame, reach: int, spread: int) -> DataFrame:
@@ -51,7 +51,7 @@ def _text(k: str) -> Column:
 def remove_repeated_chunks(docs: DataFrame, *, reach: int = 2, spread: int = 4, least_lines: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, n_lines, n_chunks, n_removed (lines), kept_text."""
     own = _own(docs, id_col, text_col)
-    cut = _chunks(own, reach, spread).withColumn("v", F.xxhash64("t"))
+    cut = _chunks(own, reach, spread)
 
     sized = F.expr("filter(transform(starts, (s, k) -> named_struct('k', k, 'n', ends[k] - s + 1, 'c', xxhash64(slice(h, s + 1, ends[k] - s + 1)))), x -> x.n >= %d)" % least_lines)
     small = cut.select("d", "v", F.explode(sized).alias("x")).select("d", "v", "x.k", "x.c")
