@@ -7,23 +7,25 @@ shard over its bound keeps its first documents in ring order; the others continu
 next point whose shard has room. Only overflow moves away from its home.
 
 What a document does depends on the number of documents that start at each point alone. These
-counts, one number a point (`shards * vnodes`, whatever the input), go to the driver, which walks
-the ring and returns, for each point, runs of ranks and their shards. Documents take their rank in
-their point by a window over small rows without text; that is the only shuffle of rows, over
-shards * vnodes keys of even hash.
+counts, by point and by `CLASSES` classes of a hash of the row, go to the driver (at most `shards * vnodes
+* CLASSES` numbers, whatever the input), which walks the ring and returns, for each point and class,
+runs of ranks and their shards. Documents take their rank by a window over small rows without text;
+that is the only shuffle of rows. The order in a point is: class, place, id, CRC, size.
 
-Cases: null text has size 8 and the CRC of no bytes. Null ids and repeated ids start at one place
-and spread over the ranks of that point; ties are ordered by id, CRC and size.
+Cases: null text has size 8 and the CRC of no bytes. Null ids and repeated ids start at one place;
+their classes are different tasks, so a point that holds a third of all rows is split.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PLACES = 1 << 32
+CLASSES = 64
 
 
 def ring(shards: int, vnodes: int) -> tuple[np.ndarray, np.ndarray]:
@@ -82,20 +84,22 @@ def assign_shards(docs: DataFrame, *, shards: int = 24, vnodes: int = 128, id_co
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("i"), (F.octet_length(text).cast("long") + 8).alias("size"), F.crc32(text.cast("binary")).alias("crc"))
-    rows = rows.withColumn("at", place(F.col("i"))).withColumn("point", point_of("at"))
-
-    counts = np.zeros(len(places), np.int64)
-    for point, n in rows.groupBy("point").count().collect():
-        counts[point] = n
-    plan = spark.createDataFrame(walk(counts, owners, shards) or [(-1, 0, 0, 0, 0)], "point int, low long, high long, shard int, slot0 long")
-    homes = spark.createDataFrame([(k, int(s)) for k, s in enumerate(owners)], "point int, home int")
-    by_point = plan.groupBy("point").agg(F.sort_array(F.collect_list(F.struct("low", "high", "shard", "slot0"))).alias("runs")).join(F.broadcast(homes), "point")
-
-    rank = F.row_number().over(Window.partitionBy("point").orderBy("at", "i", "crc", "size")).cast("long") - 1
+    rows = rows.withColumn("at", place(F.col("i"))).withColumn("cell", point_of("at").cast("long") * CLASSES + F.pmod(F.xxhash64("i", "crc", "size"), F.lit(CLASSES)))
+
+    cells = np.repeat(owners, CLASSES)
+    counts = np.zeros(len(cells), np.int64)
+    seen = rows.groupBy("cell").count().toArrow()
+    counts[seen["cell"].to_numpy()] = seen["count"].to_numpy()
+    runs = np.array(walk(counts, cells, shards), np.int64).reshape(-1, 5).T
+    names = ["cell", "low", "high", "shard", "slot0"]
+    plan = spark.createDataFrame(pa.table({name: x for name, x in zip([*names, "home"], [*runs, cells[runs[0]]], strict=True)}))
+    by_cell = plan.groupBy("cell", "home").agg(F.sort_array(F.collect_list(F.struct(*names[1:]))).alias("runs"))
+
+    rank = F.row_number().over(Window.partitionBy("cell").orderBy("at", "i", "crc", "size")).cast("long") - 1
     run = F.element_at(F.filter("runs", lambda x: (x["low"] <= F.col("rank")) & (F.col("rank") < x["high"])), 1)
-    out = rows.withColumn("rank", rank).join(F.broadcast(by_point), "point").withColumn("run", run)
+    out = rows.withColumn("rank", rank).join(F.broadcast(by_cell), "cell").withColumn("run", run)
     return out.select(
         F.col("i").alias(id_col), "size", F.col("crc").alias("text_crc32"), F.lit("rows").alias("law"),
-        F.col("run.shard").alias("shard"), (F.col("run.slot0") + F.col("rank") - F.col("run.low")).alias("slot"),
+        F.col("run.shard").cast("int").alias("shard"), (F.col("run.slot0") + F.col("rank") - F.col("run.low")).alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"), (F.col("run.shard") != F.col("home")).alias("moved"),
     )
