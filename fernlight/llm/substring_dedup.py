@@ -199,7 +199,7 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, first: int = FIRST, id_
     lengths = lengths_of(window, first)
 
     row = F.pmod(F.monotonically_increasing_id(), F.lit(OWN_IDS)) + F.lit(NO_ID)
-    own = docs.select(F.coalesce(F.col(id_col).cast("long"), row).alias("d"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
+    own = docs.select(F.coalesce(F.col(id_col).cast("long"), row, F.lit(NO_ID)).alias("d"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
     read, last = own, len(lengths) - 2
     own = own.repartition("d")
     for level in range(last + 1):
