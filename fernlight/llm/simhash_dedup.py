@@ -194,34 +194,14 @@ def bucket_keys(f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(places)
 
 
-def pair_keys(f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All (key, position in f) of pairs of segments' Golay keys. Two fingerprints that differ in at most two bits in each of two segments meet: always up to five bits, often up to twelve."""
-    if not _golay:
-        _golay.append(Golay())
-    near = [_golay[0].keys(((f >> np.uint64(at)) & np.uint64((1 << width) - 1)).astype(np.uint32), width) for at, width in SEGMENTS]
-    keys, places = [], []
-    for a, b in ((0, 1), (0, 2), (1, 2)):
-        at_a, col_a = np.nonzero(near[a][1])
-        at_b, col_b = np.nonzero(near[b][1])
-        many = near[b][1].sum(axis=1)
-        index = near[b][0][at_b, col_b].astype(np.int64)[ragged((np.cumsum(many) - many)[at_a], many[at_a])]
-        keys.append(np.int64(a * 3 + b) << 40 | np.repeat(near[a][0][at_a, col_a].astype(np.int64), many[at_a]) << 12 | index)
-        places.append(np.repeat(at_a, many[at_a]))
-    return np.concatenate(keys), np.concatenate(places)
-
-
-def _deal(keys_of):
-    """Rows (key, columns) of each key of the first column."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]
-            for i in range(0, batch.num_rows, 1 << 13):
-                part = [c[i : i + (1 << 13)] for c in columns]
-                keys, at = keys_of(part[0].view(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array(c[at]) for c in part)], ["k", *batch.schema.names])
-
-    return run
+def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, fingerprint) of each key of fingerprints."""
+    for batch in batches:
+        f = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        for i in range(0, len(f), 1 << 13):
+            part = f[i : i + (1 << 13)]
+            keys, at = bucket_keys(part.view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(part[at])], ["k", "f"])
 
 
 # --- buckets
@@ -246,72 +226,33 @@ def links(f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(left), np.concatenate(right)
 
 
-#: Bits that candidates for similarity may differ in: fingerprints of word pairs, and of four words.
-PAIR_RADIUS, FOUR_RADIUS = 12, 16
-_FAR = np.uint8(255)
-
-
-def _apart(two: np.ndarray, four: np.ndarray, k) -> np.ndarray:
-    """Bits between fingerprints of word pairs, 255 where either of the two distances is over its radius."""
-    d = np.bitwise_count(two ^ two[k])
-    d[(d > PAIR_RADIUS) | (np.bitwise_count(four ^ four[k]) > FOUR_RADIUS)] = _FAR
-    return d
-
-
-def nearest_links(two: np.ndarray, four: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of a minimum spanning forest of the pairs within both radii, by Prim's algorithm."""
-    distance = _apart(two, four, 0)
-    by = np.zeros(len(two), np.int64)
-    alone = np.ones(len(two), bool)
-    distance[0], alone[0] = _FAR, False
-    left, right = [], []
-    for _ in range(len(two) - 1):
-        k = int(distance.argmin())
-        if distance[k] < _FAR:
-            left.append(by[k])
-            right.append(k)
-        else:
-            k = int(alone.argmax())
-        alone[k] = False
-        d = _apart(two, four, k)
-        closer = alone & (d < distance)
-        distance[closer], by[closer] = d[closer], k
-        distance[k] = _FAR
-    return np.array(left, np.int64), np.array(right, np.int64)
-
-
-def _search(block: int, width: int, connect):
-    """Reads rows (key, width fingerprints) in their order; makes links (0, fingerprints, fingerprints) and, of buckets over block, (block + 1, key and zeros, fingerprints)."""
-    names = ["z", *(f"a{c}" for c in range(width)), *(f"b{c}" for c in range(width))]
+def _search(block: int):
+    """Reads rows (key, fingerprint) in their order; makes links (0, fingerprint, fingerprint) and, of buckets over block, (block + 1, key, fingerprint)."""
 
     def told(left: np.ndarray, right: np.ndarray, out: list, z: int = 0) -> None:
-        out.append([np.full(len(left), z), *left.view(np.int64).T, *right.view(np.int64).T])
+        out.append((np.full(len(left), z), left.view(np.int64), right.view(np.int64)))
 
     def finish(key: int, values: np.ndarray, out: list) -> None:
-        new = np.ones(len(values), bool)
-        new[1:] = (values[1:] != values[:-1]).any(axis=1)
-        values = values[new]
+        values = values[np.concatenate([[True], values[1:] != values[:-1]])]
         if len(values) < 2:
             return
         for k, at in enumerate(range(0, len(values), block)):
             part = values[at : at + block]
-            a, b = connect(*part.T)
+            a, b = links(part)
             told(part[a], part[b], out)
             if len(values) > block:
-                own = np.zeros_like(part)
-                own[:, 0] = np.int64(key).view(np.uint64)
-                told(own, part, out, k + 1)
+                told(np.full(len(part), key, np.int64), part, out, k + 1)
 
     def batch_of(out: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*out, strict=True)], names)
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*out, strict=True)], ["z", "a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_key, held = None, []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, *columns = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(width + 1))
-            values = np.stack(columns, axis=1).view(np.uint64)
+            key, values = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (0, 1))
+            values = values.view(np.uint64)
             edge = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
             out: list = []
             if held_key is not None and key[0] != held_key:
@@ -322,9 +263,7 @@ def _search(block: int, width: int, connect):
             inner[[0, -1]] = False
             two = edge[:-1][inner & (sizes == 2)]  # most buckets hold one or two
             a, b = values[two], values[two + 1]
-            bits = np.bitwise_count(a ^ b)
-            near = (bits[:, 0] <= RADIUS) if width == 1 else (bits[:, 0] <= PAIR_RADIUS) & (bits[:, 1] <= FOUR_RADIUS)
-            near &= bits.any(axis=1)
+            near = (np.bitwise_count(a ^ b) <= RADIUS) & (a != b)
             told(a[near], b[near], out)
             for r in np.flatnonzero((sizes > 2) | ~inner):
                 part = values[edge[r] : edge[r + 1]]
@@ -346,32 +285,26 @@ def _search(block: int, width: int, connect):
     return run
 
 
-def _connected(keyed: DataFrame, block: int, connect) -> DataFrame:
-    """Links (a0.., b0..) of rows (k, f0..): those that connect makes of each bucket, and of each pair of blocks of a bucket over block."""
-    values = keyed.columns[1:]
-    width = len(values)
-    left, right = [f"a{c}" for c in range(width)], [f"b{c}" for c in range(width)]
-    form = ", ".join(f"{c} long" for c in ["z", *left, *right])
-    found = checkpointed(keyed.repartition("k").sortWithinPartitions("k", *values).mapInArrow(_search(block, width, connect), form))
-    edges, wide = found.where("z = 0").select(*left, *right), found.where("z > 0")
+def fingerprint_links(distinct: DataFrame, *, block: int = 1 << 15) -> DataFrame:
+    """Links (a, b) among distinct fingerprints f; they connect all that pairs within RADIUS connect.
+
+    A fingerprint becomes about sixty rows, so the few that a small input has are dealt to all tasks first.
+    """
+    parts = max(distinct.sparkSession.sparkContext.defaultParallelism, int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    keyed = distinct.repartition(parts).mapInArrow(_deal, "k long, f long")
+    found = checkpointed(keyed.repartition("k").sortWithinPartitions("k", "f").mapInArrow(_search(block), "z long, a long, b long"))
+    edges, wide = found.where("z = 0").select("a", "b"), found.where("z > 0").select(F.col("a").alias("k"), F.col("b").alias("f"), "z")
     if wide.agg(F.max("z")).first()[0]:
-        blocks = wide.groupBy(F.col("a0").alias("k")).agg(F.max("z").alias("m"))
-        named = wide.select(F.col("a0").alias("k"), *[F.col(r).alias(v) for r, v in zip(right, values, strict=True)], "z")
-        spread = named.join(blocks, "k").withColumn("o", F.explode(F.sequence(F.lit(1).cast("long"), "m"))).where("o <> z")
         # two blocks have a task's key of their own; links within each are made already
-        pair = spread.select(F.xxhash64("k", F.least("z", "o"), F.greatest("z", "o")).alias("k"), *values)
-        more = pair.repartition("k").sortWithinPartitions("k", *values).mapInArrow(_search(2 * block, width, connect), form)
-        edges = edges.union(more.where("z = 0").select(*left, *right))
+        spread = wide.join(wide.groupBy("k").agg(F.max("z").alias("m")), "k").withColumn("o", F.explode(F.sequence(F.lit(1).cast("long"), "m"))).where("o <> z")
+        pair = spread.select(F.xxhash64("k", F.least("z", "o"), F.greatest("z", "o")).alias("k"), "f")
+        more = pair.repartition("k").sortWithinPartitions("k", "f").mapInArrow(_search(2 * block), "z long, a long, b long")
+        edges = edges.union(more.where("z = 0").select("a", "b"))
     return edges
 
 
-def fingerprint_links(distinct: DataFrame, *, block: int = 1 << 15) -> DataFrame:
-    """Links (a, b) among distinct fingerprints f; they connect all that pairs within RADIUS connect."""
-    return _connected(distinct.mapInArrow(_deal(bucket_keys), "k long, f long"), block, links).toDF("a", "b")
-
-
 def near_groups(docs: DataFrame, *, shingle: int = 4, block: int = 1 << 15, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, fingerprint (16 hex digits), component_id, group_size, kept (one row a group)."""
+    """One row per input row: id, fingerprint (16 hex digits), component_id, group_size, kept (the rows of the component's id)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     own = checkpointed(docs.select(F.col(id_col).cast("long").alias("i"), text.alias("t")).mapInArrow(_fingerprint(shingle), "i long, f long"))
     distinct = own.groupBy("f").agg(F.min("i").alias("low"), F.count(F.lit(1)).alias("n"))
@@ -564,18 +497,43 @@ def _similar_within(texts: DataFrame, keyed: DataFrame, shingle: int, similarity
     return found.union(tried(rest, F.array_remove(blocks, F.col("z")), [F.least("z", "o"), F.greatest("z", "o")]))
 
 
+#: Rows that repeat an id with another text are nodes of their own, numbered from here up.
+OWN_NODES = 1 << 62
+
+
+def _nodes(texts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """texts (i, t) as nodes (i, t), and (node, id, hash of the text) of those whose id other texts have too; None if there are none."""
+    if texts.groupBy("i").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return texts, None
+    hashed = texts.withColumn("v", F.xxhash64("t"))
+    several = hashed.groupBy("i").agg(F.min("v").alias("low"), F.max("v").alias("high")).where("low < high").select(F.col("i").alias("j"), "low")
+    versions = hashed.join(several, F.col("i") == F.col("j")).groupBy("i", "v").agg(F.first("low").alias("low"))
+    if texts.agg(F.max("i")).first()[0] >= OWN_NODES:
+        raise ValueError("ids of 2**62 and more, where ids repeat with different texts")
+    named = checkpointed(versions.withColumn("node", F.when(F.col("v") == F.col("low"), F.col("i")).otherwise(F.monotonically_increasing_id() + OWN_NODES)).drop("low"))
+    if named.isEmpty():
+        return texts, None
+    return hashed.join(named, ["i", "v"], "left").select(F.coalesce("node", "i").alias("i"), "t"), named
+
+
 def near_copies(docs: DataFrame, *, similarity: float = 0.8, shingle: int = 5, block: int = 1 << 15, members: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per distinct id: id, component_id, kept (one id a group). Links are those of near_groups, and all candidates that are similar.
+    """One row per distinct id and text: id, text_hash, component_id, kept (one row a group).
+
+    text_hash is the text's xxhash64 where its id has several texts, else null. Links are those of
+    near_groups, and all candidates that are similar.
 
     Candidates come from the sets of shingles of `shingle` words themselves: the least values of a set
     under random orders agree with those of another as often as the two are similar, and are dealt in
     bands (see BANDS), so that a similar pair is found with a known probability whatever else its texts
-    hold. Equal sets are one. All pairs of texts that share a band's key are tried: they link if their sets
+    hold; how many a document has does not depend on the number of documents that are not similar to it.
+    Equal sets are one. All pairs of texts that share a band's key are tried: they link if their sets
     have a Jaccard similarity of `similarity` or more, computed exactly.
-    Null ids are left out.
+
+    The smallest id of a group stays; of an id with several texts, the one with the least hash counts as
+    that id and the others come behind all ids. Null ids are left out.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    texts = docs.select(F.col(id_col).cast("long").alias("i"), text.alias("t")).where("i is not null")
+    texts, named = _nodes(docs.select(F.col(id_col).cast("long").alias("i"), text.alias("t")).where("i is not null"))
     own = checkpointed(texts.mapInArrow(_sketches(shingle), "i long, f long, d long, e long, m array<long>"))
 
     least, within = _least_ids(own, ["f"])
@@ -583,8 +541,14 @@ def near_copies(docs: DataFrame, *, similarity: float = 0.8, shingle: int = 5, b
     sure = within.select("a", "b").union(across.select("x", "y"))
 
     copies = checkpointed(_least_ids(own, ["d", "e"])[1])
-    first = own.join(few(copies.select(F.col("b").alias("i"), "d", "e")), ["i", "d", "e"], "left_anti")  # by its set too: an id may have several texts
+    first = own.join(few(copies.select(F.col("b").alias("i"))), "i", "left_anti")
     alike = _similar_within(texts, first.select("i", F.explode("m").alias("k")), shingle, similarity, members)
     roots = components(sure.union(copies.select("a", "b")).union(alike))
     out = own.select("i").distinct().join(roots, F.col("i") == F.col("node"), "left").select("i", F.coalesce("root", "i").alias("component_id"))
-    return out.select(F.col("i").alias(id_col), "component_id", (F.col("i") == F.col("component_id")).alias("kept"))
+    kept = (F.col("i") == F.col("component_id")).alias("kept")
+    if named is None:
+        return out.select(F.col("i").alias(id_col), F.lit(None).cast("long").alias("text_hash"), "component_id", kept)
+    told = out.join(named.select(F.col("node").alias("i"), F.col("i").alias("own"), "v"), "i", "left")
+    whose = named.select(F.col("node").alias("component_id"), F.col("i").alias("whose"))
+    told = told.join(whose, "component_id", "left")
+    return told.select(F.coalesce("own", "i").alias(id_col), F.col("v").alias("text_hash"), F.coalesce("whose", "component_id").alias("component_id"), kept)

@@ -315,39 +315,6 @@ def test_lines_null_id_repeated_rows_and_empty_table(spark):
     assert line_dedup.remove_repeated_chunks(frame(spark, [])).count() == 0
 
 
-def test_pair_keys_meet_within_five_bits():
-    rng = np.random.default_rng(6)
-    f = rng.integers(0, 1 << 63, 300, dtype=np.int64).view(np.uint64)
-    for bits in range(6):
-        g = f.copy()
-        for k in range(len(g)):
-            for b in rng.choice(64, bits, replace=False):
-                g[k] ^= np.uint64(1) << np.uint64(b)
-        one, two = (set(zip(*(x.tolist() for x in simhash_dedup.pair_keys(v)), strict=True)) for v in (f, g))
-        assert {k for _, k in one & two} == set(range(300))
-
-
-def test_nearest_links_are_a_minimum_forest():
-    rng = np.random.default_rng(9)
-    two, four = (rng.integers(0, 1 << 34, 80).astype(np.uint64) for _ in range(2))
-    a, b = simhash_dedup.nearest_links(two, four)
-    bits = lambda v, x, y: int(v[x] ^ v[y]).bit_count()
-    pairs = sorted((bits(two, x, y), x, y) for x in range(80) for y in range(x) if bits(two, x, y) <= 12 and bits(four, x, y) <= 16)
-    root = list(range(80))
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    total = count = 0
-    for d, x, y in pairs:
-        if find(x) != find(y):
-            root[find(x)] = find(y)
-            total, count = total + d, count + 1
-    assert len(a) == count and int(np.bitwise_count(two[a] ^ two[b]).sum()) == total and 5 < count
-
-
 def test_near_copies_by_similarity(spark):
     rng = random.Random(12)
     vocabulary = [f"v{k}" for k in range(3000)]
@@ -443,10 +410,18 @@ def test_bands_meet_as_often_as_their_law_says():
         assert abs(met.any(axis=1).mean() - (1 - (1 - j**simhash_dedup.ROWS) ** simhash_dedup.BANDS)) < 0.04
 
 
-def test_near_copies_of_an_id_with_two_texts(spark):
+def test_near_copies_of_an_id_with_several_texts(spark):
     a, b = (" ".join(f"{x}{k}" for k in range(60)) for x in "ab")
-    got = {r.doc_id: r.component_id for r in simhash_dedup.near_copies(frame(spark, [(1, a), (5, a), (5, b), (7, f"{b} more")])).collect()}
-    assert got == {1: 1, 5: 1, 7: 1}
+    hashes = {t: spark.createDataFrame([(t,)], "t string").select(F.xxhash64("t")).first()[0] for t in (a, b)}
+    for rows in ([(1, a), (5, a), (5, b), (7, f"{b} more")], [(1, b), (5, a), (5, b), (7, f"{a} more"), (5, a)]):
+        near, far = rows[0][1], rows[-1][1] if rows[-1][0] == 5 else b
+        got = simhash_dedup.near_copies(frame(spark, rows)).collect()
+        by = {(r.doc_id, r.text_hash): (r.component_id, r.kept) for r in got}
+        assert len(got) == 4 and by[1, None] == (1, True) and by[5, hashes[near]] == (1, False)
+        low = min(hashes.values()) == hashes[far]  # else it is a node behind all ids
+        assert by[5, hashes[far]] == ((5, True) if low else (7, False)) and by[7, None] == ((5, False) if low else (7, True))
+    alone = simhash_dedup.near_copies(frame(spark, [(5, a), (5, b)])).collect()
+    assert [(r.doc_id, r.component_id, r.kept) for r in alone] == [(5, 5, True)] * 2
 
 
 def test_near_copies_whose_passages_repeat_differently(spark):
