@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,7 +47,9 @@ def with_features(df: DataFrame, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
 
     def counted(low: Column) -> Column:
-        return F.struct(hits(low, BULLISH).alias("b"), hits(low, BEARISH).alias("s"), hits(low, RISK).alias("r"), T.tokens(low).alias("tokens"))
+        negated = reduce(lambda a, t: a | F.contains(low, F.lit(t)), NEGATIONS, F.lit(False))  # most texts hold no negation and need no tokens
+        tokens = F.when(negated, T.tokens(low)).otherwise(F.array().cast("array<string>"))
+        return F.struct(hits(low, BULLISH).alias("b"), hits(low, BEARISH).alias("s"), hits(low, RISK).alias("r"), tokens.alias("tokens"))
 
     # a lambda's argument is evaluated once, even where a filter is pushed below and repeats the expression
     df = df.withColumn("__low", F.get(F.transform(F.array(F.lower(text)), counted), F.lit(0)))

@@ -48,7 +48,11 @@ def for_analysis(normalized: Column | str) -> Column:
     return F.trim(F.regexp_replace(out, r"(?U)\s+", " "))
 
 
+HINTS = ("en_or_romanized", "hi_or_indic", "hinglish_or_mixed", "unknown")
+
+
 def language_hint(text: Column | str) -> Column:
+    """One of HINTS."""
     text = _text(text)
     indic = text.rlike(rf"[{DEVANAGARI}]")
     # beside A-Z, two letters that lower-case into a-z
@@ -90,8 +94,8 @@ def tokens(lowered: Column | str) -> Column:
 
 def uppercase_ratio(text: Column | str) -> Column:
     text = _text(text)
-    letters = F.regexp_count(text, F.lit(r"\p{L}"))
-    return F.when(letters > 0, F.regexp_count(text, F.lit(r"\p{Lu}")) / letters).otherwise(F.lit(0.0))
+    # texts without a capital, as all for analysis are, are not counted
+    return F.when(text.rlike(r"\p{Lu}"), F.regexp_count(text, F.lit(r"\p{Lu}")) / F.regexp_count(text, F.lit(r"\p{L}"))).otherwise(F.lit(0.0))
 
 
 def exclamations(text: Column | str) -> Column:

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from fernlight.functions import features as X
 from fernlight.functions.numbers import round6
+from fernlight.functions.text import HINTS
 
-#: What a summary says about its method.
+#: What a summary says about its method.
 METHODOLOGY = {
     "text_features": "finance lexicon + negation + manipulation-risk discount",
     "weighting": "recency decay + log engagement + log reach",
@@ -52,13 +53,16 @@ def finish(groups: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def signals(scored: DataFrame, *, minutes: int = 15) -> DataFrame:
-    """One row per (window, market) of posts that have signal and weight; unordered."""
-    keyed = scored.select(
+def _keyed(scored: DataFrame, minutes: int, *more: Column) -> DataFrame:
+    return scored.select(
         X.window_start(F.col("timestamp"), minutes).alias("window_start"), X.market(F.col("hashtags"), F.col("query_tag")).alias("market"),
-        "username", "engagement_total", "signal", "weight", "manipulation_risk",
+        "username", "engagement_total", "signal", "weight", "manipulation_risk", *more,
     )
-    out = finish(keyed.groupBy("window_start", "market").agg(*aggregates()), ["window_start", "market"])
+
+
+def signals(scored: DataFrame, *, minutes: int = 15) -> DataFrame:
+    """One row per (window, market) of posts that have signal and weight; unordered."""
+    out = finish(_keyed(scored, minutes).groupBy("window_start", "market").agg(*aggregates()), ["window_start", "market"])
     return out.withColumn("window_start", X.iso(F.col("window_start")))
 
 
@@ -70,15 +74,32 @@ def label(x: Column) -> Column:
     return F.when(x > 0.08, "bullish").when(x < -0.08, "bearish").otherwise("neutral")
 
 
-def summary(signal_rows: DataFrame, languages: DataFrame) -> DataFrame:
-    """One row. Over no windows: status no_data and no other figures. Languages are a map."""
-    langs = languages.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("language_hint", "n")))).alias("language_counts"))
-    total = signal_rows.agg(F.coalesce(F.sum("tweet_count"), F.lit(0)).alias("tweet_count"), F.count(F.lit(1)).alias("window_count"), F.sum(F.col("composite_signal") * F.col("tweet_count")).alias("__s"))
+def _totals() -> list[Column]:
+    return [F.coalesce(F.sum("tweet_count"), F.lit(0)).alias("tweet_count"), F.count(F.lit(1)).alias("window_count"), F.sum(F.col("composite_signal") * F.col("tweet_count")).alias("__s")]
+
+
+def _told(total: DataFrame) -> DataFrame:
+    """The summary of one row of totals and language_counts."""
     some = F.col("window_count") > 0
     overall = F.when(some, F.when(F.col("tweet_count") > 0, F.col("__s") / F.col("tweet_count")).otherwise(F.lit(0.0)))
-    out = total.crossJoin(F.broadcast(langs)).withColumn("__o", overall)  # one row each
-    return out.select(
+    return total.withColumn("__o", overall).select(
         "tweet_count", F.when(some, F.col("window_count")).alias("window_count"), F.when(~some, F.lit("no_data")).alias("status"),
         round6(F.col("__o")).alias("overall_signal"), F.when(some, label(F.col("__o"))).alias("overall_label"), "language_counts",
         F.when(some, F.struct(*[F.lit(v).alias(k) for k, v in METHODOLOGY.items()])).alias("methodology"),
     )
+
+
+def summary(signal_rows: DataFrame, languages: DataFrame) -> DataFrame:
+    """One row. Over no windows: status no_data and no other figures. Languages are a map."""
+    langs = languages.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("language_hint", "n")))).alias("language_counts"))
+    return _told(signal_rows.agg(*_totals()).crossJoin(F.broadcast(langs)))  # one row each
+
+
+def run_summary(scored: DataFrame, *, minutes: int = 15) -> DataFrame:
+    """As summary, from posts that have signal, weight and language_hint (one of HINTS), which are read and grouped once."""
+    hint = F.coalesce(F.nullif("language_hint", F.lit("")), F.lit("unknown"))
+    counts = [f"__n{k}" for k in range(len(HINTS))]
+    groups = _keyed(scored, minutes, hint.alias("__hint")).groupBy("window_start", "market").agg(*aggregates(), *[F.count_if(F.col("__hint") == h).alias(c) for h, c in zip(HINTS, counts, strict=True)])
+    total = finish(groups, ["window_start", "market", *counts]).agg(*_totals(), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts])
+    langs = F.map_filter(F.map_from_arrays(F.array(*map(F.lit, HINTS)), F.array(*counts)), lambda _, n: n > 0)
+    return _told(total.withColumn("language_counts", langs))

@@ -42,7 +42,8 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts with signal and weight. Features follow from the text alone: each document's are computed once, and small rows are joined."""
-    known = X.with_features(texts(spark, sf_dir).select("doc_id", "normalized_content"), "normalized_content").select("doc_id", "polarity", "manipulation_risk")
+    own = texts(spark, sf_dir).select("doc_id", "normalized_content", T.language_hint("content").alias("language_hint"))
+    known = X.with_features(own, "normalized_content").select("doc_id", "polarity", "manipulation_risk", "language_hint")
     return X.with_signal(events(spark, sf_dir).join(known, "doc_id"), as_of())
 
 
@@ -136,14 +137,10 @@ def author_diversity(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LANGS = f"""lg AS (SELECT {_LANG_SQL.format("content")} AS language_hint, count(*) AS n FROM ev JOIN an USING (doc_id) GROUP BY 1)"""
 
 
-def _languages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hints = texts(spark, sf_dir).select("doc_id", T.language_hint("content").alias("language_hint"))
-    return signals.language_counts(events(spark, sf_dir).select("doc_id").join(hints, "doc_id"))
-
-
 @query(f"WITH {EVENTS_SQL}, {CONTENTS_SQL}, {_LANGS} SELECT language_hint, n FROM lg")
 def language_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _languages(spark, sf_dir)
+    hints = texts(spark, sf_dir).select("doc_id", T.language_hint("content").alias("language_hint"))
+    return signals.language_counts(events(spark, sf_dir).select("doc_id").join(hints, "doc_id"))
 
 
 @query(
@@ -153,7 +150,7 @@ SELECT tweet_count, window_count, round(x, 6) + 0.0 AS overall_signal, CASE WHEN
   (SELECT string_agg(language_hint || '=' || n, ',' ORDER BY language_hint) FROM lg) AS language_counts FROM o"""
 )
 def overall_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    one = signals.summary(signals_15m(spark, sf_dir), _languages(spark, sf_dir))
+    one = signals.run_summary(scored(spark, sf_dir))
     counts = F.array_join(F.transform(F.map_entries("language_counts"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
     return one.select("tweet_count", "window_count", "overall_signal", "overall_label", counts.alias("language_counts"))
 
@@ -310,12 +307,33 @@ def hashed_ngrams_md5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.hashed_ngrams(texts(spark, sf_dir), id_col="doc_id")
 
 
-@query()
-def hashed_vectors_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
+def murmur3_sql(text: str) -> str:
+    """Signed MurmurHash3 (seed 0) of a text in DuckDB, as |h|."""
+    mask, turn = "4294967295::UBIGINT", "((({0})::UBIGINT << {1}) | (({0})::UBIGINT >> {2})) & 4294967295::UBIGINT"
+    times = lambda x, c: f"((({x}) * {c}::UBIGINT) & {mask})"
+    mixed = lambda k: times("(" + turn.format(times(k, 0xCC9E2D51), 15, 17) + ")", 0x1B873593)
+    word = lambda p: "(('0x' || substr(x, {0} + 6, 2) || substr(x, {0} + 4, 2) || substr(x, {0} + 2, 2) || substr(x, {0}, 2))::UBIGINT)".format(p)
+    step = f"((({turn.format(f'xor(a, {mixed("k")})', 13, 19)}) * 5::UBIGINT + {0xE6546B64}::UBIGINT) & {mask})"
+    body = f"list_reduce(list_transform(range(0, n // 4), lambda i: {word('8 * i + 1')}), lambda a, k: {step}, 0::UBIGINT)"
+    tail = f"xor(xor(b, CASE WHEN n % 4 > 0 THEN {mixed('tail')} ELSE 0::UBIGINT END), n::UBIGINT)"
+    final = "h0"
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+        final = times(f"xor({final}, ({final}) >> {shift})", factor)
+    last = word("8 * (n // 4) + 1").replace("x,", "rpad(x, (2 * n + 8)::INT, '0'),")
+    return rf"""
+m0 AS (SELECT g, hex(encode(g)) AS x, strlen(g) AS n FROM (SELECT DISTINCT {text} AS g FROM gr)),
+m1 AS (SELECT g, n, {body} AS b, {last} & ((1::UBIGINT << ((n % 4) * 8)::INT) - 1) AS tail FROM m0),
+m2 AS (SELECT g, {tail} AS h0 FROM m1),
+m3 AS (SELECT g, {final} AS h1 FROM m2),
+mm AS (SELECT g, abs(CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) AS h FROM (SELECT g, xor(h1, h1 >> 16)::BIGINT AS h FROM m3))"""
+
 
-    out = vectors.hashed_vectors(texts(spark, sf_dir), id_col="doc_id")
-    return out.select("doc_id", F.round(F.aggregate(vector_to_array("vector"), F.lit(0.0), lambda a, x: a + x * x), 6).alias("squared_length"))
+@query(rf"""WITH {CONTENTS_SQL}, tk AS (SELECT doc_id, regexp_extract_all(normalized_content, '[\pL\pN_]{{2,}}') AS w FROM an),
+gr AS (SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS g FROM tk),{murmur3_sql("g")},
+bk AS (SELECT doc_id, (h % 16384)::INT AS bucket, count(*) AS n FROM gr JOIN mm USING (g) GROUP BY 1, 2)
+SELECT doc_id, bucket, round(n / sqrt(sum(n * n) OVER (PARTITION BY doc_id)::DOUBLE), 6) AS weight FROM bk""")
+def hashed_vectors_murmur3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.murmur3_features(texts(spark, sf_dir), id_col="doc_id")
 
 
 @query("SELECT count(*) AS \"rows\", ceil(count(*) / 1000.0)::BIGINT AS batches, 16384 AS features FROM documents")

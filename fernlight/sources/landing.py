@@ -71,6 +71,37 @@ class Collector:
         raise NotImplementedError
 
 
+class RoundCollector(Collector):
+    """A source that shows posts round by round, as a page that grows when it is scrolled: override `rounds`.
+
+    A query ends after `patience` rounds without a new id, after `target` posts, or with its rounds. Posts
+    older than the cutoff are left out; each id is given once.
+    """
+
+    def __init__(self, patience: int = 5):
+        if patience < 1:
+            raise ValueError("patience must be at least 1")
+        self.patience = patience
+
+    def rounds(self, query: str, cutoff: datetime) -> Iterator[list[dict[str, Any]]]:
+        raise NotImplementedError
+
+    def collect(self, *, queries: tuple[str, ...], cutoff: datetime, target: int) -> Iterator[dict[str, Any]]:
+        seen: set[str] = set()
+        given = 0
+        for query in queries:
+            idle = 0
+            for rows in self.rounds(query, cutoff):
+                new = [r for r in rows if r["tweet_id"] not in seen and not seen.add(r["tweet_id"])]
+                idle = 0 if new else idle + 1
+                for row in new:
+                    if given < target and row["timestamp"] >= cutoff:
+                        given += 1
+                        yield row
+                if idle == self.patience or given >= target:
+                    break
+
+
 class _Part(InputPartition):
     def __init__(self, query: str):
         super().__init__(query)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -10,7 +11,7 @@ from fernlight.functions import features as X
 from fernlight.operators.dedupe import first_wins
 from fernlight.operators.signals import aggregates, finish
 from fernlight.plans.runs import score
-from fernlight.sources.posts import clean
+from fernlight.sources.posts import clean, read_posts, write_posts
 from fernlight.sources.schema import PARTITIONS, RAW
 
 
@@ -38,16 +39,39 @@ def store_stream(raw: DataFrame, path: str, checkpoint: str, *, trigger: dict |
 
 
 def upsert_batches(raw: DataFrame, path: str, checkpoint: str, *, trigger: dict | None = None) -> StreamingQuery:
-    """As store_stream but against all that is stored, however old: each batch is anti-joined with the store's fingerprints.
+    """As store_stream but against all that is stored, however old.
 
-    A batch that is tried again finds its own rows in the store and adds none of them twice.
+    State is a table of fingerprints beside the store, in 256 folders by their first byte. A batch reads the
+    folders of its own fingerprints, and of the store only the hours that it has posts of: posts are
+    written before the state, and a batch that is tried again finds those it has written in these
+    hours and adds none twice. A store without the table seeds it.
     """
 
     def add(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        from fernlight.sources.posts import read_posts, write_posts
-
-        one = first_wins(batch, ["fingerprint"], [F.col("timestamp"), F.col("tweet_id"), F.col("username")])
-        write_posts(one.join(read_posts(spark, path).select("fingerprint"), "fingerprint", "left_anti"), path)
+        state = f"{path.rstrip('/')}__fingerprints"
+        head = F.substring("fingerprint", 1, 2).alias("head")
+        try:
+            seen = spark.read.schema("fingerprint string, head string").parquet(state)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            read_posts(spark, path).select("fingerprint", head).hint("rebalance", F.col("head")).write.partitionBy("head").parquet(state)
+            seen = spark.read.schema("fingerprint string, head string").parquet(state)
+        one = first_wins(batch, ["fingerprint"], [F.col("timestamp"), F.col("tweet_id"), F.col("username")]).persist()
+        heads = [r.head for r in one.select(head).distinct().collect()]
+        hours = [tuple(r) for r in one.select(*PARTITIONS).distinct().collect()]
+        by_day: dict[str, list[str]] = {}
+        for day, hour in hours:
+            by_day.setdefault(day, []).append(hour)
+        own = F.lit(False)
+        for day, some in by_day.items():
+            own = own | ((F.col("event_date") == day) & F.col("event_hour").isin(some))
+        known = seen.where(F.col("head").isin(heads)).select("fingerprint").union(read_posts(spark, path).where(own).select("fingerprint"))
+        new = one.join(known, "fingerprint", "left_anti").persist()
+        write_posts(new, path)
+        new.select("fingerprint", head).hint("rebalance", F.col("head")).write.mode("append").partitionBy("head").parquet(state)
+        new.unpersist()
+        one.unpersist()
 
     return clean(raw).writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

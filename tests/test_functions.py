@@ -102,6 +102,21 @@ def test_stride(spark, n, kept):
     assert sampling.stride_sample(df).count() == kept
 
 
+def test_murmur3_is_the_public_one(spark):
+    """Published values of the 32-bit x86 variant, seed 0."""
+    import numpy as np
+
+    known = {"": 0, "hello": 0x248BFA47, "hello, world": 0x149BBB7F, "The quick brown fox jumps over the lazy dog": 0x2E4FF723}
+    raw = [k.encode() for k in known]
+    at = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    assert (vectors.murmur3(np.frombuffer(b"".join(raw), np.uint8), at).astype(np.int64) & 0xFFFFFFFF).tolist() == list(known.values())
+    df = spark.createDataFrame([("1", "aa bb aa", 5), ("2", "", 5), ("3", None, 5)], "tweet_id string, normalized_content string, bucket int")
+    got = vectors.murmur3_features(df, features=1 << 30).collect()
+    assert {r.tweet_id for r in got} == {"1"} and sorted(r.weight for r in got) == [0.377964, 0.377964, 0.377964, 0.755929]
+    md5 = vectors.hashed_ngrams(df, features=1 << 30).collect()
+    assert sorted(r.weight for r in md5) == sorted(r.weight for r in got) and vectors.murmur3_features(df.limit(0)).count() == 0
+
+
 def test_ngrams_and_vectors(spark):
     assert one(spark, T.word_ngrams("v"), v="बाजार में तेजी nifty 5 #buy") == ["nifty", "buy", "nifty buy"]
     assert one(spark, T.word_ngrams("v"), v="") == [] and one(spark, T.word_ngrams("v"), v="one") == ["one"]

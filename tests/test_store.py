@@ -130,6 +130,52 @@ def test_collector_source(spark):
     assert posts.clean(df).count() == 6
 
 
+def test_rounds_end_without_progress():
+    class Page(landing.RoundCollector):
+        asked = 0
+
+        def rounds(self, query, cutoff):
+            for k in (0, 1, 1, 2, 2, 2, 2, 3):
+                self.asked += 1
+                yield [{"tweet_id": f"{query}{k}", "timestamp": cutoff}, {"tweet_id": f"old{query}{k}", "timestamp": datetime(2000, 1, 1, tzinfo=AS_OF.tzinfo)}]
+
+    page = Page(patience=3)
+    assert [r["tweet_id"] for r in page.collect(queries=("a", "b"), cutoff=AS_OF, target=9)] == ["a0", "a1", "a2", "b0", "b1", "b2"] and page.asked == 14
+    assert [r["tweet_id"] for r in Page().collect(queries=("a", "b"), cutoff=AS_OF, target=2)] == ["a0", "a1"]
+    with pytest.raises(ValueError):
+        Page(patience=0)
+
+
+def test_preview_csv(spark, tmp_path):
+    synthetic.write_preview(spark, str(tmp_path / "p"), count=50, as_of=F.lit(AS_OF))
+    rows = spark.read.option("header", True).csv(str(tmp_path / "p")).collect()
+    assert len(rows) == 50 and {r.synthetic for r in rows} == {"true"} and [r.timestamp for r in rows] == sorted(r.timestamp for r in rows)
+    assert {r.hashtags for r in rows} <= set(synthetic.TAGS)
+
+
+def test_row_groups_have_their_size(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    path = str(tmp_path / "g")
+    one = synthetic.clean_sample(spark, 900, 1, F.lit(AS_OF)).withColumns({"event_date": F.lit("2024-01-01"), "event_hour": F.lit("00")})
+    assert posts.write_posts(one, path, rows_per_file=600, rows_per_group=250) == 900
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{path}/*/*/*.parquet")]
+    assert sum(f.num_rows for f in files) == 900 and max(f.num_rows for f in files) <= 600
+    assert max(f.row_group(k).num_rows for f in files for k in range(f.num_row_groups)) <= 250
+    assert {f.row_group(0).column(0).compression for f in files} == {"ZSTD"}
+
+
+def test_summary_in_one_pass(spark):
+    from fernlight.operators import signals as S
+
+    for n in (400, 0):
+        made = synthetic.clean_sample(spark, n, 3, F.lit(AS_OF))
+        scored = runs.with_signal(runs.with_features(made, "normalized_content"), F.lit(AS_OF))
+        assert S.run_summary(scored).collect() == S.summary(S.signals(scored), S.language_counts(made)).collect()
+
+
 def test_json_log_lines():
     import logging
 
