@@ -26,7 +26,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     Aggregates are partial before they shuffle and a hub's rows are joined with one row, which AQE
     splits. Each round's edges are written to the checkpoint folder. Every round at least keeps the
-    components, and stops when none of its edges changes.
+    components, and stops when none of its edges changes. Edges with a null end and edges from a node to
+    itself tie nothing, and a node with no other edge has no row; repeated edges count once.
     """
     now = checkpointed(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct())
     seen = None

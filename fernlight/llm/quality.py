@@ -131,23 +131,28 @@ def estimate_prior(p: np.ndarray, u: np.ndarray, decay: float = 1e-4) -> float:
     return float(np.clip(share_u[best] / max(share_p[best], 1e-9), 0.05, 0.99))
 
 
+def risk_parts(w: np.ndarray, p: np.ndarray, u: np.ndarray, prior: float) -> tuple[float, float]:
+    """Both parts of the risk: prior * E_P[l(z)], and E_U[l(-z)] - prior * E_P[l(-z)], which is not to fall below 0."""
+    zp, zu = p @ w, u @ w
+    return prior * np.logaddexp(0, -zp).mean(), np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+
+
+def risk_gradient(w: np.ndarray, p: np.ndarray, u: np.ndarray, prior: float, decay: float) -> np.ndarray:
+    """Gradient of the sum of both parts, or of the second's negative where it is below 0; and of decay / 2 * |w|^2."""
+    sp, su = _sigmoid(p @ w), _sigmoid(u @ w)
+    rest = u.T @ su / len(u) - prior * (p.T @ sp) / len(p)
+    if risk_parts(w, p, u, prior)[1] < 0:
+        return -rest + decay * w
+    return prior * (p.T @ (sp - 1)) / len(p) + rest + decay * w
+
+
 def fit(positive: np.ndarray, unlabelled: np.ndarray, *, decay: float = 1e-4, steps: int = 500, rate: float = 0.1) -> Model:
     """Minimises the non-negative risk."""
     if len(positive) < 2 or len(unlabelled) < 2:
         return Model(np.zeros(WIDTH), 0.0, 0.5)
     p, u = _with_one(positive), _with_one(unlabelled)
     prior = estimate_prior(p, u)
-
-    def gradient(w):
-        zp, zu = p @ w, u @ w
-        sp, su = _sigmoid(zp), _sigmoid(zu)
-        rest = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        g_rest = u.T @ su / len(u) - prior * (p.T @ sp) / len(p)
-        if rest < 0:
-            return -g_rest + decay * w
-        return prior * (p.T @ (sp - 1)) / len(p) + g_rest + decay * w
-
-    w = _descend(gradient, p.shape[1], steps, rate)
+    w = _descend(lambda w: risk_gradient(w, p, u, prior, decay), p.shape[1], steps, rate)
     return Model(w[:-1], float(w[-1]), prior)
 
 

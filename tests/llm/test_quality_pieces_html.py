@@ -1,6 +1,7 @@
 """Quality on held-out labels, pieces against a plain Viterbi and the library, page text against expected text."""
 
 import itertools
+import math
 import os
 import random
 import time
@@ -54,6 +55,39 @@ def test_quality_learns_nothing_from_held_out_labels_or_zeros(spark):
     assert np.array_equal(a.weights, b.weights) and a.bias == b.bias
 
 
+def test_risk_and_gradient_are_those_of_a_plain_loop():
+    rng = np.random.default_rng(6)
+    p, u = rng.normal(0.5, 1, (9, 4)), rng.normal(0, 1, (13, 4))
+    loss = lambda z: math.log1p(math.exp(-z))
+    clamped = 0
+    for trial in range(40):
+        w, prior, decay = rng.normal(0, 2, 4), rng.uniform(0.2, 0.9), 0.01
+        zp, zu = ([sum(a * b for a, b in zip(x, w)) for x in rows] for rows in (p, u))
+        first = prior * sum(loss(z) for z in zp) / len(p)
+        second = sum(loss(-z) for z in zu) / len(u) - prior * sum(loss(-z) for z in zp) / len(p)
+        assert np.allclose(quality.risk_parts(w, p, u, prior), (first, second))
+        clamped += second < 0
+
+        def told(v):
+            a, b = quality.risk_parts(v, p, u, prior)
+            return (-b if second < 0 else a + b) + decay / 2 * (v @ v)
+
+        steps = np.eye(4) * 1e-6
+        assert np.allclose(quality.risk_gradient(w, p, u, prior, decay), [(told(w + s) - told(w - s)) / 2e-6 for s in steps], atol=1e-6)
+    assert 5 < clamped < 35  # both branches
+
+
+def test_fit_is_a_minimum_of_the_risk():
+    rng = np.random.default_rng(7)
+    good, bad = rng.normal(0.3, 0.2, (4000, 3)), rng.normal(-0.3, 0.2, (4000, 3))
+    p, u = good[:2000], np.vstack([good[2000:3200], bad[:800]])
+    m = quality.fit(p, u)
+    w = np.append(m.weights, m.bias)
+    risk = lambda v: (lambda a, b: a + max(0.0, b) + 5e-5 * (v @ v))(*quality.risk_parts(v, quality._with_one(p), quality._with_one(u), m.prior))
+    assert abs(m.prior - 0.6) < 0.1 and all(risk(w + s) > risk(w) - 1e-3 for s in rng.normal(0, 0.3, (200, 4)))
+    assert (m.score(good[2000:]) > 0.5).mean() > 0.95 and (m.score(bad) < 0.5).mean() > 0.95
+
+
 def test_prior_is_near_the_truth():
     rng = np.random.default_rng(1)
     good, bad = (quality._with_one(rng.normal(m, 0.5, (3000, 6)).astype(np.float32)) for m in (1, -1))
