@@ -12,8 +12,9 @@ Shapes that no page teaches keep the weights stated below.
 Edges. Smoothness edges join each block with the next one and with the block before it in the same
 container, and weigh more the nearer the two are in the DOM; a border of furniture counts as steps
 more. Elements that say what they are, by tag, role or name, are seeds, fixed on their side: a block
-below them has an edge to the terminal. All weights are of one order, so that a block's label is
-decided by its text, its seeds and its neighbours together. The minimum cut of this graph is the
+below them has an edge to the terminal. An edge to a furniture seed outweighs the text of one block, as
+comments and adverts read like articles; elsewhere text, seeds and neighbours are of one order and
+decide together. The minimum cut of this graph is the
 labelling of least cost; blocks on the source's side are content.
 
 Maximum flow by elimination, exact and in linear time on pages: a block with one edge pushes as much
