@@ -18,8 +18,8 @@ each group by default, or the smallest.
   again fewer than 8 n, is broadcast back.
 
 Cases: null text counts as empty, and empty texts form a group. Rows that repeat an id and a text
-are one group; exactly one row of a group stays. A null id is smaller than all others. An empty
-table gives no rows.
+are one group; exactly one row of a group stays. A null id loses to all others, whichever is kept. Rows
+of one heavy text that repeat an id, or have none, are one piece. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -253,6 +253,8 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {a: find(a) for e in edges if e[0] != e[1] for a in e}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    odd = [(1, None), (None, 2), (None, None), (3, 3), (4, 5), (5, 4), (4, 5)]
+    assert {(r.node, r.root) for r in components(spark.createDataFrame(odd, "a long, b long")).collect()} == {(4, 4), (5, 4)}
 
 
 def line_rows(seed):

@@ -1,14 +1,18 @@
 """The pipeline's stages, one by one and together, and the registered queries against their SQL."""
 
 import os
+import re
 
 import duckdb
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from fernlight.llm import pieces, queries
+from fernlight.llm import mixing, pieces, quality, queries
+from fernlight.llm.common import column_bytes
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("documents", "labels", "pages")
@@ -47,6 +51,64 @@ def test_stages_keep_the_columns_and_act(spark, tmp_path):
         assert r.text == (texts[r.doc_id] or "")
 
 
+def plain_good(spark, rows):
+    """Each text scored by itself."""
+    model = quality.train(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"))
+    scores = [float(model.score(quality.features(*column_bytes(pa.array([r.text], pa.string()))))[0]) for r in rows]
+    assert all(abs(x - 0.5) > 1e-6 for x in scores)
+    return {r.doc_id for r, x in zip(rows, scores) if x >= 0.5}
+
+
+def plain_exact(spark, rows):
+    best = {}
+    for r in rows:
+        key = (r.text or "").translate({c: c + 32 for c in range(65, 91)})
+        best[key] = max(best.get(key, r.doc_id), r.doc_id)
+    return set(best.values())
+
+
+def plain_near(spark, rows):
+    """All pairs: fingerprints within four bits, or 0.8 of five-word shingles in common."""
+    prints, sets = [], []
+    for r in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", (r.text or "").translate({c: c + 32 for c in range(65, 91)}))
+        cut = lambda n: [" ".join(words[k : k + n]).encode() for k in range(max(1, len(words) - n + 1))] if words else []  # noqa: B023, E731
+        hashes = [xxhash.xxh64_intdigest(x, seed=42) for x in cut(4)]
+        prints.append(sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes)))
+        sets.append(set(cut(5)))
+    root = list(range(len(rows)))
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    for a in range(len(rows)):
+        for b in range(a):
+            union = len(sets[a] | sets[b])
+            if (prints[a] ^ prints[b]).bit_count() <= 4 or union and len(sets[a] & sets[b]) >= 0.8 * union:
+                root[find(a)] = find(b)
+    least = {}
+    for k, r in enumerate(rows):
+        least[find(k)] = min(least.get(find(k), r.doc_id), r.doc_id)
+    return set(least.values())
+
+
+def plain_mix(spark, rows):
+    con = duckdb.connect()
+    con.register("documents", pa.table({c: [r[c] for r in rows] for c in ("doc_id", "text", "source", "lang")}))
+    return {i for i, kept in con.execute(f"SELECT doc_id, kept FROM ({mixing.mixture_sql()})").fetchall() if kept}
+
+
+def test_each_stage_keeps_what_a_plain_version_keeps(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for (name, stage), plain in zip(corpus_pipeline.STAGES, (plain_good, plain_exact, plain_near, plain_mix)):
+        rows = docs.collect()
+        stage(spark, docs, SF).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        assert {r.doc_id for r in docs.collect()} == plain(spark, rows), name
+
+
 def test_run_is_the_stages(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == ["doc_id", "ids", "n_tokens"] and 0 < out.count() < 200
