@@ -2,8 +2,8 @@
 
 The table of token counts by (source, language, topic) is raked under the bound that no document can
 be taken more than once: each cell has a weight, its probability is the weight held at 1, and in turn
-each margin's cells are multiplied by target / expected share, until no factor differs from 1 by over
-`tolerance` or after `rounds`. A cell's probability is that with which each of its documents is
+each margin's cells are multiplied by target / expected share, until no probability changes by over
+`tolerance` in a round or after `rounds`. A cell's probability is that with which each of its documents is
 sampled. The draw is a hash of the id, so a run repeats and shards agree.
 
 Targets: a margin's goal is a mapping of value to weight, or a power: shares in proportion to
@@ -104,22 +104,24 @@ def _with_targets(cells: DataFrame, targets: dict, fraction: float) -> DataFrame
 # --- raking
 
 
-def rake(cells: DataFrame, targets: dict, fraction: float, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
-    """Adds `share` (present), t_<margin> (targets) and `p` to cells (source, lang, topic, n)."""
-    now = _with_targets(cells, targets, fraction)
+def rake(cells: DataFrame, targets: dict, fraction: float, rounds: int = ROUNDS, tolerance: float = TOLERANCE, small: bool = True) -> DataFrame:
+    """Adds `share` (present), t_<margin> (targets) and `p` to cells (source, lang, topic, n). small: in one partition."""
+    written = (lambda df: checkpointed(df).coalesce(1)) if small else checkpointed
+    p = F.least(F.lit(1.0), F.col("w"))
+    now = _with_targets(cells.coalesce(1) if small else cells, targets, fraction)
     for m in MARGINS:  # what the cells that are raked have to give
         given = F.coalesce(F.sum(F.when(F.col("full"), F.col("share"))).over(Window.partitionBy(m)), F.lit(0.0))
         now = now.withColumn(f"l_{m}", F.greatest(F.lit(0.0), F.col(f"t_{m}") - given))
-    now = checkpointed(now.withColumn("w", F.when(~F.col("full"), F.lit(float(fraction)))))
+    now = written(now.withColumn("w", F.lit(float(fraction))))
     for _ in range(rounds):
+        now = now.withColumn("before", p)
         for m in MARGINS:
-            have = F.sum(F.when(~F.col("full"), F.col("share") * F.least(F.lit(1.0), F.col("w")))).over(Window.partitionBy(m))
-            now = now.withColumn("f", F.when(have > 0, F.col(f"l_{m}") / have).otherwise(F.lit(1.0))).withColumns({"w": F.col("w") * F.col("f"), f"c_{m}": F.abs(F.col("f") - 1)})
-        change = F.max(F.when(F.col("w") > 0, F.greatest(*[f"c_{m}" for m in MARGINS])))
-        now = checkpointed(now.drop("f"))
-        if (now.agg(change).first()[0] or 0.0) <= tolerance:
+            have = F.sum(F.when(~F.col("full"), F.col("share") * p)).over(Window.partitionBy(m))
+            now = now.withColumn("w", F.when(have > 0, F.col("w") * F.col(f"l_{m}") / have).otherwise(F.col("w")))
+        now = written(now.withColumn("change", F.when(~F.col("full"), F.abs(p - F.col("before")))).drop("before"))
+        if (now.agg(F.max("change")).first()[0] or 0.0) <= tolerance:
             break
-    return now.select(*MARGINS, "n", "share", *[f"t_{m}" for m in MARGINS], F.when(F.col("full"), F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.col("w"))).alias("p"))
+    return now.select(*MARGINS, "n", "share", *[f"t_{m}" for m in MARGINS], F.when(F.col("full"), F.lit(1.0)).otherwise(p).alias("p"))
 
 
 def margins(raked: DataFrame) -> DataFrame:
@@ -147,7 +149,7 @@ def _probabilities(rows: DataFrame, targets: dict | None, fraction: float, round
     """Raked cells of rows, and whether they are few."""
     cells = checkpointed(rows.groupBy(*[F.col(c).alias(m) for m, c in _CELL.items()]).agg(F.sum("__mix_tokens").alias("n")))
     small = cells.count() <= CELLS_IN_ONE
-    return rake(cells.coalesce(1) if small else cells, DEFAULT_TARGETS | (targets or {}), fraction, rounds), small
+    return rake(cells, DEFAULT_TARGETS | (targets or {}), fraction, rounds, small=small), small
 
 
 def _joined(rows: DataFrame, raked: DataFrame, small: bool) -> DataFrame:
@@ -195,7 +197,7 @@ def mixture_sql(*, fraction: float = 0.8, rounds: int = ROUNDS, seed: int = 42,
     ]
     step = "(SELECT * FROM r WHERE k < {})".format(rounds)
     for m in MARGINS:
-        step = f"(SELECT * EXCLUDE (w, h), w * CASE WHEN h > 0 THEN l_{m} / h ELSE 1 END AS w FROM (SELECT *, sum(share * least(1, w)) OVER (PARTITION BY {m}) AS h FROM {step}))"
+        step = f"(SELECT * EXCLUDE (w, h), CASE WHEN h > 0 THEN w * l_{m} / h ELSE w END AS w FROM (SELECT *, sum(share * least(1, w)) OVER (PARTITION BY {m}) AS h FROM {step}))"
     names = f"{cell}, share, {', '.join(f'l_{m}' for m in MARGINS)}"
     steps += [
         f"r AS (SELECT 0 AS k, {names}, {fraction}::DOUBLE AS w FROM l WHERE NOT whole UNION ALL SELECT k + 1, {names}, w FROM {step})",
