@@ -207,6 +207,23 @@ def test_upserts_do_not_repeat(spark, tmp_path, landed):
         assert posts.read_posts(spark, str(tmp_path / "out")).count() == 150
 
 
+def test_upserts_tried_again_after_the_posts_and_before_the_state(spark, tmp_path, landed):
+    import glob
+    import shutil
+
+    go = lambda n: posts_stream.upsert_batches(posts_stream.read_raw(spark, landed), str(tmp_path / "out"), str(tmp_path / f"check{n}")).awaitTermination()
+    go(1)
+    heads = glob.glob(str(tmp_path / "out__fingerprints" / "head=*"))
+    assert len(heads) > 50
+    for folder in heads:
+        shutil.rmtree(folder)
+    go(2)
+    assert posts.read_posts(spark, str(tmp_path / "out")).count() == 150
+    shutil.rmtree(tmp_path / "out__fingerprints")  # a store without the table seeds it
+    go(3)
+    assert posts.read_posts(spark, str(tmp_path / "out")).count() == 150
+
+
 def test_stream_signals_are_the_batch_ones(spark, landed):
     clean = posts_stream.clean_stream(posts_stream.read_raw(spark, landed))
     q = posts_stream.signal_stream(clean, F.lit(AS_OF)).writeStream.format("memory").queryName("sig").outputMode("append").trigger(availableNow=True).start()
