@@ -6,11 +6,12 @@ N mod n shards may hold ceil(N / n) and the others floor(N / n), so counts end a
 shard over its bound keeps its first documents in ring order; the others continue clockwise to the
 next point whose shard has room. Only overflow moves away from its home.
 
-What a document does depends on the number of documents that start at each point alone. These
-counts, by point and by `CLASSES` classes of a hash of the row, go to the driver (at most `shards * vnodes
-* CLASSES` numbers, whatever the input), which walks the ring and returns, for each point and class,
-runs of ranks and their shards. Documents take their rank by a window over small rows without text;
-that is the only shuffle of rows. The order in a point is: class, place, id, CRC, size.
+What a document does depends on the number of documents that start at each point alone. A first scan,
+of ids only, counts them by point; a point with over `HOT` times the mean is split into classes of a
+hash of the row, one for each mean, so there are at most twice as many classes as points (`shards *
+vnodes`), whatever the input. Their counts go to the driver, which walks the ring and returns, for
+each point and class, runs of ranks and their shards. Documents take their rank by a window over small
+rows without text; that is the only shuffle of rows. The order in a point is: class, place, id, CRC, size.
 
 Cases: null text has size 8 and the CRC of no bytes. Null ids and repeated ids start at one place;
 their classes are different tasks, so a point that holds a third of all rows is split.
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PLACES = 1 << 32
-CLASSES = 64
+HOT = 8
 
 
 def ring(shards: int, vnodes: int) -> tuple[np.ndarray, np.ndarray]:
@@ -73,6 +74,19 @@ def place(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(doc_id), F.lit(PLACES))
 
 
+def classes_of(counts: np.ndarray) -> np.ndarray:
+    """Classes of each point: one, or one for each mean that a hot point holds."""
+    mean = max(1.0, counts.sum() / len(counts))
+    return np.where(counts > HOT * mean, np.ceil(counts / mean), 1).astype(np.int64)
+
+
+def _counts(numbers: DataFrame, size: int) -> np.ndarray:
+    """How often each of the numbers 0 to size - 1 occurs in column n."""
+    seen, out = numbers.groupBy("n").count().toArrow(), np.zeros(size, np.int64)
+    out[seen["n"].to_numpy()] = seen["count"].to_numpy()
+    return out
+
+
 def assign_shards(docs: DataFrame, *, shards: int = 24, vnodes: int = 128, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, size, text_crc32, law, shard, slot, grown_shard, moved."""
     spark = docs.sparkSession
@@ -82,17 +96,24 @@ def assign_shards(docs: DataFrame, *, shards: int = 24, vnodes: int = 128, id_co
     def point_of(at: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(places, at.to_numpy()) % len(places)).astype("int32")
 
+    own = F.col(id_col).cast("long")
+    classes = classes_of(_counts(docs.select(point_of(place(own)).alias("n")), len(places)))
+    first = np.cumsum(classes) - classes
+
+    @F.pandas_udf("int")
+    def cell_of(at: pd.Series, h: pd.Series) -> pd.Series:
+        point = np.searchsorted(places, at.to_numpy()) % len(places)
+        return pd.Series(first[point] + h.to_numpy() % classes[point]).astype("int32")
+
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("i"), (F.octet_length(text).cast("long") + 8).alias("size"), F.crc32(text.cast("binary")).alias("crc"))
-    rows = rows.withColumn("at", place(F.col("i"))).withColumn("cell", point_of("at").cast("long") * CLASSES + F.pmod(F.xxhash64("i", "crc", "size"), F.lit(CLASSES)))
+    rows = docs.select(own.alias("i"), (F.octet_length(text).cast("long") + 8).alias("size"), F.crc32(text.cast("binary")).alias("crc"))
+    rows = rows.withColumn("at", place(F.col("i"))).withColumn("cell", cell_of("at", F.xxhash64("i", "crc", "size")))
 
-    cells = np.repeat(owners, CLASSES)
-    counts = np.zeros(len(cells), np.int64)
-    seen = rows.groupBy("cell").count().toArrow()
-    counts[seen["cell"].to_numpy()] = seen["count"].to_numpy()
+    cells = np.repeat(owners, classes)
+    counts = _counts(rows.select(F.col("cell").alias("n")), len(cells))
     runs = np.array(walk(counts, cells, shards), np.int64).reshape(-1, 5).T
     names = ["cell", "low", "high", "shard", "slot0"]
-    plan = spark.createDataFrame(pa.table({name: x for name, x in zip([*names, "home"], [*runs, cells[runs[0]]], strict=True)}))
+    plan = spark.createDataFrame(pa.table({name: x.astype(np.int32) if name == "cell" else x for name, x in zip([*names, "home"], [*runs, cells[runs[0]]], strict=True)}))
     by_cell = plan.groupBy("cell", "home").agg(F.sort_array(F.collect_list(F.struct(*names[1:]))).alias("runs"))
 
     rank = F.row_number().over(Window.partitionBy("cell").orderBy("at", "i", "crc", "size")).cast("long") - 1
