@@ -27,7 +27,7 @@ def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The topic margin is the form and length class of a text: the table has no topics."""
     out = mixing.mixture(spread(_read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")))
-    return out.withColumns({"p": F.round("p", 6), "residual": F.round("residual", 6)})
+    return out.withColumns({c: F.round(c, 6) for c in ("p", "residual", "off_goal")})
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,12 +42,15 @@ def test_overflow_goes_to_the_next_shard_with_room():
 def test_assignment_is_that_of_a_walk_of_single_documents(spark):
     """Documents one by one in ring order, in plain Python: home while it has room, the rest clockwise behind."""
     shards, vnodes = 6, 8
-    rows = [(k, f"text {k % 13}", "s", "en") for k in range(700)] + [(None, f"n{k}", "s", "en") for k in range(150)]
+    rows = [(k, f"text {k % 13}", "s", "en") for k in range(700)] + [(None, f"n{k}", "s", "en") for k in range(250)]
     frame = docs(spark, rows)
     order = frame.select("doc_id", "text", sharding.place(F.col("doc_id")).alias("at"), F.xxhash64("doc_id", F.crc32(F.col("text").cast("binary")), F.octet_length("text").cast("long") + 8).alias("h")).collect()
     points = sorted((int(a), int(o)) for a, o in zip(*sharding.ring(shards, vnodes)))
     point_of = lambda at: next((k for k, (a, _) in enumerate(points) if a >= at), 0)
-    lined = sorted((point_of(r["at"]), r.h % sharding.CLASSES, r["at"], -1 if r.doc_id is None else r.doc_id, zlib.crc32(r.text.encode()), len(r.text) + 8) for r in order)
+    at_point = np.bincount([point_of(r["at"]) for r in order], minlength=len(points))
+    classes = [-(-int(n) * len(points) // len(order)) if n > sharding.HOT * len(order) / len(points) else 1 for n in at_point]
+    assert sum(c > 1 for c in classes) == 1 and sum(classes) <= 2 * len(points)  # the rows without an id
+    lined = sorted((point_of(r["at"]), r.h % classes[point_of(r["at"])], r["at"], -1 if r.doc_id is None else r.doc_id, zlib.crc32(r.text.encode()), len(r.text) + 8) for r in order)
     room = [len(rows) // shards + (s < len(rows) % shards) for s in range(shards)]
     want, over = {}, []
     for doc in lined:  # each takes a place at home while there is room
@@ -114,12 +117,15 @@ def test_a_value_gives_no_more_than_it_has(spark):
     out = {r.value: r for r in mixing.margins(mixing.rake(cells_of(spark, rows), {"source": {"rare": 0.5, "hot": 0.5}, "lang": 1.0, "topic": 1.0}, 0.4)).collect() if r.margin == "source"}
     assert out["rare"].target == pytest.approx(0.05) and out["hot"].target == pytest.approx(0.35)
     assert out["rare"].expected == pytest.approx(0.05) and out["hot"].expected == pytest.approx(0.35)
+    told = mixing.mixture(docs(spark, rows), targets={"source": {"rare": 0.5, "hot": 0.5}, "lang": 1.0, "topic": 1.0}, fraction=0.4).first()
+    assert told.residual < 1e-9 and told.off_goal == pytest.approx(0.5 - 0.05 / 0.4)  # the goal is out of reach, and that is told
 
 
 def test_targets_that_contradict_leave_a_residual(spark):
     rows = [(2 * k, "word " * 10, f"s{k % 2}", ["en", "de"][k % 2]) for k in range(100)]  # a source is a language
     told = mixing.mixture(docs(spark, rows), targets={"source": {"s0": 0.8, "s1": 0.2}, "lang": {"en": 0.2, "de": 0.8}}, fraction=0.5, rounds=5).select("residual").distinct().collect()
     assert len(told) == 1 and told[0].residual > 0.1
+    assert mixing.mixture(docs(spark, rows), targets={"source": {"s0": 1.0, "s1": 0.0}}, fraction=0.5).agg(F.min("p")).first()[0] == mixing.LEAST
     assert mixing.mixture(docs(spark, rows), fraction=0.5).first().residual < 1e-9
     assert all(r.p == 1 and r.kept for r in mixing.mixture(docs(spark, rows), fraction=1.0).collect())
 
