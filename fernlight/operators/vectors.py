@@ -78,17 +78,20 @@ def murmur3_features(posts: DataFrame, *, features: int = 1 << 14, id_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            grams = batch.column(1)
-            flat = grams.flatten().cast(pa.large_binary())
-            _, offsets, data = flat.buffers()
-            at = np.frombuffer(offsets, np.int64)[flat.offset : flat.offset + len(flat) + 1] if len(flat) else np.zeros(1, np.int64)
-            h = murmur3(np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), at).astype(np.int64)
-            ends = np.concatenate([[0], np.cumsum(grams.value_lengths().fill_null(0).to_numpy())])
-            buckets = pa.ListArray.from_arrays(ends.astype(np.int32), pa.array((np.abs(h) % features).astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), buckets], ["id", "buckets"])
-
-    hashed = own.mapInArrow(run, f"id {own.schema[0].dataType.simpleString()}, buckets array<int>")
-    return hashed.select(F.col("id").alias(id_col), F.explode(weighted(F.col("buckets"))).alias("__x")).select(id_col, "__x.bucket", "__x.weight")
+            for i in range(0, batch.num_rows, 500):
+                ids, grams = batch.column(0).slice(i, 500), batch.column(1).slice(i, 500)
+                flat = grams.flatten().cast(pa.large_binary())
+                _, offsets, data = flat.buffers()
+                at = np.frombuffer(offsets, np.int64)[flat.offset : flat.offset + len(flat) + 1] if len(flat) else np.zeros(1, np.int64)
+                h = np.abs(murmur3(np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), at).astype(np.int64)) % features
+                row = np.repeat(np.arange(len(ids)), grams.value_lengths().fill_null(0).to_numpy())
+                key, n = np.unique(row * features + h, return_counts=True)
+                row, bucket = key // features, key % features
+                length = np.sqrt(np.bincount(row, weights=n.astype(float) ** 2, minlength=len(ids)))
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), pa.array(bucket.astype(np.int32)), pa.array(n / length[row])], ["id", "bucket", "weight"])
+
+    hashed = own.mapInArrow(run, f"id {own.schema[0].dataType.simpleString()}, bucket int, weight double")
+    return hashed.select(F.col("id").alias(id_col), "bucket", F.round("weight", 6).alias("weight"))
 
 
 def vector_metadata(vectors: DataFrame, features: int, batch: int = 1000) -> DataFrame:
