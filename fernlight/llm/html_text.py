@@ -12,9 +12,9 @@ Shapes that no page teaches keep the weights stated below.
 Edges. Smoothness edges join each block with the next one and with the block before it in the same
 container, and weigh more the nearer the two are in the DOM; a border of furniture counts as steps
 more. Elements that say what they are, by tag, role or name, are seeds, fixed on their side: a block
-below them has an edge to the terminal. An edge to a furniture seed outweighs the text of one block, as
-comments and adverts read like articles; elsewhere text, seeds and neighbours are of one order and
-decide together. The minimum cut of this graph is the
+below them has an edge to the terminal. An edge to a seed outweighs the shape of one block's text, for
+comments and adverts read like articles, and an article has headings, lists and tables that read like
+menus; where no seed is, text and neighbours are of one order and decide together. The minimum cut of this graph is the
 labelling of least cost; blocks on the source's side are content.
 
 Maximum flow by elimination, exact and in linear time on pages: a block with one edge pushes as much
@@ -71,8 +71,8 @@ AWAY_WORDS = frozenset(
     "share sharing social follow related recommended recommendations trending popular outbrain taboola teaser teasers more-stories hidden".split()
 )
 NEAR_WORDS = frozenset("article content main post entry story body text prose page-content articlebody article-body post-body entry-content maincontent".split())
-#: Weights of edges to seeds. Of furniture around a block and a name on the way to it, one counts; names of text only where no other does.
-IN_ARTICLE, IN_AWAY, AWAY_NAME, NEAR_NAME = 1.2, -5.0, -5.0, 0.6
+#: Weights of edges to seeds: of an article and names of text where nothing around says furniture, else of furniture alone, once.
+IN_ARTICLE, IN_AWAY, AWAY_NAME, NEAR_NAME = 2.5, -5.0, -5.0, 0.6
 #: What a block's own element says, and all of its text in links.
 BY_TAG = {"": 0.8, "p": 0.8, "h1": 0.8, "h2": 0.6, "h3": 0.4, "li": 0.2, "pre": 0.5, "blockquote": 0.5, "address": -0.6}
 LINKS = -2.0
@@ -82,6 +82,8 @@ MOST = 2.0
 LENGTHS = 12
 PRIOR = [max(-1.0, min(1.5, 0.5 * (k + 0.5 - 6))) for k in range(LENGTHS)] + [0.5, 0.2, -2.0]
 RIDGE = 1.0
+#: Pages of a site are made alike and say little more than a few of them: all that teach weigh as so many, at most.
+WEIGH_AS = 50
 NEXT_EDGE, SAME_EDGE, BORDER = 2.0, 1.0, 2
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
@@ -270,7 +272,7 @@ DEFAULT_COSTS = shape_costs(PRIOR)
 
 
 def fit(counts: dict[int, tuple[int, int]], steps: int = 30) -> np.ndarray:
-    """Weights from the numbers of pages with (furniture, content) of each shape, both classes at the weight of the rarer: logistic regression by Newton's method with a ridge towards PRIOR."""
+    """Weights from the numbers of pages with (furniture, content) of each shape, both classes at the weight of the rarer, WEIGH_AS at most: logistic regression by Newton's method with a ridge towards PRIOR."""
     prior = np.array(PRIOR)
     x = np.zeros((len(counts), len(prior)))
     for row, shape in zip(x, counts, strict=True):
@@ -278,7 +280,7 @@ def fit(counts: dict[int, tuple[int, int]], steps: int = 30) -> np.ndarray:
     n = np.array(list(counts.values()), float).reshape(-1, 2)
     if not n.sum(axis=0).all():
         return prior
-    n *= n.sum(axis=0).min() / n.sum(axis=0)
+    n *= min(WEIGH_AS, n.sum(axis=0).min()) / n.sum(axis=0)
     w = prior.copy()
     for _ in range(steps):
         p = 1 / (1 + np.exp(-x @ w))
@@ -295,7 +297,9 @@ def cost_of(block: Block, costs: list[float] = DEFAULT_COSTS) -> float:
 
 def tie_of(node: Node) -> float:
     """Weight of the edges from blocks of an element to the seeds around it: to the source if positive, else to the sink."""
-    return (IN_ARTICLE if node.article else 0.0) + (min(IN_AWAY, node.names) if node.away else node.names)
+    if node.away or node.names < 0:
+        return min(IN_AWAY if node.away else 0.0, node.names)
+    return (IN_ARTICLE if node.article else 0.0) + node.names
 
 
 def _apart(a: Node, b: Node) -> int:

@@ -204,6 +204,29 @@ def test_main_text(html, want):
     assert html_text.main_text(html or "") == want
 
 
+LONG = "This is a sentence of the article that is long enough to be one."
+KINDS = [
+    (f"<article><h1>Talk</h1><p>{LONG}</p><p>Yes.</p><p>ok</p><p>{LONG}</p><p>end</p></article><footer>&copy; x</footer>", f"Talk {LONG} Yes. ok {LONG} end"),
+    ("<main>" + "".join(f"<p>{x}</p>" for x in ("roses are red", "violets are blue", "sugar")) + "</main>", "roses are red violets are blue sugar"),
+    (f"<article><h2>Things</h2><ul><li>milk</li><li>bread</li></ul><p>{LONG}</p></article>", f"Things milk bread {LONG}"),
+    (f"<article><p>{LONG}</p><table><tr><th>Year</th><td>1999</td></tr></table><p>{LONG}</p></article>", f"{LONG} Year 1999 {LONG}"),
+    (f"<article><p>{LONG}</p><div class='ad'>{'Buy this product now, it is the best that there is. ' * 3}</div><p>{LONG}</p></article>", f"{LONG} {LONG}"),
+    (f"<main><p>{LONG}</p><section class='comments'>" + "<p>I liked this text very much indeed, it was a pleasure to read.</p>" * 30 + "</section></main>", LONG),
+    (f"<main><div id='cookie-banner'><p>We use cookies to make this site better for all who read it.</p></div><p>{LONG}</p></main>", LONG),
+    (f"<div><div><a href=x>Home</a> <a href=y>About</a></div><div><div>{LONG * 2}</div><div>Short one.</div><div>{LONG * 2}</div></div><div>Copyright 2024 Corp</div></div>", f"{LONG * 2} Short one. {LONG * 2}"),
+    (f"<article><p><a href=x>A linked headline of the text here</a></p><p>{LONG}</p></article>", f"A linked headline of the text here {LONG}"),
+]
+
+
+@pytest.mark.parametrize("taught", [False, True])
+@pytest.mark.parametrize(("html", "want"), KINDS)
+def test_kinds_of_pages(html, want, taught):
+    """Also with costs taught by pages of one template, whose short texts are all menus."""
+    short, long = [html_text.shape_of(x) for x in ("menu", "Home", "about", "contact")], [html_text.shape_of(LONG * k) for k in (1, 2, 9)]
+    costs = html_text.shape_costs(html_text.fit({k: (2000, 0) for k in short} | {k: (0, 2000) for k in long})) if taught else html_text.DEFAULT_COSTS
+    assert html_text.main_text(html, costs) == want
+
+
 def cut_value(costs, edges, side):
     return sum(abs(c) for c, s in zip(costs, side) if (c > 0) != s and c) + sum(w for a, b, w in edges if side[a] != side[b])
 
@@ -277,7 +300,7 @@ def test_shapes_are_fitted(spark):
 
     def risk(w):
         total, rest = np.array(list(counts.values())).sum(axis=0), html_text.RIDGE / 2 * ((w - html_text.PRIOR) ** 2).sum()
-        share = total.min() / total
+        share = min(html_text.WEIGH_AS, total.min()) / total
         for shape, (bad, good) in counts.items():
             z = w[html_text._parts(shape)].sum()
             rest += np.log1p(np.exp(z)) * bad * share[0] + np.log1p(np.exp(-z)) * good * share[1]
