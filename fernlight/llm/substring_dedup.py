@@ -15,13 +15,13 @@ until no candidate survives (an empty level empties the joins of all later ones)
   full window is a candidate of the next level if its anchor occurs in two documents; only anchors
   of candidates are sent there.
 * The level before the last counts runs of full windows too. Consecutive ones with one anchor are a
-  stretch, and a stretch sends a hash of all its words, 128 bits with its anchor. Where an
+  stretch, candidates or not, and a stretch with a candidate sends a hash of all its words, 128 bits with its anchor. Where an
   anchor has one such hash in all documents, all full windows of the stretch are counted at once: they
   occur in just these documents, stay in the smallest and go in the others. The last level takes, window
   by window, the stretches that differ between documents, as at the ends of passages.
 * At the last level windows are told apart by 128 bits, of two hashes of their words by different
-  bases; the smallest document of each stays a provider and the others lose it. On the way back a
-  window is looked up among those that its own document loses, by 64 bits.
+  bases; the smallest document of each stays a provider and the others lose it. On the way back
+  windows and stretches are looked up among those that their own document loses, by 64 bits.
 
 The first level reads the texts where they are and writes its few surviving anchors. Behind it text is
 shuffled once, by document, for all levels of windows up to 50 words. Counting is a partial
@@ -80,6 +80,15 @@ def _anchors(words: np.ndarray, length: int, window: int) -> np.ndarray:
     return sliding_min(window_hashes(words, length), window - length + 1)
 
 
+def _stretches(words: np.ndarray, length: int, window: int, starts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors of full windows, some there are, and the first and last window of each run of one anchor in a row."""
+    low = _anchors(words, length, window)[starts]
+    new = np.ones(len(low), bool)
+    new[1:] = (low[1:] != low[:-1]) | (rows[1:] != rows[:-1])
+    begin = np.flatnonzero(new)
+    return low, begin, np.append(begin[1:], len(starts)) - 1
+
+
 def _lists(column: pa.Array, i: int, j: int) -> np.ndarray:
     """The sorted distinct values of list rows i to j."""
     return np.unique(column.slice(i, j - i).flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
@@ -97,17 +106,14 @@ def _anchor_level(lengths: list[int], level: int):
             for i, j in chunks(at):
                 words, first, other = _flat(batch, i, j, raw, at, second=last)
                 starts, rows = _windows(first, window)
-                keep = ids[i:j][rows] >= NO_ID + OWN_IDS
-                if level and len(starts):
-                    keep &= np.isin(_anchors(words, lengths[level - 1], window)[starts], _lists(batch.column(2), i, j))
-                starts, rows = starts[keep], rows[keep]
                 if not len(starts):
                     continue
-                low = _anchors(words, length, window)[starts]
-                new = np.ones(len(low), bool)
-                new[1:] = (low[1:] != low[:-1]) | (rows[1:] != rows[:-1]) | (starts[1:] != starts[:-1] + 1)
-                begin = np.flatnonzero(new)
-                end = np.append(begin[1:], len(starts)) - 1
+                keep = ids[i:j][rows] >= NO_ID + OWN_IDS
+                if level:
+                    keep &= np.isin(_anchors(words, lengths[level - 1], window)[starts], _lists(batch.column(2), i, j))
+                low, begin, end = _stretches(words, length, window, starts, rows)
+                some = np.logical_or.reduceat(keep, begin)
+                begin, end = begin[some], end[some]
                 columns = {"k": low[begin].view(np.int64), "d": ids[i:j][rows[begin]]}
                 if last:
                     columns["c"] = run_hashes(other, starts[begin], starts[end] + window).view(np.int64)
@@ -162,9 +168,11 @@ def _remove(window: int, shorter: int):
                     n_words.append(len(words))
                     marked = []
                     if (gone[k].is_valid or whole[k].is_valid) and len(words) >= window:
-                        flat, _, _ = _flat(batch, i + k, i + k + 1, raw, at)
+                        flat, _, other = _flat(batch, i + k, i + k + 1, raw, at, second=True)
                         out = np.isin(window_hashes(flat, window), _lists(gone, k, k + 1))
-                        out |= np.isin(_anchors(flat, shorter, window), _lists(whole, k, k + 1))
+                        every = np.arange(len(out))
+                        _, begin, end = _stretches(flat, shorter, window, every, np.zeros_like(every))
+                        out |= np.repeat(np.isin(run_hashes(other, begin, end + window), _lists(whole, k, k + 1)), end - begin + 1)
                         starts = np.flatnonzero(out)
                         if len(starts):
                             cover = np.zeros(len(words) + 1, np.int64)
@@ -204,14 +212,14 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, first: int = FIRST, id_
     own = own.repartition("d")
     for level in range(last + 1):
         rows = read.mapInArrow(_anchor_level(lengths, level), "k long, d long" + (", c long" if level == last else ""))
-        groups = rows.groupBy("k").agg(F.min("d").alias("low"), F.max("d").alias("high"), *([(F.min("c") == F.max("c")).alias("one")] if level == last else [])).where("low < high").drop("high")
+        groups = rows.groupBy("k").agg(F.min("d").alias("low"), F.max("d").alias("high"), *([(F.min("c") == F.max("c")).alias("one"), F.min("c").alias("content")] if level == last else [])).where("low < high").drop("high")
         found = _back(rows, groups, ["k"])
         if level < last:
             alive = checkpointed(found.groupBy("d").agg(F.collect_set("k").alias("alive")))
             read = own.join(alive, "d").select("d", "t", "alive")
 
-    found = found.select("d", "k", "one", (F.col("d") > F.col("low")).alias("later"))
-    whole = found.where("one and later").groupBy("d").agg(F.collect_set("k").alias("whole"))
+    found = found.select("d", "k", "one", "content", (F.col("d") > F.col("low")).alias("later"))
+    whole = found.where("one and later").groupBy("d").agg(F.collect_set("content").alias("whole"))
     alive = found.where("not one").groupBy("d").agg(F.collect_set("k").alias("alive"), F.collect_set(F.when(F.col("later"), F.col("k"))).alias("late"))
     rows = own.join(alive, "d").select("d", "t", "alive", "late").mapInArrow(_last_level(lengths), "h long, g long, d long, later boolean")
     groups = rows.groupBy("h", "g").agg(F.min("d").alias("low"), F.max("d").alias("high")).where("low < high").drop("high")

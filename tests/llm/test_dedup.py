@@ -62,6 +62,19 @@ def test_substring(spark, window, first):
         assert sum(s["last"] - s["first"] + 1 for s in r.spans) == r.n_removed
 
 
+def test_substring_windows_at_the_ends_of_passages(spark):
+    """Passages in other surroundings: windows that only share their anchor with a repeated one stay."""
+    rng = random.Random(17)
+    rows = []
+    for k in range(300):  # once alone, once with words of its own around it
+        passage = [f"s{k}.{n}" for n in range(rng.randrange(50, 60))]
+        rows.append((2 * k, " ".join(passage)))
+        rows.append((2 * k + 1, " ".join([f"o{k}.{n}" for n in range(30)] + passage + [f"p{k}.{n}" for n in range(30)])))
+    for first in (13, 7):
+        out = substring_dedup.remove_repeats(frame(spark, rows), window=50, first=first).collect()
+        assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in out) == brute_substring(rows, 50)
+
+
 def test_substring_null_id_and_empty_table(spark):
     text = " ".join(f"a{k}" for k in range(60))
     got = {r.doc_id: r.n_removed for r in substring_dedup.remove_repeats(frame(spark, [(None, text), (5, text), (9, text)])).collect()}
