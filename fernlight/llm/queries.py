@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fernlight.llm import exact_dedup, html_text, importance, line_dedup, media, mixing, pieces, quality, sharding, simhash_dedup, substring_dedup
+from fernlight.llm import exact_dedup, html_text, importance, line_dedup, media, mixing, phrases, pieces, quality, sharding, simhash_dedup, substring_dedup
 from fernlight.llm.common import ship
 from fernlight.operators.mapping import spread
 
@@ -63,7 +63,11 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(spread(_read(spark, sf_dir, "documents").select("doc_id", "text")), _read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_media_columns, op3_source_mixing, op4_quality_classifier, op5_sentencepiece, op6_html_extraction, op7_simhash_dedup, op8_sharding, op9_exact_dedup, op10_line_dedup, op11_importance_resampling)}
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(spread(_read(spark, sf_dir, "documents").select("lang", "text")))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_media_columns, op3_source_mixing, op4_quality_classifier, op5_sentencepiece, op6_html_extraction, op7_simhash_dedup, op8_sharding, op9_exact_dedup, op10_line_dedup, op11_importance_resampling, op12_phrase_collocations)}
 
 ORACLES = {
     "op1_substring_dedup": r"""
@@ -77,6 +81,7 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_
 """,
     "op3_source_mixing": mixing.mixture_sql(),
     "op11_importance_resampling": importance.resample_sql(),
+    "op12_phrase_collocations": phrases.collocations_sql(),
     "op9_exact_dedup": """
 WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
 g AS (SELECT doc_id, t, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size FROM n)
