@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fernlight.llm import exact_dedup, html_text, importance, line_dedup, media, mixing, phrases, pieces, quality, sharding, simhash_dedup, substring_dedup
+from fernlight.llm import bpe, exact_dedup, html_text, importance, line_dedup, media, mixing, phrases, pieces, quality, sharding, simhash_dedup, substring_dedup
 from fernlight.llm.common import ship
 from fernlight.operators.mapping import spread
 
@@ -67,7 +67,11 @@ def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(spread(_read(spark, sf_dir, "documents").select("lang", "text")))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_media_columns, op3_source_mixing, op4_quality_classifier, op5_sentencepiece, op6_html_extraction, op7_simhash_dedup, op8_sharding, op9_exact_dedup, op10_line_dedup, op11_importance_resampling, op12_phrase_collocations)}
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoded_digests(spread(_read(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_media_columns, op3_source_mixing, op4_quality_classifier, op5_sentencepiece, op6_html_extraction, op7_simhash_dedup, op8_sharding, op9_exact_dedup, op10_line_dedup, op11_importance_resampling, op12_phrase_collocations, op13_bpe)}
 
 ORACLES = {
     "op1_substring_dedup": r"""
