@@ -27,6 +27,12 @@ def seeds(ids: DataFrame) -> DataFrame:
     return own.select(F.sha2(F.concat(F.lit("id:"), F.col("tweet_id")), 256).alias("fingerprint"), "tweet_id")
 
 
+def known_of(posts: DataFrame) -> DataFrame:
+    """State rows of stored posts: their own fingerprints, and those of their ids."""
+    own = posts.select("fingerprint", "tweet_id").where("fingerprint is not null")
+    return own.unionByName(seeds(posts.select("tweet_id"))).groupBy("fingerprint").agg(F.max("tweet_id").alias("tweet_id"))
+
+
 def seed_state(state: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The new state, and the rows put in: those whose fingerprint it lacked."""
     new = seeds(ids).join(state.select("fingerprint"), "fingerprint", "left_anti")

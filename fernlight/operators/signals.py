@@ -95,11 +95,21 @@ def summary(signal_rows: DataFrame, languages: DataFrame) -> DataFrame:
     return _told(signal_rows.agg(*_totals()).crossJoin(F.broadcast(langs)))  # one row each
 
 
+def signals_with_languages(scored: DataFrame, *, minutes: int = 15) -> DataFrame:
+    """As signals, with `languages`: posts of each of HINTS. From posts that have signal, weight and language_hint, read and grouped once."""
+    hint = F.coalesce(F.nullif("language_hint", F.lit("")), F.lit("unknown"))
+    counts = [F.count_if(F.col("__hint") == h) for h in HINTS]
+    groups = _keyed(scored, minutes, hint.alias("__hint")).groupBy("window_start", "market").agg(*aggregates(), F.array(*counts).alias("languages"))
+    return finish(groups, ["window_start", "market", "languages"]).withColumn("window_start", X.iso(F.col("window_start")))
+
+
+def summary_of(windows: DataFrame) -> DataFrame:
+    """As summary, from signals with their languages."""
+    totals = [F.coalesce(F.sum(F.get("languages", F.lit(k))), F.lit(0)).alias(f"__n{k}") for k in range(len(HINTS))]
+    counts = F.map_from_arrays(F.array(*map(F.lit, HINTS)), F.array(*[f"__n{k}" for k in range(len(HINTS))]))
+    return _told(windows.agg(*_totals(), *totals).withColumn("language_counts", F.map_filter(counts, lambda _, n: n > 0)))
+
+
 def run_summary(scored: DataFrame, *, minutes: int = 15) -> DataFrame:
     """As summary, from posts that have signal, weight and language_hint (one of HINTS), which are read and grouped once."""
-    hint = F.coalesce(F.nullif("language_hint", F.lit("")), F.lit("unknown"))
-    counts = [f"__n{k}" for k in range(len(HINTS))]
-    groups = _keyed(scored, minutes, hint.alias("__hint")).groupBy("window_start", "market").agg(*aggregates(), *[F.count_if(F.col("__hint") == h).alias(c) for h, c in zip(HINTS, counts, strict=True)])
-    total = finish(groups, ["window_start", "market", *counts]).agg(*_totals(), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts])
-    langs = F.map_filter(F.map_from_arrays(F.array(*map(F.lit, HINTS)), F.array(*counts)), lambda _, n: n > 0)
-    return _told(total.withColumn("language_counts", langs))
+    return summary_of(signals_with_languages(scored, minutes=minutes))

@@ -41,11 +41,12 @@ class Settings:
     window_minutes: int = 15
     vector_features: int = 1 << 14
     rows_per_file: int = 2_000_000
+    state_buckets: int = 64
     raw_candidate_multiplier: float = 2.5
     queries: tuple[str, ...] = field(default=DEFAULT_QUERIES)
 
     def __post_init__(self) -> None:
-        for name in ("window_minutes", "vector_features", "rows_per_file"):
+        for name in ("window_minutes", "vector_features", "rows_per_file", "state_buckets"):
             if getattr(self, name) < 1:
                 raise ValueError(f"{name} must be at least 1")
         if self.raw_candidate_multiplier < 1:
@@ -56,7 +57,7 @@ class Settings:
     @classmethod
     def from_env(cls, env: Mapping[str, str] = os.environ, prefix: str = "FERNLIGHT_") -> Settings:
         got: dict = {}
-        for name, kind in (("data_dir", str), ("log_level", str), ("window_minutes", int), ("vector_features", int), ("rows_per_file", int), ("raw_candidate_multiplier", float)):
+        for name, kind in (("data_dir", str), ("log_level", str), ("window_minutes", int), ("vector_features", int), ("rows_per_file", int), ("state_buckets", int), ("raw_candidate_multiplier", float)):
             if value := env.get(prefix + name.upper(), "").strip():
                 try:
                     got[name] = kind(value)
