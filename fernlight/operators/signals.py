@@ -21,7 +21,7 @@ COUNTS = ("tweet_count", "unique_authors", "engagement_total", "bullish_count",
 
 
 def aggregates(approximate_authors: bool = False) -> list[Column]:
-    """Mergeable aggregates of one window; approximate_authors for streams and very wide windows."""
+    """Mergeable aggregates of one window; approximate_authors for very wide windows."""
     author = F.coalesce(F.nullif("username", F.lit("")), F.lit("unknown"))
     w, s = F.col("weight"), F.col("signal")
     return [

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fernlight.functions import text as T
-from fernlight.sources.commits import Log
+from fernlight.sources.commits import OWN, Log
 from fernlight.sources.schema import PARTITIONS, POSTS
 
 
@@ -96,6 +96,8 @@ def read_posts(spark: SparkSession, path: str, *, since: datetime | None = None)
         if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return spark.createDataFrame([], POSTS)
+    if log.began():  # a first commit that has not come yet, or never will
+        df = df.where(~F.startswith("_metadata.file_name", F.lit(OWN)))
     return _since(df, since)
 
 

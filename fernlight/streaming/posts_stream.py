@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fernlight.functions import features as X
-from fernlight.operators.dedupe import first_wins
+from fernlight.operators.dedupe import first_wins, known_of
 from fernlight.operators.signals import aggregates, finish
 from fernlight.plans.runs import score
-from fernlight.sources.posts import clean, read_posts, write_posts
+from fernlight.sources.commits import Log
+from fernlight.sources.posts import clean, read_files, stage_posts
 from fernlight.sources.schema import PARTITIONS, RAW
+from fernlight.sources.state import read_state, unknown, write_part
 
 
 def read_raw(spark: SparkSession, path: str, *, fmt: str = "parquet", files_per_trigger: int = 100) -> DataFrame:
@@ -25,12 +28,25 @@ def clean_stream(raw: DataFrame, *, late: str = "24 hours") -> DataFrame:
 
 
 def signal_stream(posts: DataFrame, as_of: Column, *, minutes: int = 15) -> DataFrame:
-    """Signals of closed windows. minutes must divide 60, as Spark's windows then equal the floor within the hour; authors are counted approximately."""
-    if 60 % minutes:
-        raise ValueError("minutes must divide 60")
-    keyed = score(posts, as_of).withColumns({"market": X.market(F.col("hashtags"), F.col("query_tag")), "window_start": F.window("timestamp", f"{minutes} minutes")})
-    out = finish(keyed.groupBy("window_start", "market").agg(*aggregates(approximate_authors=True)), ["window_start", "market"])
-    return out.withColumn("window_start", X.iso(F.col("window_start.start")))
+    """Signals of closed windows, equal to the batch ones, authors counted exactly; posts must have a watermark on timestamp.
+
+    Two chained aggregates: sums of each author in a window, and from these the window with its number of authors. Where
+    minutes divides 60, a window's row comes when the watermark passes its end. Other windows are floors within the hour,
+    the last of an hour short; they lie in hours, and their rows come when the watermark passes the hour.
+    """
+    span = f"{minutes} minutes" if minutes >= 1 and 60 % minutes == 0 else "1 hour"
+    start = X.window_start(F.col("timestamp"), minutes)
+    author = F.coalesce(F.nullif("username", F.lit("")), F.lit("unknown"))
+    keyed = score(posts, as_of).withColumns({"market": X.market(F.col("hashtags"), F.col("query_tag")), "start": start, "author": author})
+    single = [a for a in aggregates() if _name(a) != "unique_authors"]
+    by_author = keyed.groupBy(F.window("timestamp", span).alias("span"), "start", "market", "author").agg(*single)
+    names = [c for c in by_author.columns if c not in ("span", "start", "market", "author")]
+    whole = by_author.groupBy(F.window(F.window_time("span"), span).alias("span"), "start", "market").agg(*[F.sum(c).alias(c) for c in names], F.count(F.lit(1)).alias("unique_authors"))
+    return finish(whole.withColumnRenamed("start", "window_start"), ["window_start", "market"]).withColumn("window_start", X.iso(F.col("window_start")))
+
+
+def _name(column: Column) -> str:
+    return column._jc.toString().rpartition(" AS ")[2].strip("`")
 
 
 def store_stream(raw: DataFrame, path: str, checkpoint: str, *, trigger: dict | None = None) -> StreamingQuery:
@@ -38,40 +54,60 @@ def store_stream(raw: DataFrame, path: str, checkpoint: str, *, trigger: dict |
     return clean_stream(raw).writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint).partitionBy(*PARTITIONS).trigger(**(trigger or {"availableNow": True})).start()
 
 
-def upsert_batches(raw: DataFrame, path: str, checkpoint: str, *, trigger: dict | None = None) -> StreamingQuery:
-    """As store_stream but against all that is stored, however old.
+def upsert_batches(raw: DataFrame, path: str, checkpoint: str, *, trigger: dict | None = None, buckets: int = 64) -> StreamingQuery:
+    """As store_stream but against all that is stored, however old, and beside other writers.
 
-    State is a table of fingerprints beside the store, in 256 folders by their first byte. A batch reads the
-    folders of its own fingerprints, and of the store only the hours that it has posts of: posts are
-    written before the state, and a batch that is tried again finds those it has written in these
-    hours and adds none twice. A store without the table seeds it.
+    A batch's posts and their state become part of the store by one commit, which also names the batch: one that is
+    tried again after its commit adds nothing. The state is read where it lies and not shuffled. Files of others
+    are read into the state by the first batch that finds them.
     """
 
-    def add(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        state = f"{path.rstrip('/')}__fingerprints"
-        head = F.substring("fingerprint", 1, 2).alias("head")
-        try:
-            seen = spark.read.schema("fingerprint string, head string").parquet(state)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            read_posts(spark, path).select("fingerprint", head).hint("rebalance", F.col("head")).write.partitionBy("head").parquet(state)
-            seen = spark.read.schema("fingerprint string, head string").parquet(state)
+    stream = stream_id(raw.sparkSession, checkpoint)
+
+    def add(batch: DataFrame, number: int) -> None:
         one = first_wins(batch, ["fingerprint"], [F.col("timestamp"), F.col("tweet_id"), F.col("username")]).persist()
-        heads = [r.head for r in one.select(head).distinct().collect()]
-        hours = [tuple(r) for r in one.select(*PARTITIONS).distinct().collect()]
-        by_day: dict[str, list[str]] = {}
-        for day, hour in hours:
-            by_day.setdefault(day, []).append(hour)
-        own = F.lit(False)
-        for day, some in by_day.items():
-            own = own | ((F.col("event_date") == day) & F.col("event_hour").isin(some))
-        known = seen.where(F.col("head").isin(heads)).select("fingerprint").union(read_posts(spark, path).where(own).select("fingerprint"))
-        new = one.join(known, "fingerprint", "left_anti").persist()
-        write_posts(new, path)
-        new.select("fingerprint", head).hint("rebalance", F.col("head")).write.mode("append").partitionBy("head").parquet(state)
-        new.unpersist()
+        commit_batch(one, path, stream, number, buckets=buckets)
         one.unpersist()
 
     return clean(raw).writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The name of a stream in the log of a store: made once, and kept and lost with its checkpoint."""
+    log = Log(spark, checkpoint)
+    where = log.at(f"{log.path}/fernlight_stream")
+    if not log.files.exists(where):
+        log.files.mkdirs(log.at(log.path))
+        log.write(f"{log.path}/fernlight_stream", str(uuid.uuid4()))
+    return log.text(f"{log.path}/fernlight_stream")
+
+
+def commit_batch(posts: DataFrame, path: str, stream: str, number: int, *, buckets: int, since_joined: bool = False, tries: int = 20) -> None:
+    """Adds those of the posts, each fingerprint once, that the store lacks, unless this batch has a commit.
+
+    since_joined: compare them only with what others have committed since the stream joined; the stream knows the rest.
+    """
+    spark = posts.sparkSession
+    for _ in range(tries):
+        log, mark = Log(spark, path), str(uuid.uuid4())
+        seen = log.snapshot()
+        if seen.batches.get(stream, -1) >= number:
+            return
+        entry: dict = {"buckets": seen.buckets or buckets, "batches": {stream: number}, "add": {}, "parts": []}
+        foreign = log.unlogged(seen)
+        if foreign:
+            write_part(known_of(read_files(spark, path, foreign)), path, f"{mark}-found", entry["buckets"])
+            entry |= {"add": foreign, "parts": [f"{mark}-found"]}
+        parts = [p for p, n in seen.parts.items() if n > seen.joined.get(stream, 0) and not p.startswith(stream)] if since_joined else [*seen.parts]
+        parts += entry["parts"]
+        new = (unknown(posts, read_state(spark, path, parts, entry["buckets"])) if parts else posts).persist()
+        _, files = stage_posts(new, log, mark)
+        if files:
+            own = f"{stream}-{mark}"
+            write_part(new, path, own, entry["buckets"])
+            entry |= {"add": entry["add"] | files, "parts": [*entry["parts"], own]}
+        new.unpersist()
+        if not entry["add"] or log.put(seen, entry):  # without new posts there is nothing to commit
+            return
+        log.remove([*files])
+    raise RuntimeError(f"other writers came first {tries} times")
