@@ -351,7 +351,8 @@ def id_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT count(*) AS n FROM events")
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adapter.read(spark, sf_dir, "events").agg(F.count(F.lit(1)).alias("n"))
+    """From the files' footers."""
+    return posts.count_rows(spark, f"{sf_dir}/events.parquet")
 
 
 @query(f"""WITH {EVENTS_SQL} SELECT count(DISTINCT tweet_id) AS existing_unique FROM ev WHERE timestamp >= TIMESTAMP '{AS_OF}' - INTERVAL 48 HOUR""")
@@ -440,7 +441,27 @@ def article_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("tweet_id", "username", "content", "reply_count", "like_count", F.array_join("mentions", ",").alias("mentions"), F.array_join("hashtags", ",").alias("hashtags"))
 
 
+@query(
+    r"""WITH c AS (SELECT page_id, regexp_replace(regexp_replace(html, '<!--.*?-->', '', 'gs'), '(<(script|style)[^>]*>).*?</(script|style)>', '\1', 'gs') AS h FROM pages),
+l AS (SELECT page_id, regexp_extract_all(h, '<a [^>]*?href="([^"]*)"', 1) AS links, len(regexp_extract_all(h, '<[a-zA-Z]')) AS n FROM c)
+SELECT page_id, len(links)::INT AS n_links, sha256(array_to_string(links, chr(10))) AS links_sha256, n::INT AS n_elements FROM l"""
+)
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a tree: its elements, and the targets of its links in page order."""
+    out = landing.outlines(spread(adapter.read(spark, sf_dir, "pages").select("page_id", "html")))
+    return out.select("page_id", F.size("links").alias("n_links"), F.sha2(F.array_join("links", "\n"), 256).alias("links_sha256"), "n_elements")
+
+
+@query()
+def page_outlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Title, first heading and depth of every page."""
+    out = landing.outlines(spread(adapter.read(spark, sf_dir, "pages").select("page_id", "html")))
+    return out.select("page_id", "title", F.sha2("heading", 256).alias("heading_sha256"), "depth")
+
+
 @query()
 def synthetic_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = synthetic.clean_sample(spark, 2500, 42, as_of())
+    """A synthetic post for each event, whose number is its seed."""
+    ids = adapter.read(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
+    p = posts.clean(synthetic.posts_of(ids, 42, as_of()))
     return p.groupBy("hashtags", "language_hint").agg(F.count(F.lit(1)).alias("n"))

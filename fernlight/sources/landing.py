@@ -6,49 +6,64 @@ module turns them into raw posts.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import datetime
 from typing import Any
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StringType, StructField, StructType, _parse_datatype_string
 
+from fernlight.functions import dom
 from fernlight.functions import text as T
 from fernlight.functions.numbers import compact_count
 from fernlight.sources.schema import RAW
 
 
-def _attribute(html: Column, pattern: str) -> Column:
-    return F.regexp_extract(html, pattern, 1)
+PARTS = "struct<time:string,href:string,content:string,names:array<string>,views:string,reply:string,retweet:string,like:string,bookmark:string>"
+OUTLINE = "struct<title:string,heading:string,links:array<string>,n_elements:int,depth:int>"
 
+cloudpickle.register_pickle_by_value(dom)  # executors need not have this package
 
-def _metric(html: Column, name: str) -> Column:
-    """The label of a button, else its text; 0 without one."""
-    node = F.regexp_extract(html, rf'(?s)<[^>]*data-testid="{name}"[^>]*>[^<]*', 0)
-    label = F.regexp_extract(node, r'aria-label="([^"]*)"', 1)
-    return compact_count(F.when(label != "", label).otherwise(F.regexp_extract(node, r">([^<]*)$", 1)))
+
+def _of_html(function: Callable[[str | None], Any], kind: str, html: Column) -> Column:
+    """A function of one page as a Column, over Arrow batches."""
+    arrow = to_arrow_type(_parse_datatype_string(kind))
+
+    @F.arrow_udf(kind)
+    def run(column: pa.Array) -> pa.Array:
+        return pa.array([function(x) for x in column.to_pylist()], arrow)
+
+    return run(html)
 
 
 def split_articles(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    """One row per post element of a page, beside the page's columns."""
-    found = F.regexp_extract_all(F.col(html_col), F.lit(r'(?s)<article[^>]*data-testid="tweet".*?</article>'), F.lit(0))
-    return pages.withColumn("article", F.explode(found))
+    """One row per post element of a page, beside the page's columns; one inside another is a row of its own."""
+    return pages.withColumn("article", F.explode(_of_html(dom.articles, "array<string>", F.col(html_col))))
+
+
+def outlines(pages: DataFrame, html_col: str = "html") -> DataFrame:
+    """Adds title, heading, links, n_elements and depth of each page's tree of elements. Null and empty pages have no elements."""
+    return pages.withColumn("__o", _of_html(dom.outline, OUTLINE, F.col(html_col))).select(*[F.col(f"`{c}`") for c in pages.columns], "__o.*")
 
 
 def parse_articles(articles: DataFrame, query_tag: Column, collected_at: Column, html_col: str = "article") -> DataFrame:
-    """Raw posts. Elements without a time, a status id or text, or with a number that can't be read, are left out."""
-    html = F.col(html_col)
-    href = _attribute(html, r'href="([^"]*/status/\d+[^"]*)"')
-    text = F.trim(F.regexp_replace(F.regexp_extract(html, r'(?s)data-testid="tweetText"[^>]*>(.*?)</div>', 1), "<[^>]*>", ""))
-    names = F.regexp_extract_all(F.regexp_extract(html, r'(?s)data-testid="User-Name"[^>]*>(.*?)</div>', 1), F.lit(r'href="(/[^"]*)"'), F.lit(1))
-    views = F.regexp_extract(html, r'(?s)<a[^>]*href="[^"]*/analytics"[^>]*>[^<]*', 0)
-    view_label = F.regexp_extract(views, r'aria-label="([^"]*)"', 1)
-    out = articles.select(
-        T.status_id(href).alias("tweet_id"), T.username_of(names).alias("username"), _attribute(html, r'<time[^>]*datetime="([^"]*)"').try_cast("timestamp").alias("timestamp"), text.alias("content"),
-        _metric(html, "reply").alias("reply_count"), _metric(html, "retweet").alias("repost_count"), _metric(html, "like").alias("like_count"),
-        compact_count(F.when(view_label != "", view_label).otherwise(F.regexp_extract(views, r">([^<]*)$", 1))).alias("view_count"), _metric(html, "bookmark").alias("bookmark_count"),
+    """Raw posts. Elements without a time, a status id or text, or with a number that can't be read, are left out.
+
+    Elements are read as trees: the id is that of the link around the first time, texts include those of nested
+    elements, and attributes may stand in any order.
+    """
+    df = articles.withColumn("__a", _of_html(dom.post_parts, PARTS, F.col(html_col)))
+    part = lambda name: F.col(f"__a.{name}")
+    count = lambda name: compact_count(F.coalesce(part(name), F.lit("")))
+    text, href = part("content"), F.coalesce(part("href"), F.lit(""))
+    out = df.select(
+        T.status_id(href).alias("tweet_id"), T.username_of(part("names")).alias("username"), part("time").try_cast("timestamp").alias("timestamp"), text.alias("content"),
+        count("reply").alias("reply_count"), count("retweet").alias("repost_count"), count("like").alias("like_count"), count("views").alias("view_count"), count("bookmark").alias("bookmark_count"),
         T.mentions(text).alias("mentions"), T.hashtags(text).alias("hashtags"), href.alias("url"), query_tag.alias("query_tag"), collected_at.alias("collected_at"),
     )
     whole = (F.col("tweet_id") != "") & F.col("timestamp").isNotNull() & (F.col("content") != "")
