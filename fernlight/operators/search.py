@@ -7,9 +7,14 @@ bounds the date and `-filter:retweets` is ignored, as stored posts hold no repos
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Callable
+from datetime import datetime, timezone
+from functools import reduce
 
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fernlight.functions.text import DEVANAGARI, WORD
@@ -17,50 +22,174 @@ from fernlight.functions.text import DEVANAGARI, WORD
 _PART = re.compile(r'-?"[^"]*"|\(|\)|[^\s()]+')
 _EDGE = f"[{WORD}{DEVANAGARI}]"
 
-
-def _term(part: str, text: Column, timestamp: Column | None) -> Column:
-    if part.startswith("-") and len(part) > 1:
-        return F.lit(True) if part.startswith("-filter:") else ~_term(part[1:], text, timestamp)
-    if part.startswith("since:") and timestamp is not None:
-        return timestamp >= F.lit(part[6:]).cast("timestamp")
-    word = part.strip('"').lower()
-    before = "" if word[:1] in "#@" else f"(?<!{_EDGE})"
-    inner = r"\s+".join("\\Q" + w.replace("\\E", "\\E\\\\E\\Q") + "\\E" for w in word.split())
-    return text.rlike(f"{before}{inner}(?!{_EDGE})") if word else F.lit(True)
+#: Words of a text, for the index of stored queries.
+WORDS = f"{_EDGE}+"
 
 
-def compile_query(query: str, text: Column, timestamp: Column | None = None) -> Column:
-    """A boolean Column of whether lower-cased text matches."""
+def _tree(query: str) -> tuple:
+    """The query as a tree of ("and" or "or", parts), ("not", part), ("term", text), ("since", time) and ("true",)."""
     parts = _PART.findall(query)
     at = 0
 
-    def any_of() -> Column:
+    def term(part: str) -> tuple:
+        if part.startswith("-") and len(part) > 1:
+            return ("true",) if part.startswith("-filter:") else ("not", term(part[1:]))
+        if part.startswith("since:"):
+            return ("since", part[6:])
+        word = " ".join(part.strip('"').lower().split())
+        return ("term", word) if word else ("true",)
+
+    def any_of() -> tuple:
         nonlocal at
-        out = all_of()
+        out = [all_of()]
         while at < len(parts) and parts[at] == "OR":
             at += 1
-            out = out | all_of()
-        return out
+            out.append(all_of())
+        return out[0] if len(out) == 1 else ("or", out)
 
-    def all_of() -> Column:
+    def all_of() -> tuple:
         nonlocal at
-        out = None
+        out = []
         while at < len(parts) and parts[at] not in (")", "OR"):
             if parts[at] == "(":
                 at += 1
-                one = any_of()
+                out.append(any_of())
                 if at >= len(parts):
                     raise ValueError("a parenthesis is not closed")
-                at += 1
             else:
-                one = _term(parts[at], text, timestamp)
-                at += 1
-            out = one if out is None else out & one
-        if out is None:
+                out.append(term(parts[at]))
+            at += 1
+        if not out:
             raise ValueError("a term is missing")
-        return out
+        return out[0] if len(out) == 1 else ("and", out)
 
     found = any_of()
     if at < len(parts):
         raise ValueError("a parenthesis is not opened")
     return found
+
+
+def _pattern(word: str) -> str:
+    before = "" if word[:1] in "#@" else f"(?<!{_EDGE})"
+    inner = r"\s+".join("\\Q" + w.replace("\\E", "\\E\\\\E\\Q") + "\\E" for w in word.split())
+    return f"{before}{inner}(?!{_EDGE})"
+
+
+def compile_query(query: str, text: Column, timestamp: Column | None = None) -> Column:
+    """A boolean Column of whether lower-cased text matches. Without a timestamp, `since:` is a word like others."""
+
+    def column(tree: tuple) -> Column:
+        kind = tree[0]
+        if kind == "term" or (kind == "since" and timestamp is None):
+            return text.rlike(_pattern(tree[1] if kind == "term" else f"since:{tree[1].lower()}"))
+        if kind == "since":
+            return timestamp >= F.lit(tree[1]).cast("timestamp")
+        if kind == "not":
+            return ~column(tree[1])
+        if kind == "true":
+            return F.lit(True)
+        return reduce(lambda a, b: a & b if kind == "and" else a | b, map(column, tree[1]))
+
+    return column(_tree(query))
+
+
+# --- many stored queries at once
+
+
+def _words(tree: tuple) -> set[str]:
+    kind = tree[0]
+    if kind == "term":
+        return {tree[1]}
+    if kind == "not":
+        return _words(tree[1])
+    return set().union(*map(_words, tree[1])) if kind in ("and", "or") else set()
+
+
+def _true(tree: tuple, hits: set[str], since: Callable[[str], bool]) -> bool:
+    kind = tree[0]
+    if kind == "term":
+        return tree[1] in hits
+    if kind == "since":
+        return since(tree[1])
+    if kind == "not":
+        return not _true(tree[1], hits, since)
+    if kind == "true":
+        return True
+    return (all if kind == "and" else any)(_true(t, hits, since) for t in tree[1])
+
+
+def _keys(tree: tuple) -> set[str] | None:
+    """Terms of which each text that matches holds one; the fewest, then the longest. None: a text without any term may match."""
+    kind = tree[0]
+    if kind == "term":
+        return {tree[1]}
+    if kind == "or":
+        own = [_keys(t) for t in tree[1]]
+        return None if None in own else set().union(*own)
+    if kind == "and":
+        own = [k for t in tree[1] if (k := _keys(t)) is not None]
+        return min(own, key=lambda k: (len(k), -min(map(len, k)), sorted(k)), default=None)
+    return None
+
+
+def stored_queries(queries: DataFrame, id_col: str = "query_id", query_col: str = "query") -> DataFrame:
+    """query_id, tree (JSON), terms, keys and error of each query. keys is null where a text without any of the terms may match, and where the query can't be read."""
+
+    @F.arrow_udf("struct<tree:string,terms:array<string>,keys:array<string>,error:string>")
+    def read(column: pa.Array) -> pa.Array:
+        out = []
+        for query in column.to_pylist():
+            try:
+                tree = _tree(query or "")
+                keys = _keys(tree)
+                out.append({"tree": json.dumps(tree), "terms": sorted(_words(tree)), "keys": None if keys is None else sorted(keys), "error": None})
+            except ValueError as e:
+                out.append({"tree": None, "terms": [], "keys": None, "error": str(e)})
+        text = pa.string()
+        return pa.array(out, pa.struct([("tree", text), ("terms", pa.list_(text)), ("keys", pa.list_(text)), ("error", text)]))
+
+    return queries.select(F.col(id_col).alias("query_id"), read(F.col(query_col)).alias("r")).select("query_id", "r.*")
+
+
+def match_many(posts: DataFrame, stored: DataFrame, *, id_col: str, text_col: str, timestamp_col: str | None = None) -> DataFrame:
+    """id and query_id of every post and stored query that match, in one pass over the posts, as compile_query would say one by one.
+
+    An inverted index leads from words to terms and from terms to queries: a post's distinct words are joined to the
+    terms that hold them, terms of more than a word are verified in the text, and a query is looked at only for posts that
+    hold one of its keys. Queries without keys are left out: they match most posts, and compile_query suits them.
+    Ids must be unique and not null. Null texts match nothing. Without a timestamp column, `since:` is true.
+    """
+    known = stored.where("keys is not null")
+    terms = known.select(F.explode("terms").alias("term")).distinct()
+    runs = F.regexp_extract_all("term", F.lit(WORDS), F.lit(0))
+    # a term is found by its longest word, which is a whole word of the text; what has no word is looked for everywhere
+    term = terms.withColumn("word", F.try_element_at(F.array_sort(runs, lambda a, b: F.char_length(a) - F.char_length(b)), F.lit(-1)))
+    index = term.where("word is not null").groupBy("word").agg(F.collect_list("term").alias("terms"))
+    low = posts.select(F.col(id_col).alias("i"), F.lower(text_col).alias("t"), (F.lit(None) if timestamp_col is None else F.unix_micros(timestamp_col)).cast("long").alias("at")).where("i is not null")
+    words = low.select("i", F.explode(F.array_distinct(F.regexp_extract_all("t", F.lit(WORDS), F.lit(0)))).alias("word"))
+    found = words.join(index, "word").select("i", F.explode("terms").alias("term"), "word")
+    plain = found.where(F.col("term") == F.col("word")).select("i", "term")
+    pattern = F.concat(F.when(F.substring("term", 1, 1).isin("#", "@"), "").otherwise(f"(?<!{_EDGE})"), F.array_join(F.transform(F.split("term", " "), lambda w: F.concat(F.lit("\\Q"), F.replace(w, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))), "\\s+"), F.lit(f"(?!{_EDGE})"))
+    odd = term.where("word is null").agg(F.collect_list("term").alias("odd")).where("size(odd) > 0")
+    to_try = found.where(F.col("term") != F.col("word")).select("i", "term").groupBy("i").agg(F.collect_set("term").alias("tried"))
+    both = low.join(to_try, "i", "left").join(F.broadcast(odd), F.lit(True), "left")  # one row of terms without a word, mostly none
+    held = both.select("i", "t", F.explode(F.concat(F.coalesce("tried", F.array().cast("array<string>")), F.coalesce("odd", F.array().cast("array<string>")))).alias("term"))
+    verified = held.where(F.rlike("t", pattern)).select("i", "term")
+    hits = plain.unionByName(verified).groupBy("i").agg(F.collect_set("term").alias("hits"))
+    hits = hits.join(low.select("i", "at"), "i") if timestamp_col else hits.withColumn("at", F.lit(None).cast("long"))
+    keyed = known.select("query_id", "tree", F.explode("keys").alias("key"))
+    pairs = hits.select("i", "at", "hits", F.explode("hits").alias("key")).join(keyed, "key")
+
+    @F.arrow_udf("boolean")
+    def holds(trees: pa.Array, hits: pa.Array, at: pa.Array) -> pa.Array:
+        read: dict[str, tuple] = {}
+        out = []
+        for tree, own, micros in zip(trees.to_pylist(), hits.to_pylist(), at.to_pylist(), strict=True):
+            if tree not in read:
+                if len(read) > 100_000:
+                    read.clear()
+                read[tree] = json.loads(tree)
+            out.append(_true(read[tree], set(own), lambda day, m=micros: m is None or m >= datetime.fromisoformat(day).replace(tzinfo=timezone.utc).timestamp() * 1e6))
+        return pa.array(out, pa.bool_())
+
+    return pairs.where(holds("tree", "hits", "at")).select(F.col("i").alias(id_col), "query_id").distinct()

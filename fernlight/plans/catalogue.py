@@ -341,6 +341,25 @@ def vector_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.vector_metadata(vectors.hashed_vectors(texts(spark, sf_dir), id_col="doc_id"), 1 << 14)
 
 
+@query(
+    r"""WITH t AS (SELECT doc_id, lower(coalesce(text, '')) AS t, regexp_extract_all(lower(coalesce(text, '')), '[\pL\pN_\x{0900}-\x{097F}]+') AS w FROM documents),
+q AS (SELECT doc_id AS query_id, w[1] AS a, w[2] AS b, w[3] AS c, w[4] AS d, w[5] AS e FROM t WHERE len(w) >= 5 AND doc_id % 50 = 0),
+k AS (SELECT DISTINCT doc_id, unnest(w) AS word FROM t),
+p AS (SELECT DISTINCT k.doc_id, q.query_id FROM q JOIN k ON k.word = q.a JOIN t ON t.doc_id = k.doc_id
+  WHERE regexp_matches(t.t, '(^|[^\pL\pN_\x{0900}-\x{097F}])' || a || '\s+' || b || '($|[^\pL\pN_\x{0900}-\x{097F}])') OR (list_contains(t.w, c) AND list_contains(t.w, d) AND NOT list_contains(t.w, e))
+  UNION SELECT k.doc_id, q.query_id FROM q JOIN k ON k.word = q.c JOIN t ON t.doc_id = k.doc_id WHERE list_contains(t.w, d) AND NOT list_contains(t.w, e))
+SELECT query_id, count(*) AS n, sum(doc_id)::BIGINT AS ids FROM p GROUP BY query_id"""
+)
+def search_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first five words of each document whose id is divisible by 50 as a stored query, `"a b" OR (c d -e)`: all queries against all documents in one pass."""
+    docs = spread(adapter.read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    w = F.regexp_extract_all(F.lower("text"), F.lit(search.WORDS), F.lit(0))
+    asked = docs.select(F.col("doc_id").alias("query_id"), w.alias("w")).where("size(w) >= 5 and query_id % 50 = 0")
+    asked = asked.select("query_id", F.format_string('"%s %s" OR (%s %s -%s)', *[F.get("w", F.lit(k)) for k in range(5)]).alias("query"))
+    found = search.match_many(docs, search.stored_queries(asked), id_col="doc_id", text_col="text")
+    return found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.sum("doc_id").alias("ids"))
+
+
 # --- scans, dedupe, runs
 
 
