@@ -12,7 +12,7 @@ from fernlight.functions import features as X
 from fernlight.functions import text as T
 from fernlight.functions.lexicon import ACCESS_MARKERS, BEARISH, BULLISH, NEGATIONS, RISK
 from fernlight.functions.numbers import compact_count, round6
-from fernlight.operators import dedupe, retention, sampling, search, signals, vectors
+from fernlight.operators import dedupe, retention, sampling, search, signals, terms, vectors
 from fernlight.operators.mapping import spread
 from fernlight.sources import adapter, landing, posts, synthetic
 from fernlight.sources.adapter import AS_OF, CONTENTS_SQL, EVENTS_SQL, as_of, contents, events, raw_posts
@@ -360,6 +360,19 @@ def search_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.sum("doc_id").alias("ids"))
 
 
+@query(
+    """WITH t AS (SELECT DISTINCT unnest(regexp_extract_all(lower(coalesce(text, '')), '[a-z]{4,}')) AS term FROM benchmark),
+d AS (SELECT doc_id, lower(coalesce(text, '')) AS low FROM documents)
+SELECT doc_id, coalesce(sum(1) FILTER (contains(low, term)), 0)::BIGINT AS terms, coalesce(sum(len(term)) FILTER (contains(low, term)), 0)::BIGINT AS letters FROM d, t GROUP BY doc_id"""
+)
+def lexicon_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of the benchmark as a lexicon of two lists: which of them occur in each document, anywhere."""
+    words = adapter.read(spark, sf_dir, "benchmark").select(F.explode(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit("[a-z]{4,}"), F.lit(0))).alias("term")).distinct()
+    lexicon = words.select("term", F.explode(F.map_from_arrays(F.array(F.lit("terms"), F.lit("letters")), F.array(F.lit(1), F.char_length("term")))).alias("list", "weight"))
+    docs = spread(adapter.read(spark, sf_dir, "documents").select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("low")))
+    return terms.term_hits(docs, lexicon, text_col="low").drop("low")
+
+
 # --- scans, dedupe, runs
 
 
