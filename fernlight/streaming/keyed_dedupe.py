@@ -97,11 +97,11 @@ def first_seen(posts: DataFrame, known: DataFrame | None = None, *, ttl: timedel
     return out.select(*[F.timestamp_micros(f.name).alias(f.name) if f.name in _TIMES else F.col(f.name) for f in POSTS])
 
 
-def keyed_batches(raw: DataFrame, path: str, checkpoint: str, *, ttl: timedelta | None = None, trigger: dict | None = None, buckets: int = 64) -> StreamingQuery:
+def keyed_batches(raw: DataFrame, path: str, checkpoint: str, *, ttl: timedelta | None = None, trigger: dict | None = None, buckets: int = 64, observe: str | None = None) -> StreamingQuery:
     """As upsert_batches, its known posts in keyed state: a batch is compared with the store only for what others have committed since the stream joined.
 
     With ttl, a fingerprint that was accepted longer ago is accepted again. Spark then runs batches without end, so the stream
-    needs a trigger by time (a minute by default).
+    needs a trigger by time (a minute by default). observe: the name under which listeners are told `n`, the new posts of a batch.
     """
     spark, trigger = raw.sparkSession, trigger or ({"availableNow": True} if ttl is None else {"processingTime": "1 minute"})
     if ttl is not None and "processingTime" not in trigger:
@@ -115,8 +115,11 @@ def keyed_batches(raw: DataFrame, path: str, checkpoint: str, *, ttl: timedelta
         commit_batch(own, path, stream, number, buckets=buckets, since_joined=True)
         own.unpersist()
 
+    new = first_seen(clean(raw), known, ttl=ttl)
+    if observe:
+        new = new.observe(observe, F.count(F.lit(1)).alias("n"))
     with rocksdb(spark):
-        return first_seen(clean(raw), known, ttl=ttl).writeStream.foreachBatch(add).outputMode("append").option("checkpointLocation", checkpoint).trigger(**trigger).start()
+        return new.writeStream.foreachBatch(add).outputMode("append").option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def join(spark: SparkSession, path: str, stream: str, buckets: int) -> DataFrame:
