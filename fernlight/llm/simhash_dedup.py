@@ -434,11 +434,12 @@ def similar_links(values: np.ndarray, at: np.ndarray, similarity: float) -> tupl
 
 
 def _similar(similarity: float):
-    """Reads rows (group, id, set) in order of groups; makes links (a, b) of ids."""
+    """Reads rows (group, id, set) in order of groups; makes links (a, b) of ids. With a fourth column, only pairs of which one is marked are tried."""
 
     def finish(parts: list) -> pa.RecordBatch:
-        ids, sizes, values = (np.concatenate(x) for x in zip(*parts, strict=True))
-        a, b = similar_links(values, np.concatenate([[0], np.cumsum(sizes)]), similarity)
+        ids, sizes, values, *marks = (np.concatenate(x) for x in zip(*parts, strict=True))
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        a, b = marked_links(values, at, marks[0], similarity) if marks else similar_links(values, at, similarity)
         return pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -447,6 +448,7 @@ def _similar(similarity: float):
             if not batch.num_rows:
                 continue
             key, ids = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (0, 1))
+            marks = [batch.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in range(3, batch.num_columns)]
             at = batch.column(2).offsets.to_numpy().astype(np.int64)
             values = batch.column(2).values.to_numpy(zero_copy_only=False).view(np.uint64)
             edge = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
@@ -455,19 +457,79 @@ def _similar(similarity: float):
                     yield finish(held)
                     held = []
                 held_key = key[s]
-                held.append((ids[s:e], np.diff(at[s : e + 1]), values[at[s] : at[e]]))
+                held.append((ids[s:e], np.diff(at[s : e + 1]), values[at[s] : at[e]], *(m[s:e] for m in marks)))
         if held:
             yield finish(held)
 
     return run
 
 
+def _prefixes(sets: DataFrame, similarity: float) -> DataFrame:
+    """i, k and x of sets (i, s): the rarest shingles k of each, x of them marked, so that of two similar sets the smaller has a marked one that the larger has too.
+
+    Sets of a <= b shingles with a similarity of t share at least 2 t / (1 + t) a of them, and t b. So in any
+    order of all shingles, the first that they share is among the first a - 2 t / (1 + t) a + 1 of the smaller, which are marked,
+    and the first b - t b + 1 of the larger. In order of rarity, pages of one template that are not similar have no
+    such shingle: what they share comes last. Shingles that nobody marks, or only one set has, are left out.
+    """
+    each = sets.select("i", F.size("s").alias("size"), F.explode("s").alias("k"))
+    counts = each.groupBy("k").agg(F.count(F.lit(1)).alias("n")).select(F.bitwise_not("k").alias("nk"), "n")
+    # the key is written anew so that both sides are shuffled for the join, which AQE needs to split a key
+    told = each.select("i", "size", F.bitwise_not("k").alias("nk")).join(counts, "nk")
+    least = lambda share: F.col("size") - F.ceil(F.col("size") * F.lit(share) - 1e-9).cast("int") + 1
+    ranked = told.groupBy("i").agg(F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct("n", "nk"))).alias("ks"))
+    first = ranked.select("i", least(2 * similarity / (1 + similarity)).alias("marked"), F.posexplode(F.slice("ks", F.lit(1), least(similarity))).alias("at", "v"))
+    prefix = checkpointed(first.where("v.n > 1").select("i", F.col("v.nk").alias("k"), (F.col("at") < F.col("marked")).alias("x")))
+    used = prefix.groupBy("k").agg(F.count_if("x").alias("marks"), F.count(F.lit(1)).alias("n")).where("marks > 0 and n > 1").select(F.bitwise_not("k").alias("nk"), "marks", "n")
+    return prefix.select("i", F.bitwise_not("k").alias("nk"), "x").join(used, "nk").withColumnRenamed("nk", "k")
+
+
+def marked_links(values: np.ndarray, at: np.ndarray, marked: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of links that connect what similar pairs of a marked set and any other connect."""
+    size, n = np.diff(at), len(at) - 1
+    code = np.unique(values, return_inverse=True)[1]
+    order = np.argsort(code, kind="stable")
+    owner = np.repeat(np.arange(n), size)[order]
+    many = np.bincount(code) if len(code) else np.zeros(0, np.int64)
+    first, group = np.cumsum(many) - many, np.arange(n)
+    left, right = [], []
+    for k in np.flatnonzero(marked).tolist():
+        own = code[at[k] : at[k + 1]]
+        shared = np.bincount(owner[ragged(first[own], many[own])], minlength=n)
+        hit = np.flatnonzero((shared >= (size[k] + size - shared) * similarity) & (group != group[k]))
+        if len(hit):
+            joined, one = np.unique(group[hit], return_index=True)
+            left += [k] * len(one)
+            right += hit[one].tolist()
+            group[np.isin(group, joined)] = group[k]
+    return np.array(left, np.int64), np.array(right, np.int64)
+
+
+def _tried_by_prefix(texts: DataFrame, ids: DataFrame, shingle: int, similarity: float, members: int) -> DataFrame:
+    """Links (a, b) that connect what similar pairs among the ids connect: pairs that share a rare shingle which one of them marks.
+
+    A shingle's marked sets and all its sets are dealt in blocks of about `members`; each pair of blocks is one task's.
+    """
+    sets = checkpointed(texts.join(few(ids.select("i").distinct()), "i").mapInArrow(_shingle_sets(shingle), "i long, s array<long>"))
+    tried = _prefixes(sets, similarity)
+    blocks = lambda n: F.ceil(F.col(n) / members)
+    zero = F.lit(0).cast("long")
+    dealt = tried.select("i", "k", "x", blocks("marks").alias("u"), blocks("n").alias("m"))
+    row, column = F.pmod(F.xxhash64("i"), "u"), F.pmod(F.xxhash64("i"), "m")
+    marks = dealt.where("x").select("i", "k", row.alias("r"), F.explode(F.sequence(zero, F.col("m") - 1)).alias("c"), F.lit(True).alias("x"))
+    others = dealt.select("i", "k", F.explode(F.sequence(zero, F.col("u") - 1)).alias("r"), column.alias("c"), F.lit(False).alias("x"))
+    placed = marks.unionByName(others).groupBy("i", F.xxhash64("k", "r", "c").alias("g")).agg(F.max("x").alias("x"))
+    by_id = placed.groupBy("i").agg(F.collect_list(F.struct("g", "x")).alias("gs"))
+    rows = sets.join(by_id, "i").select("i", "s", F.explode("gs").alias("v")).select("v.g", "i", "s", "v.x")
+    return checkpointed(rows.repartition("g").sortWithinPartitions("g").mapInArrow(_similar(similarity), "a long, b long"))
+
+
 def _similar_within(texts: DataFrame, keyed: DataFrame, shingle: int, similarity: float, members: int) -> DataFrame:
     """Links (a, b) that connect what similar pairs connect among the ids i of each key k.
 
     All pairs of a key are tried on their whole sets; keys of the same ids are one. Keys of over twice
     `members` ids are dealt in blocks of about that many, each with the key's smallest id. Where that
-    leaves a key's ids in several groups, each pair of its blocks is tried in a task of its own.
+    leaves a key's ids in several groups, its ids are tried by the rarest shingles of their sets (see _prefixes).
     """
     hashed = F.xxhash64("i")
     sums = [F.min("i").alias("low"), F.bit_xor(hashed).alias("x"), F.sum(hashed.bitwiseAND((1 << 31) - 1)).alias("y"), F.count(F.lit(1)).alias("n")]
@@ -476,16 +538,13 @@ def _similar_within(texts: DataFrame, keyed: DataFrame, shingle: int, similarity
     anew = keys.select(F.bitwise_not("k").alias("nk"), "low", F.ceil(F.col("n") / members).alias("m"))
     named = checkpointed(keyed.select("i", F.bitwise_not("k").alias("nk")).join(anew, "nk").select("i", F.col("nk").alias("k"), "m", (F.col("i") == F.col("low")).alias("c")))
 
-    def tried(some: DataFrame, others, task: list) -> DataFrame:
-        by_id = some.groupBy("i").agg(F.collect_list(F.struct("k", "m", "c")).alias("ks"))
-        sets = texts.join(few(some.select("i").distinct()), "i").mapInArrow(_shingle_sets(shingle), "i long, s array<long>")
-        each = sets.join(by_id, "i").select("i", "s", F.explode("ks").alias("v")).select("i", "s", "v.*")
-        placed = each.withColumn("z", F.when(wide, F.pmod(F.xxhash64("i"), "m")).otherwise(0)).withColumn("o", F.explode(others))
-        dealt = placed.select(F.xxhash64("k", *task).alias("g"), "i", "s")
-        return checkpointed(dealt.repartition("g").sortWithinPartitions("g").mapInArrow(_similar(similarity), "a long, b long"))
-
     wide, blocks = F.col("m") > 2, F.sequence(F.lit(0).cast("long"), F.col("m") - 1)
-    found = tried(named, F.when(wide & F.col("c"), blocks).otherwise(F.array("z")), ["o"])
+    by_id = named.groupBy("i").agg(F.collect_list(F.struct("k", "m", "c")).alias("ks"))
+    sets = texts.join(few(named.select("i").distinct()), "i").mapInArrow(_shingle_sets(shingle), "i long, s array<long>")
+    each = sets.join(by_id, "i").select("i", "s", F.explode("ks").alias("v")).select("i", "s", "v.*")
+    placed = each.withColumn("z", F.when(wide, F.pmod(F.xxhash64("i"), "m")).otherwise(0)).withColumn("o", F.explode(F.when(wide & F.col("c"), blocks).otherwise(F.array("z"))))
+    dealt = placed.select(F.xxhash64("k", "o").alias("g"), "i", "s")
+    found = checkpointed(dealt.repartition("g").sortWithinPartitions("g").mapInArrow(_similar(similarity), "a long, b long"))
     large = named.where(wide)
     if large.isEmpty():
         return found
@@ -494,7 +553,7 @@ def _similar_within(texts: DataFrame, keyed: DataFrame, shingle: int, similarity
     rest = checkpointed(large.withColumn("nk", F.bitwise_not("k")).join(apart, "nk", "left_semi").drop("nk"))
     if rest.isEmpty():
         return found
-    return found.union(tried(rest, F.array_remove(blocks, F.col("z")), [F.least("z", "o"), F.greatest("z", "o")]))
+    return found.union(_tried_by_prefix(texts, rest, shingle, similarity, members))
 
 
 #: Rows that repeat an id with another text are nodes of their own, numbered from here up.
@@ -530,7 +589,7 @@ def near_copies(docs: DataFrame, *, similarity: float = 0.8, shingle: int = 5, b
     have a Jaccard similarity of `similarity` or more, computed exactly.
 
     The smallest id of a group stays; of an id with several texts, the one with the least hash counts as
-    that id and the others come behind all ids. Null ids are left out.
+    that id and the others come behind all ids; ids of 2**62 and more are refused then (ValueError). Null ids are left out.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts, named = _nodes(docs.select(F.col(id_col).cast("long").alias("i"), text.alias("t")).where("i is not null"))

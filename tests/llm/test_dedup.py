@@ -395,6 +395,62 @@ def test_similar_links_connect_as_all_pairs_do():
     assert all(group[x] == group[y] for x in range(300) for y in range(x) if like(x, y)) and len(a) == 300 - len(set(group)) > 20
 
 
+def test_pages_of_one_template_are_compared_by_their_rare_shingles(spark, monkeypatch):
+    """Many pages at 0.7 to each other, some similar ones among them; every similar pair shares a prefix, unlike pages none."""
+    rng = random.Random(12)
+    template = [f"t{k}" for k in range(200)]
+    rows = [(i, " ".join([*template[:100], *(f"w{rng.randrange(10**9)}" for _ in range(34)), *template[100:]])) for i in range(150)]
+    for j in range(12):
+        words = rows[7 * j][1].split()
+        words[105 + j] = "changed"
+        rows.append((200 + j, " ".join(words)))
+    sets = {i: {tuple(w[k : k + 5]) for w in [t.split()] for k in range(len(w) - 4)} for i, t in rows}
+    similar = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert similar == {(7 * j, 200 + j) for j in range(12)}
+    texts = spark.createDataFrame(rows, "i long, t string")
+    whole = texts.mapInArrow(simhash_dedup._shingle_sets(5), "i long, s array<long>")
+    held = simhash_dedup._prefixes(whole, 0.8).groupBy("i").agg(F.collect_set("k").alias("k"), F.collect_set(F.when(F.col("x"), F.col("k"))).alias("x")).collect()
+    found = {(min(a.i, b.i), max(a.i, b.i)) for a in held for b in held if a.i != b.i and set(a.x) & set(b.k)}
+    assert similar <= found and len(found) < 3 * len(similar)
+    used = []
+    real = simhash_dedup._prefixes
+    monkeypatch.setattr(simhash_dedup, "_prefixes", lambda *a: used.append(1) or real(*a))
+    keyed = texts.select("i", F.lit(1).cast("long").alias("k"))
+    for members in (8, 40):
+        links = simhash_dedup._similar_within(texts, keyed, 5, 0.8, members).distinct().collect()
+        assert {tuple(sorted((r.a, r.b))) for r in links} == similar
+    assert len(used) == 2
+
+
+@pytest.mark.parametrize("similarity", [0.5, 0.65, 0.8])
+def test_prefixes_find_all_similar_pairs(spark, similarity):
+    """Texts of any sizes and similarities, hot shingles among them, in blocks of three."""
+    rng = random.Random(13)
+    base = [[f"b{k}-{j}" for j in range(60)] for k in range(3)]
+    rows = []
+    for i in range(90):
+        words = list(rng.choice(base))[: rng.randrange(8, 60)]
+        for _ in range(rng.randrange(5)):
+            words[rng.randrange(len(words))] = f"n{rng.randrange(40)}"
+        rows.append((i, " ".join(words)))
+    sets = {i: {tuple(w[k : k + 5]) for w in [t.split()] for k in range(len(w) - 4)} for i, t in rows}
+    root = {i: i for i in sets}
+    for x in sets:
+        for y in sets:
+            if len(sets[x] & sets[y]) >= similarity * len(sets[x] | sets[y]):
+                low, high = sorted((root[x], root[y]))
+                root = {i: low if r == high else r for i, r in root.items()}
+    texts = spark.createDataFrame(rows, "i long, t string")
+    links = simhash_dedup._tried_by_prefix(texts, texts.select("i"), 5, similarity, 3).collect()
+    for r in links:
+        assert len(sets[r.a] & sets[r.b]) >= similarity * len(sets[r.a] | sets[r.b])
+    got = {i: i for i in sets}
+    for r in links:
+        low, high = sorted((got[r.a], got[r.b]))
+        got = {i: low if x == high else x for i, x in got.items()}
+    assert got == root and len(set(root.values())) > 5
+
+
 def test_near_copies_at_the_edge_of_the_similarity_are_found(spark):
     """Pairs of different texts at J 0.8 to 0.9, a changed word here and there."""
     rng = random.Random(21)
