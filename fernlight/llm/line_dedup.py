@@ -67,6 +67,6 @@ def remove_repeated_chunks(docs: DataFrame, *, reach: int = 2, spread: int = 4,
     gone = found.select("d", "v", "k", digest.alias("e")).join(firsts, "e").where(place > F.col("low")).groupBy("d", "v").agg(F.collect_set("k").alias("gone"))
 
     out = cut.join(gone, ["d", "v"], "left").withColumn("gone", F.coalesce("gone", F.expr("cast(array() as array<int>)")))
-    left = F.expr("filter(transform(starts, (s, k) -> if(array_contains(gone, k), null, array_join(slice(lines, s + 1, ends[k] - s + 1), '\\n'))), x -> x is not null)")
+    left = F.expr("transform(array_except(sequence(0, size(starts) - 1), gone), k -> array_join(slice(lines, starts[k] + 1, ends[k] - starts[k] + 1), '\\n'))")
     removed = F.expr("aggregate(gone, 0, (a, k) -> a + ends[k] - starts[k] + 1)")
     return out.select(F.nullif("d", F.lit(NO_ID)).alias(id_col), F.size("lines").alias("n_lines"), F.size("ends").alias("n_chunks"), removed.alias("n_removed"), F.array_join(left, "\n").alias("kept_text"))
