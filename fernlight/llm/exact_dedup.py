@@ -1,13 +1,14 @@
 """Exact dedup by content sort, with DataFrame operations alone.
 
 Texts are equal when they are identical after lower-casing A-Z. Rows are range-partitioned by content,
-the external sort places equal texts next to each other, and a window over (hash, normalised text)
-compares each text in full with its neighbours and keeps one identifier: the largest document id of
-each group by default, or the smallest.
-
-* Order: the first four bytes, then a hash, of the text lower-cased by the JVM's `lower`. Texts equal
-  after A-Z alone are equal there too, so equal texts always meet; the order only deals, the window's
-  own comparison is of whole normalised texts.
+the external sort by the normalised text places equal texts next to each other, and a window compares
+each text in full with its neighbours and keeps one identifier: the largest document id of each group by
+default, or the smallest.
+
+* Order of the partitions: the first four bytes, then a hash, of the text lower-cased by the JVM's `lower`; inside
+  a partition rows are sorted by the text itself. The hash deals texts that begin alike, as pages of a
+  site do, over several partitions. Texts equal after A-Z alone are equal there too, so equal texts
+  always meet; the order only deals, the window's own comparison is of whole normalised texts.
 * A first scan counts rows by that hash and writes the small table of counts. From it come the
   splitters, as approximate quantiles of the order over all distinct contents: one number for each
   shuffle partition is all that the driver sees, whatever the input. The second scan deals the texts.
@@ -70,7 +71,7 @@ def _sorted_runs(docs: DataFrame, keep: str, id_col: str, text_col: str, carry:
 
     def runs(part: DataFrame) -> DataFrame:
         ordered = part.repartitionById(parts, "p").withColumn("w", lower_ascii(F.col("t"))).drop("t")
-        run = Window.partitionBy("p", "x", "s", "w")
+        run = Window.partitionBy("p", "s", "w")
         first = F.row_number().over(run.orderBy(F.col("i").desc_nulls_last() if keep == "largest" else F.col("i").asc_nulls_last()))
         return ordered.select("i", "s", "w", F.sha2("w", 256).alias("d"), best("i").over(run).alias("k"), F.count(F.lit(1)).over(run).alias("n"), first.alias("r"), *(["c"] if "c" in part.columns else []))
 
