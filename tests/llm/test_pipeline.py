@@ -15,7 +15,7 @@ from fernlight.llm import mixing, pieces, quality, queries
 from fernlight.llm.common import column_bytes
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("documents", "labels", "pages")
+TABLES = ("documents", "labels", "pages", "benchmark")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF) or not os.path.exists(pieces.DEFAULT_MODEL), reason="no test tables or vocabulary here")
 
 
@@ -25,7 +25,8 @@ def test_query(spark, name):
     columns = sorted(df.columns)
     got = sorted((tuple(r[c] for c in columns) for r in df.collect()), key=str)
     table = "pages" if name.startswith("op6") else "documents"
-    assert len(got) == spark.read.parquet(f"{SF}/{table}.parquet").count()
+    if not name.startswith("op12"):  # a row for each phrase, not for each document
+        assert len(got) == spark.read.parquet(f"{SF}/{table}.parquet").count()
     if name in entry.oracle_sql():
         con = duckdb.connect()
         for t in TABLES:

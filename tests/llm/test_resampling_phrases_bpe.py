@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -254,6 +255,19 @@ def test_operator_and_digests(spark, library):
     assert bpe.encode(docs.where("false")).count() == 0
 
 
+def test_query_is_the_library(spark, library):
+    entry = pytest.importorskip("__spark_entry__")
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("no test tables here")
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    want = []
+    for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect():
+        ids = library.encode(r.text or "", add_special_tokens=False).ids
+        want.append((r.doc_id, len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False))))
+    assert sorted(tuple(r) for r in entry.queries()["op13_bpe"](spark, sf).collect()) == sorted(want)
+
+
 def test_other_files_are_refused(tmp_path):
     with pytest.raises(ValueError):
         bpe.read_vocabulary("/opt/tokenizers/byte_bpe_50k.json")
