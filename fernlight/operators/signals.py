@@ -20,13 +20,13 @@ METHODOLOGY = {
 COUNTS = ("tweet_count", "unique_authors", "engagement_total", "bullish_count", "bearish_count", "neutral_count")
 
 
-def aggregates(approximate_authors: bool = False) -> list[Column]:
-    """Mergeable aggregates of one window; approximate_authors for very wide windows."""
+def aggregates(approximate_authors: bool = False, authors: bool = True) -> list[Column]:
+    """Mergeable aggregates of one window; approximate_authors for very wide windows. Without authors, all can be summed again."""
     author = F.coalesce(F.nullif("username", F.lit("")), F.lit("unknown"))
     w, s = F.col("weight"), F.col("signal")
     return [
         F.count(F.lit(1)).alias("tweet_count"),
-        (F.approx_count_distinct(author) if approximate_authors else F.countDistinct(author)).alias("unique_authors"),
+        *([(F.approx_count_distinct(author) if approximate_authors else F.countDistinct(author)).alias("unique_authors")] if authors else []),
         F.sum(F.coalesce("engagement_total", F.lit(0))).alias("engagement_total"),
         F.count_if(s > 0.05).alias("bullish_count"),
         F.count_if(s < -0.05).alias("bearish_count"),

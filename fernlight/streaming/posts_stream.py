@@ -38,17 +38,12 @@ def signal_stream(posts: DataFrame, as_of: Column, *, minutes: int = 15) -> Data
     start = X.window_start(F.col("timestamp"), minutes)
     author = F.coalesce(F.nullif("username", F.lit("")), F.lit("unknown"))
     keyed = score(posts, as_of).withColumns({"market": X.market(F.col("hashtags"), F.col("query_tag")), "start": start, "author": author})
-    single = [a for a in aggregates() if _name(a) != "unique_authors"]
-    by_author = keyed.groupBy(F.window("timestamp", span).alias("span"), "start", "market", "author").agg(*single)
+    by_author = keyed.groupBy(F.window("timestamp", span).alias("span"), "start", "market", "author").agg(*aggregates(authors=False))
     names = [c for c in by_author.columns if c not in ("span", "start", "market", "author")]
     whole = by_author.groupBy(F.window(F.window_time("span"), span).alias("span"), "start", "market").agg(*[F.sum(c).alias(c) for c in names], F.count(F.lit(1)).alias("unique_authors"))
     return finish(whole.withColumnRenamed("start", "window_start"), ["window_start", "market"]).withColumn("window_start", X.iso(F.col("window_start")))
 
 
-def _name(column: Column) -> str:
-    return column._jc.toString().rpartition(" AS ")[2].strip("`")
-
-
 def store_stream(raw: DataFrame, path: str, checkpoint: str, *, trigger: dict | None = None) -> StreamingQuery:
     """Writes deduplicated posts to the partitioned store; the file sink's log makes each row appear once."""
     return clean_stream(raw).writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint).partitionBy(*PARTITIONS).trigger(**(trigger or {"availableNow": True})).start()
