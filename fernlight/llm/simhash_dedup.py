@@ -464,23 +464,53 @@ def _similar(similarity: float):
     return run
 
 
+#: Rarity of shingles is told by so many counts, whatever the input: shingles that share one look more frequent than they are.
+CELL_BITS = 18
+
+
+def _cells(values: np.ndarray) -> np.ndarray:
+    return (mix64(values ^ _SECOND) >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+
+
 def _prefixes(sets: DataFrame, similarity: float) -> DataFrame:
     """i, k and x of sets (i, s): the rarest shingles k of each, x of them marked, so that of two similar sets the smaller has a marked one that the larger has too.
 
     Sets of a <= b shingles with a similarity of t share at least 2 t / (1 + t) a of them, and t b. So in any
     order of all shingles, the first that they share is among the first a - 2 t / (1 + t) a + 1 of the smaller, which are marked,
     and the first b - t b + 1 of the larger. In order of rarity, pages of one template that are not similar have no
-    such shingle: what they share comes last. Shingles that nobody marks, or only one set has, are left out.
+    such shingle: what they share comes last. Any order finds all pairs, so a table of counts of a fixed size will do. Shingles that
+    nobody marks, or only one set has, are left out.
     """
-    each = sets.select("i", F.size("s").alias("size"), F.explode("s").alias("k"))
-    counts = each.groupBy("k").agg(F.count(F.lit(1)).alias("n")).select(F.bitwise_not("k").alias("nk"), "n")
-    # the key is written anew so that both sides are shuffled for the join, which AQE needs to split a key
-    told = each.select("i", "size", F.bitwise_not("k").alias("nk")).join(counts, "nk")
-    least = lambda share: F.col("size") - F.ceil(F.col("size") * F.lit(share) - 1e-9).cast("int") + 1
-    ranked = told.groupBy("i").agg(F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct("n", "nk"))).alias("ks"))
-    first = ranked.select("i", least(2 * similarity / (1 + similarity)).alias("marked"), F.posexplode(F.slice("ks", F.lit(1), least(similarity))).alias("at", "v"))
-    prefix = checkpointed(first.where("v.n > 1").select("i", F.col("v.nk").alias("k"), (F.col("at") < F.col("marked")).alias("x")))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << CELL_BITS, np.int64)
+        for batch in batches:
+            total += np.bincount(_cells(batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)), minlength=len(total))
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some])], ["c", "n"])
+
+    seen, table = sets.select("s").mapInArrow(counted, "c int, n long").groupBy("c").agg(F.sum("n").alias("n")).toArrow(), np.zeros(1 << CELL_BITS, np.int64)
+    table[seen["c"].to_numpy()] = seen["n"].to_numpy()
+    shared = sets.sparkSession.sparkContext.broadcast(table)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+        for batch in batches:
+            for i in range(0, batch.num_rows, 200):
+                part = batch.slice(i, 200)
+                values, lists = part.column(1).flatten().to_numpy(zero_copy_only=False).view(np.uint64), part.column(1)
+                size = np.array([len(x) for x in lists], np.int64)
+                owner, begin = np.repeat(np.arange(len(size)), size), np.cumsum(size) - size
+                order = np.lexsort((values, counts[_cells(values)], owner))
+                least = lambda share: size - np.ceil(size * share - 1e-9).astype(np.int64) + 1  # noqa: B023, E731
+                taken, marked = np.minimum(size, least(similarity)), least(2 * similarity / (1 + similarity))
+                at = np.arange(int(taken.sum())) - np.repeat(np.cumsum(taken) - taken, taken)
+                ids = part.column(0).to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, taken)), pa.array(values[order[ragged(begin, taken)]].view(np.int64)), pa.array(at < np.repeat(marked, taken))], ["i", "k", "x"])
+
+    prefix = checkpointed(sets.select("i", "s").mapInArrow(cut, "i long, k long, x boolean"))
     used = prefix.groupBy("k").agg(F.count_if("x").alias("marks"), F.count(F.lit(1)).alias("n")).where("marks > 0 and n > 1").select(F.bitwise_not("k").alias("nk"), "marks", "n")
+    # the key is written anew so that both sides are shuffled for the join, which AQE needs to split a key
     return prefix.select("i", F.bitwise_not("k").alias("nk"), "x").join(used, "nk").withColumnRenamed("nk", "k")
 
 
