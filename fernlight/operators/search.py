@@ -9,11 +9,13 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 from collections.abc import Callable
 from datetime import datetime, timezone
 from functools import reduce
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,8 @@ from fernlight.functions.text import DEVANAGARI, WORD
 _PART = re.compile(r'-?"[^"]*"|\(|\)|[^\s()]+')
 _EDGE = f"[{WORD}{DEVANAGARI}]"
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need not have this package
+
 #: Words of a text, for the index of stored queries.
 WORDS = f"{_EDGE}+"
 

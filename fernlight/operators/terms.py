@@ -177,11 +177,12 @@ def term_hits(texts: DataFrame, terms: DataFrame, *, text_col: str, term_col: st
             always[lists.index(name)] = w
     if set(lists) & set(texts.columns):
         raise ValueError("a list has the name of a column")
-    shared = texts.sparkSession.sparkContext.broadcast((build(words), weights, always))
+    shared = texts.sparkSession.sparkContext.broadcast((vars(build(words)), weights, always))
     where = texts.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, weights, always = shared.value
+        parts, weights, always = shared.value
+        a = Automaton(**parts)
         for batch in batches:
             column = batch.column(where)
             some = pa.compute.is_valid(column).to_numpy(zero_copy_only=False)
