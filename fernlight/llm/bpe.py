@@ -18,8 +18,7 @@
 * Decoding looks up the text of each id and joins them by one blank, as the file has no decoder; special
   tokens are kept.
 
-Sharing stays inside a task. Sharing across tasks would send every text through a shuffle, 1.1 times the
-input, and costs more than encoding does.
+Sharing stays inside a task: sharing across tasks would send every text and its ids through a shuffle.
 
 Cases: null text counts as empty; an empty text has no ids and decodes to the empty text. Special tokens in
 a text get their ids. Texts without white space are one stretch, taken whole, however long. Rows that
