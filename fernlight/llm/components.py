@@ -25,8 +25,9 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, root) for every node of edges (a, b) of longs; root is the least node of its component.
 
     Aggregates are partial before they shuffle and a hub's rows are joined with one row, which AQE
-    splits. Each round's edges are written to the checkpoint folder. Every round at least keeps the
-    components, and stops when none of its edges changes. Edges with a null end and edges from a node to
+    splits. The edges of each star are written to the checkpoint folder: a plan of both stars would make
+    the first one's join anew for each of its three uses. Every round at least keeps the components, and
+    the rounds stop when none of the edges changes. Edges with a null end and edges from a node to
     itself tie nothing, and a node with no other edge has no row; repeated edges count once.
     """
     now = checkpointed(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct())
@@ -36,7 +37,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if mark == seen:
             break
         seen = mark
-        now = checkpointed(_stars(_stars(now, large=True), large=False))
+        now = checkpointed(_stars(checkpointed(_stars(now, large=True)), large=False))
     else:
         raise RuntimeError("components did not settle")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

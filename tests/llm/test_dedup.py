@@ -270,6 +270,22 @@ def test_components(spark):
     assert {(r.node, r.root) for r in components(spark.createDataFrame(odd, "a long, b long")).collect()} == {(4, 4), (5, 4)}
 
 
+def test_each_star_of_components_is_made_once(spark, monkeypatch):
+    from fernlight.llm import components as module
+
+    joins = []
+
+    def told(df):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join Inner"))
+        return checkpointed(df)
+
+    checkpointed = module.checkpointed
+    monkeypatch.setattr(module, "checkpointed", told)
+    edges = spark.createDataFrame([(k, k // 3) for k in range(1, 200)], "a long, b long")
+    assert {(r.node, r.root) for r in components(edges).collect()} == {(k, 0) for k in range(200)}
+    assert len(joins) > 4 and joins[0] == 0 and max(joins) == 1
+
+
 def line_rows(seed):
     rng = random.Random(seed)
     stock = [f"line {k}" for k in range(25)] + ["", "same", "same"]
