@@ -354,10 +354,12 @@ def search_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first five words of each document whose id is divisible by 50 as a stored query, `"a b" OR (c d -e)`: all queries against all documents in one pass."""
     docs = spread(adapter.read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     w = F.regexp_extract_all(F.lower("text"), F.lit(search.WORDS), F.lit(0))
-    asked = docs.select(F.col("doc_id").alias("query_id"), w.alias("w")).where("size(w) >= 5 and query_id % 50 = 0")
-    asked = asked.select("query_id", F.format_string('"%s %s" OR (%s %s -%s)', *[F.get("w", F.lit(k)) for k in range(5)]).alias("query"))
-    found = search.match_many(docs, search.stored_queries(asked), id_col="doc_id", text_col="text")
-    return found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.sum("doc_id").alias("ids"))
+    asked = docs.where("doc_id % 50 = 0").select(F.col("doc_id").alias("own"), w.alias("w")).where("size(w) >= 5")
+    asked = asked.select("own", F.format_string('"%s %s" OR (%s %s -%s)', *[F.get("w", F.lit(k)) for k in range(5)]).alias("query"))
+    asked = asked.groupBy("query").agg(F.min("own").alias("query_id"), F.collect_list("own").alias("own")).persist()  # equal queries are one
+    found = search.match_many(docs, search.stored_queries(asked).persist(), id_col="doc_id", text_col="text")
+    counts = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.sum("doc_id").alias("ids"))
+    return counts.join(asked, "query_id").select(F.explode("own").alias("query_id"), "n", "ids")
 
 
 @query(

@@ -58,3 +58,19 @@ def test_no_posts_and_no_queries(spark):
     stored = search.stored_queries(spark.createDataFrame([(1, "buy")], "query_id int, query string"))
     go = lambda p, s: search.match_many(p, s, id_col="n", text_col="text").collect()
     assert [tuple(r) for r in go(posts, stored)] == [(1, 1)] and go(posts.where("false"), stored) == [] == go(posts, stored.where("false"))
+
+
+def test_groups_of_posts_and_queries_and_no_regex_for_pairs(spark, monkeypatch):
+    """Pairs of words are found by the index, not tried in the texts; small groups give what one group gives."""
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(12)]
+    texts = [(i, rng.choice([" ", ", ", "\n ", "-"]).join(rng.choices(words, k=rng.randrange(1, 14)))) for i in range(120)]
+    queries = [(k, '"{} {}" OR ({} {} -{})'.format(*rng.choices(words, k=5))) for k in range(60)]
+    posts = spark.createDataFrame(texts, "n long, text string")
+    stored = search.stored_queries(spark.createDataFrame(queries, "query_id int, query string")).cache()
+    want = {(r.n, k) for r in posts.select("n", *[search.compile_query(q, F.lower("text")).alias(f"q{k}") for k, q in queries]).collect() for k, _ in queries if r[f"q{k}"]}
+    for size in ({}, {"group_posts": 7, "group_queries": 5}):
+        got = search.match_many(posts, stored, id_col="n", text_col="text", **size)
+        assert "RLIKE(t#" not in got._jdf.queryExecution().optimizedPlan().toString()
+        rows = [tuple(r) for r in got.collect()]
+        assert len(rows) == len(set(rows)) > 500 and set(rows) == want
